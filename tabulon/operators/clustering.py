@@ -234,7 +234,7 @@ def agglomerative(
         found = ward_labels(pdf["w"].to_numpy(), np.stack(pdf["centre"].map(np.asarray)), ks)
         return pd.DataFrame({"centre": pdf["centre"], **{f"clusters_{k}": found[k].astype("int32") for k in ks}})
 
-    merged = summary.groupBy(F.lit(0)).applyInPandas(merge, schema)
+    merged = summary.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(merge, schema)
     labels = groups.select("v", "centre").join(merged, "centre").drop("centre")
     return rows.join(labels, "v").drop("v")
 

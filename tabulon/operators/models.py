@@ -36,6 +36,15 @@ def decision_tree(seed: int = 7, **params) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol="label", featuresCol="features", seed=seed, **params)
 
 
+def fit(estimator, train: DataFrame):
+    """Fit on a cached table and release it: fitting reads the table many times."""
+    cached = train.persist()
+    try:
+        return estimator.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 def threshold_from_rate(train: DataFrame, label: str = "label") -> float:
     """The positive rate of the training part, one number."""
     return float(positive_rate(train, label).first()[0])
@@ -87,7 +96,7 @@ def next_step_regression(
         estimator = GBTRegressor(maxIter=10, seed=seed)
     else:
         raise ValueError(f"unknown method {method!r}")
-    model = estimator.fit(ready.where(F.col("part") == "train"))
+    model = fit(estimator, ready.where(F.col("part") == "train"))
     predicted = model.transform(ready.where(F.col("part") == "test"))
     back = unscale(predicted, limits, "prediction", value, "forecast")
     return back.select(*by, *order, F.col(value).alias("actual"), "forecast")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions.expressions import hash_percent
+from tabulon.operators.models import fit
 
 
 def grid(estimator, **values: Sequence) -> list[dict]:
@@ -61,7 +62,7 @@ def cross_validate(
         foldCol=fold_column,
         parallelism=parallelism,
     )
-    return validator.fit(df)
+    return fit(validator, df)
 
 
 def grid_results(spark, model: CrossValidatorModel) -> DataFrame:
