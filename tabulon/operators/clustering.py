@@ -55,10 +55,9 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 
 def label_per_k(df: DataFrame, ks: Sequence[int], seed: int = 42, features: str = "features") -> DataFrame:
     """One cluster column per k, added without a join."""
-    out = df
+    out = df = settle(df)
     for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol=f"clusters_{k}").fit(df)
-        out = model.transform(out)
+        out = KMeans(k=k, seed=seed, featuresCol=features, predictionCol=f"clusters_{k}").fit(df).transform(out)
     return out
 
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,28 +92,31 @@ def _lag_columns(y: np.ndarray, rows: np.ndarray, p: int) -> np.ndarray:
     return np.column_stack([y[rows - k] for k in range(1, p + 1)]) if p else np.empty((len(rows), 0))
 
 
-def chunk_sums(framed: DataFrame, keys: Sequence[str], design, width: int) -> DataFrame:
-    """X'X of each chunk as ``(keys, cell, s)`` rows; ``design`` builds X from a sorted chunk."""
+def chunk_sums(framed: DataFrame, keys: Sequence[str], design) -> DataFrame:
+    """X'X of each chunk as one flat array; ``design`` builds X from a sorted chunk."""
     fields = [f for f in framed.schema.fields if f.name in keys]
-    schema = T.StructType([*fields, T.StructField("cell", T.IntegerType()), T.StructField("s", T.DoubleType())])
+    schema = T.StructType([*fields, T.StructField("gram", T.ArrayType(T.DoubleType()))])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        x = design(pdf)
-        gram = x.T @ x if len(x) else np.zeros((width, width))
-        out = pd.DataFrame({"cell": np.arange(width * width, dtype="int32"), "s": gram.ravel()})
-        for key in keys:
-            out[key] = pdf[key].iloc[0]
-        return out[[*keys, "cell", "s"]]
+        x = design(pdf.sort_values("pos"))
+        first = pdf.iloc[:1]
+        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "gram": [(x.T @ x).ravel()]})
 
     return framed.groupBy(*keys).applyInPandas(run, schema)
 
 
-def summed_matrix(cells: DataFrame, by: Sequence[str], name: str = "gram") -> DataFrame:
+def summed_matrix(chunks: DataFrame, by: Sequence[str], name: str = "gram") -> DataFrame:
     """Chunk matrices added up: one flat array per series."""
-    totals = cells.groupBy(*by, "cell").agg(F.sum("s").alias("s"))
+    return chunks.groupBy(*by).agg(vector_to_array(Summarizer.sum(array_to_vector("gram"))).alias(name))
+
+
+def earlier_matrix(chunks: DataFrame, by: Sequence[str], name: str = "carry") -> DataFrame:
+    """For each chunk, the sum of the matrices of the chunks before it."""
+    before = Window.partitionBy(*by, "cell").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    cells = chunks.select(*by, "_chunk", F.posexplode("gram").alias("cell", "s"))
+    carried = cells.withColumn("s", F.coalesce(F.sum("s").over(before), F.lit(0.0)))
     ordered = F.array_sort(F.collect_list(F.struct("cell", "s")))
-    return totals.groupBy(*by).agg(F.transform(ordered, lambda c: c["s"]).alias(name))
+    return carried.groupBy(*by, "_chunk").agg(F.transform(ordered, lambda c: c["s"]).alias(name))
 
 
 # ------------------------------------------------------------ autoregression
@@ -138,7 +143,7 @@ def ar_fit(
     Give it the differenced series for an integrated model.
     """
     framed, keys = frames(df.select(*by, *order, F.col(value).alias("z")), by, order, p, run_rows)
-    grams = summed_matrix(chunk_sums(framed, keys, ar_design(p), p + 1), by)
+    grams = summed_matrix(chunk_sums(framed, keys, ar_design(p)), by)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
     @F.pandas_udf("array<double>")
@@ -173,10 +178,7 @@ def walk_forward(
     one pass: each chunk starts from the sums of the chunks before it.
     """
     framed, keys = frames(df.select(*by, *order, F.col(value).alias("z")), by, order, p, run_rows)
-    cells = chunk_sums(framed, keys, ar_design(p), p + 1)
-    before = Window.partitionBy(*by, "cell").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = cells.withColumn("s", F.coalesce(F.sum("s").over(before), F.lit(0.0)))
-    carry = summed_matrix(carried, keys, "carry")
+    carry = earlier_matrix(chunk_sums(framed, keys, ar_design(p)), by)
     sized = with_group_values(framed, df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
 
     fields = [f for f in framed.schema.fields if f.name in (*by, *order)]
@@ -284,45 +286,29 @@ def unit_root_test(
         F.coalesce(F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")), F.lit(0.0)).alias("z"),
     )
     framed, keys = frames(base, by, order, limit + 1, run_rows)
-    width = limit + 3
     # Lag choice needs one common sample, but the final regression also uses
-    # the few rows before it: their products are kept apart, one block per row.
+    # the few rows before it: their values travel as a short array.
     schema = T.StructType(
         [*[f for f in framed.schema.fields if f.name in keys],
-         T.StructField("cell", T.IntegerType()), T.StructField("s", T.DoubleType())]
+         T.StructField("gram", T.ArrayType(T.DoubleType())), T.StructField("early", T.ArrayType(T.DoubleType()))]
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        n = int(pdf["_n"].iloc[0])
-        own = min(limit, default_maxlag(n)) if maxlag is None else limit
-        full = np.nan_to_num(_adf_design(limit, own + 1)(pdf))
-        blocks = [(own + 1, full.T @ full)]
-        pos = pdf["pos"].to_numpy()
-        home = pdf["_home"].to_numpy()
-        y = pdf["z"].to_numpy(dtype=float)
-        dy = np.diff(y, prepend=np.nan)
-        for at in range(1, own + 1):
-            row = np.flatnonzero(home & (pos == at))
-            if len(row):
-                i = int(row[0])
-                x = np.zeros(width)
-                x[0], x[limit + 1], x[limit + 2] = y[i - 1], 1.0, dy[i]
-                for k in range(1, min(at - 1, limit) + 1):
-                    x[k] = dy[i - k]
-                blocks.append((at, np.outer(x, x)))
-        parts = [
-            pd.DataFrame({"cell": np.arange(width * width, dtype="int32") + at * width * width, "s": g.ravel()})
-            for at, g in blocks
-        ]
-        out = pd.concat(parts)
-        for key in keys:
-            out[key] = pdf[key].iloc[0]
-        return out[[*keys, "cell", "s"]]
-
-    cells = framed.groupBy(*keys).applyInPandas(run, schema)
-    totals = cells.groupBy(*by, "cell").agg(F.sum("s").alias("s"))
-    packed = totals.groupBy(*by).agg(F.collect_list(F.struct("cell", "s")).alias("cells"))
+        own = own_limit(int(pdf["_n"].iloc[0]))
+        x = np.nan_to_num(_adf_design(limit, own + 1)(pdf))
+        first = pdf.iloc[:1]
+        early = pdf["z"].to_numpy(dtype=float)[: own + 1] if int(first["pos"].iloc[0]) == 0 else None
+        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "gram": [(x.T @ x).ravel()], "early": [early]})
+
+    def own_limit(n: int) -> int:
+        return min(limit, default_maxlag(n)) if maxlag is None else limit
+
+    chunks = framed.groupBy(*keys).applyInPandas(run, schema)
+    packed = chunks.groupBy(*by).agg(
+        vector_to_array(Summarizer.sum(array_to_vector("gram"))).alias("gram"),
+        F.first("early", ignorenulls=True).alias("early"),
+    )
 
     result = T.StructType(
         [T.StructField("statistic", T.DoubleType()), T.StructField("p_value", T.DoubleType()),
@@ -331,31 +317,30 @@ def unit_root_test(
     )
 
     @F.pandas_udf(result)
-    def solve(cells: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_unit_root(c, width, limit) for c in cells], columns=result.names)
+    def solve(gram: pd.Series, early: pd.Series) -> pd.DataFrame:
+        found = [_unit_root(np.asarray(g, dtype=float), np.asarray(e, dtype=float), limit) for g, e in zip(gram, early)]
+        return pd.DataFrame(found, columns=result.names)
 
-    return packed.select(*by, solve("cells").alias("r")).select(*by, "r.*")
+    return packed.select(*by, solve("gram", "early").alias("r")).select(*by, "r.*")
 
 
 def default_maxlag(n: int) -> int:
     return max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
 
 
-def _unit_root(cells, width: int, limit: int) -> tuple:
-    size = width * width
-    blocks: dict[int, np.ndarray] = {}
-    for c in cells:
-        at, cell = divmod(int(c["cell"]), size)
-        blocks.setdefault(at, np.zeros(size))[cell] = c["s"]
-    blocks = {at: g.reshape(width, width) for at, g in blocks.items()}
-    common = max(blocks)
-    own = common - 1
-    if blocks[common][limit + 1, limit + 1] < own + 4:
-        return (None, None, None, None, None, None, None)
-    lag = best_lag_within(blocks[common], limit, own)
-    gram = blocks[common].copy()
-    for at in range(lag + 1, common):
-        gram += blocks.get(at, 0.0)
+def _unit_root(flat: np.ndarray, early: np.ndarray, limit: int) -> tuple:
+    """``early`` holds the values before the common sample, one more than the lag limit of the series."""
+    width, own = limit + 3, len(early) - 1
+    gram = flat.reshape(width, width)
+    if gram[limit + 1, limit + 1] < own + 4:
+        return (None,) * 7
+    lag = best_lag_within(gram, limit, own)
+    dy = np.diff(early, prepend=np.nan)
+    for at in range(lag + 1, own + 1):
+        x = np.zeros(width)
+        x[0], x[limit + 1], x[limit + 2] = early[at - 1], 1.0, dy[at]
+        x[1 : lag + 1] = dy[at - 1 : at - lag - 1 : -1]
+        gram = gram + np.outer(x, x)
     keep = [0, *range(1, lag + 1), limit + 1]
     beta, rss, inverse = _regress(gram, keep, limit + 2)
     n = int(round(gram[limit + 1, limit + 1]))

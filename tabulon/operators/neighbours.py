@@ -14,6 +14,8 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,7 @@ from tabulon.session import settle
 
 BLOCK_ROWS = 2000
 TASK_ROWS = 40_000
+MOST_CLUSTERS = 10_000
 
 
 def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -154,11 +157,16 @@ def squared_silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> Da
     base = df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"),
                      F.col(cluster).cast("bigint").alias("c"))
     power = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x)
-    slots = base.select("c", F.posexplode("v").alias("i", "x"))
-    means = slots.groupBy("c", "i").agg(F.avg("x").alias("m"))
-    centres = means.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("m"))
-    powers = base.groupBy("c").agg(F.avg(power).alias("p"), F.count(F.lit(1)).alias("n"))
-    summary = centres.join(powers, "c").agg(F.collect_list(F.struct("c", "m", "p", "n")).alias("clusters"))
+    clusters = settle(
+        base.groupBy("c").agg(
+            vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("m"),
+            F.avg(power).alias("p"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+    if clusters.count() > MOST_CLUSTERS:
+        raise ValueError(f"more than {MOST_CLUSTERS} clusters; use silhouette()")
+    summary = clusters.agg(F.collect_list(F.struct("c", "m", "p", "n")).alias("clusters"))
     wide = with_group_values(base.withColumn("xx", power), summary, [])
 
     def mean_distance(s):

@@ -157,17 +157,6 @@ def unstack(pairs: DataFrame, row: str, column: str, value: str, values: Sequenc
     return pairs.groupBy(row).agg(*cells)
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """The sorted distinct values of a column that is known to have few.
-
-    Raises rather than cutting the list when there are more than ``limit``.
-    """
-    found = df.select(column).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values; keep it in long form")
-    return sorted(r[0] for r in found if r[0] is not None)
-
-
 def rows_at_max(df: DataFrame, column: str) -> DataFrame:
     """Every row that attains the largest value of the column."""
     top = df.agg(F.max(column).alias("_top"))

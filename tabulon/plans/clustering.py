@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +28,10 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_centres(spark: SparkSession, sf_dir: str) -> list[list[float]]:
     """Mean embedding of each label: as many rows as labels."""
-    slots = embedding_vectors(spark, sf_dir).select("label", F.posexplode("v").alias("i", "x"))
-    means = slots.groupBy("label", "i").agg(F.avg("x").alias("m"))
-    packed = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c"))
-    return [[s["m"] for s in row["c"]] for row in packed.orderBy("label").collect()]
+    means = embedding_vectors(spark, sf_dir).groupBy("label").agg(
+        vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("c")
+    )
+    return [row["c"] for row in means.orderBy("label").collect()]
 
 
 _CENTRES = """u AS (SELECT vec_id AS id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i

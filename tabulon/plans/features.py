@@ -47,17 +47,41 @@ def frequency_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts
 
 
-@query("k02_one_hot")
-def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _, fitted = census_parts(spark, sf_dir)
-    encoded = fitted.transform(S.census(spark, sf_dir))
-    return encoded.select("id", *[vector_to_array(f"{c}_vec").alias(f"{c}_vec") for c in CATEGORICAL])
+_TRAIN = """train AS (SELECT * FROM census WHERE ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 100 < 70)"""
+_SLOTS = "slots AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS place, '{c}' AS column_name, {c} AS value, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS slot "
+    f"FROM train GROUP BY {c}"
+    for i, c in enumerate(CATEGORICAL)
+) + ")"
 
 
-@query("k03_assembled_features")
+@query("k02_one_hot", S.with_sql(S.CENSUS_SQL, _TRAIN, _SLOTS) + " UNION ALL ".join(
+    f"SELECT id, '{c}' AS column_name, CAST(slot AS INTEGER) AS slot, 1.0::DOUBLE AS ones FROM census LEFT JOIN slots "
+    f"ON column_name = '{c}' AND value = {c}" for c in CATEGORICAL))
+def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot that is set in each one-hot vector, and the sum of the vector."""
+    _, _, fitted = census_parts(spark, sf_dir)
+    encoded = fitted.transform(S.census(spark, sf_dir))
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), vector_to_array(f"{c}_vec").alias("v")) for c in CATEGORICAL
+    ]
+    long = encoded.select("id", F.explode(F.array(*cells)).alias("cell"))
+    ones = F.aggregate("cell.v", F.lit(0.0), lambda s, x: s + x)
+    slot = (F.array_position("cell.v", F.lit(1.0)) - 1).cast("int")
+    return long.select("id", "cell.column_name", slot.alias("slot"), ones.alias("ones"))
+
+
+@query("k03_assembled_features", S.with_sql(S.CENSUS_SQL, _TRAIN, _SLOTS) + """
+, y AS (SELECT income, row_number() OVER (ORDER BY count(*) DESC, income) - 1 AS label FROM train GROUP BY 1)
+SELECT id, label::DOUBLE AS label, (SELECT count(*) + 2 FROM slots)::INTEGER AS width, age, hours_per_week
+FROM train JOIN y USING (income)""")
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label, vector width, and the two numbers that stand at its end."""
     train, _, _ = census_parts(spark, sf_dir)
-    return train.select("id", "label", vector_to_array("features").alias("features"))
+    v = vector_to_array("features")
+    return train.select(
+        "id", "label", F.size(v).alias("width"), F.element_at(v, -2).alias("age"), F.element_at(v, -1).alias("hours_per_week")
+    )
 
 
 @query("k04_pipeline_rows", _C + """
@@ -104,6 +128,21 @@ def principal_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.principal_scores(K.as_vector(embedding_vectors(spark, sf_dir), "v"), "features", 2).select("id", "pc1", "pc2")
 
 
+_AXES = """l AS (SELECT avg(discount) AS mx, avg(profit / 100) AS my, atan2(2 * covar_samp(discount, profit / 100),
+  var_samp(discount) - var_samp(profit / 100)) / 2 AS t FROM store),
+u AS (SELECT mx, my, CASE WHEN greatest(cos(t), sin(t)) >= -least(cos(t), sin(t)) THEN t ELSE t + pi() END AS t1,
+  CASE WHEN greatest(-sin(t), cos(t)) >= -least(-sin(t), cos(t)) THEN t ELSE t + pi() END AS t2 FROM l)"""
+
+
+@query("k07_principal_scores_2d", S.with_sql(S.STORE_SQL, _AXES) + f"""
+SELECT id, {r4('(discount - mx) * cos(t1) + (profit / 100 - my) * sin(t1)')} AS pc1,
+  {r4('(profit / 100 - my) * cos(t2) - (discount - mx) * sin(t2)')} AS pc2 FROM store, u""")
+def principal_scores_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = S.store(spark, sf_dir).select("id", F.array("discount", F.col("profit") / 100).alias("v"))
+    scores = K.principal_scores(K.as_vector(pair, "v"), "features", 2)
+    return scores.select("id", tidy(F.col("pc1")).alias("pc1"), tidy(F.col("pc2")).alias("pc2"))
+
+
 _VAR2 = """l AS (SELECT var_samp(discount) AS a, var_samp(profit / 100) AS b, covar_samp(discount, profit / 100) AS c FROM store),
 e AS (SELECT (a + b) / 2 + sqrt((a - b) * (a - b) / 4 + c * c) AS v1, (a + b) / 2 - sqrt((a - b) * (a - b) / 4 + c * c) AS v2
   FROM l)"""

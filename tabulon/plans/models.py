@@ -13,7 +13,7 @@ from tabulon.operators import models as L
 from tabulon.operators import tuning as N
 from tabulon.operators.ordered import exact_quantiles
 from tabulon.plans import standins as S
-from tabulon.plans.features import CATEGORICAL, NUMERIC, census_parts, embedding_vectors
+from tabulon.plans.features import _SLOTS, _TRAIN, CATEGORICAL, NUMERIC, census_parts, embedding_vectors
 from tabulon.plans.registry import query, r4
 from tabulon.session import settle
 
@@ -172,7 +172,14 @@ def coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.coefficients(logistic_model(train), train)
 
 
-@query("o02_slot_names")
+_NAMES = " UNION ALL ".join(
+    [f"SELECT place, slot, '{c}_vec_' || value AS feature FROM slots WHERE column_name = '{c}'" for c in CATEGORICAL]
+    + [f"SELECT {10 + i}, 0, '{n}'" for i, n in enumerate(NUMERIC)]
+)
+
+
+@query("o02_slot_names", S.with_sql(S.CENSUS_SQL, _TRAIN, _SLOTS) + f"""
+SELECT CAST(row_number() OVER (ORDER BY place, slot) - 1 AS INTEGER) AS slot, feature FROM ({_NAMES})""")
 def slot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, _ = census_parts(spark, sf_dir)
     return O.slot_table(train)
