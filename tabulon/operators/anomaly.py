@@ -15,7 +15,7 @@ from tabulon.functions.expressions import squared_distance, vector_literal
 from tabulon.operators.clustering import assign
 from tabulon.operators.features import as_vector, principal_model
 from tabulon.operators.ordered import exact_quantiles
-from tabulon.session import settle
+from tabulon.session import settle, spread, spread_groups
 
 EULER = 0.5772156649015329
 
@@ -116,7 +116,7 @@ def isolation_forest(
         return _grow(tree, np.stack(picked["x"].map(np.asarray)), seed)
 
     hashed = drawn.withColumn("h", F.xxhash64("_key", "tree", F.lit(seed + 1)))
-    return hashed.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    return spread_groups(hashed, "tree", trees).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
 class ForestScorer:
@@ -163,7 +163,7 @@ class ForestScorer:
                 total += path[at]
             return pd.Series(np.exp2(-total / max(len(forest), 1) / normal))
 
-        return df.withColumn(name, anomaly(F.array(*[F.col(c).cast("double") for c in self.columns])))
+        return spread(df).withColumn(name, anomaly(F.array(*[F.col(c).cast("double") for c in self.columns])))
 
 
 def isolation_outliers(

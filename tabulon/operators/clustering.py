@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tabulon.functions.expressions import squared_distance, vector_literal
 from tabulon.operators.neighbours import nearest, silhouette
 from tabulon.operators.ordered import exact_quantiles
-from tabulon.session import settle
+from tabulon.session import settle, side_by_side
 
 MICRO_CLUSTERS = 1000
 
@@ -56,8 +56,12 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 def label_per_k(df: DataFrame, ks: Sequence[int], seed: int = 42, features: str = "features") -> DataFrame:
     """One cluster column per k, added without a join."""
     out = df = settle(df)
-    for k in ks:
-        out = KMeans(k=k, seed=seed, featuresCol=features, predictionCol=f"clusters_{k}").fit(df).transform(out)
+
+    def train(k: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed, featuresCol=features, predictionCol=f"clusters_{k}").fit(df)
+
+    for model in side_by_side(train, ks):
+        out = model.transform(out)
     return out
 
 
@@ -66,15 +70,17 @@ def sweep_k(
 ) -> DataFrame:
     """Sum of squares, and the mean silhouette when asked, for each k on one cached table."""
     cached = df.select(key, features).persist()
+
+    def measure(k: int) -> tuple:
+        model = kmeans_model(cached, k, seed, features)
+        score = None
+        if with_silhouette:
+            labeled = model.transform(cached).withColumn("_v", vector_to_array(features))
+            score = silhouette(labeled, key, "_v", "cluster").agg(F.avg("silhouette")).first()[0]
+        return k, float(model.summary.trainingCost), score
+
     try:
-        rows = []
-        for k in ks:
-            model = kmeans_model(cached, k, seed, features)
-            score = None
-            if with_silhouette:
-                labeled = model.transform(cached).withColumn("_v", vector_to_array(features))
-                score = silhouette(labeled, key, "_v", "cluster").agg(F.avg("silhouette")).first()[0]
-            rows.append((k, float(model.summary.trainingCost), score))
+        rows = side_by_side(measure, ks)
     finally:
         cached.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, sse double, silhouette double")
@@ -108,10 +114,11 @@ def gap_statistic(
             .persist()
             for r in range(references)
         ]
+        fits = [(k, part) for k in ks for part in (table, *boxes)]
+        costs = side_by_side(lambda fit: np.log(kmeans_model(fit[1], fit[0], seed).summary.trainingCost), fits)
         rows = []
-        for k in ks:
-            observed = np.log(kmeans_model(table, k, seed).summary.trainingCost)
-            logs = [np.log(kmeans_model(b, k, seed).summary.trainingCost) for b in boxes]
+        for i, k in enumerate(ks):
+            observed, *logs = costs[i * (references + 1) : (i + 1) * (references + 1)]
             rows.append((k, float(np.mean(logs) - observed), float(np.std(logs) * np.sqrt(1 + 1 / references))))
         for b in [*boxes, table]:
             b.unpersist()

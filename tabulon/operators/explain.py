@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.session import scratch_path
+from tabulon.session import scratch_path, spread
 
 
 def slot_names(df: DataFrame, features: str = "features") -> list[str]:
@@ -53,7 +53,7 @@ def partial_dependence(
     so each row is repeated once per grid point and summed in place; nothing
     is joined.
     """
-    replaced = df
+    replaced = spread(df)
     for name, values in grids.items():
         points = F.array(*[F.lit(float(v)) for v in values])
         replaced = replaced.drop(name).withColumn(name, F.explode(points))

@@ -95,34 +95,34 @@ def _lag_columns(y: np.ndarray, rows: np.ndarray, p: int) -> np.ndarray:
 def chunk_sums(framed: DataFrame, keys: Sequence[str], design) -> DataFrame:
     """X'X of each chunk as one flat array; ``design`` builds X from a sorted chunk."""
     fields = [f for f in framed.schema.fields if f.name in keys]
-    schema = T.StructType([*fields, T.StructField("gram", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*fields, T.StructField("_gram", T.ArrayType(T.DoubleType()))])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = design(pdf.sort_values("pos"))
         first = pdf.iloc[:1]
-        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "gram": [(x.T @ x).ravel()]})
+        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "_gram": [(x.T @ x).ravel()]})
 
     return framed.groupBy(*keys).applyInPandas(run, schema)
 
 
-def summed_matrix(chunks: DataFrame, by: Sequence[str], name: str = "gram") -> DataFrame:
+def summed_matrix(chunks: DataFrame, by: Sequence[str], name: str = "_gram") -> DataFrame:
     """Chunk matrices added up: one flat array per series."""
-    return chunks.groupBy(*by).agg(vector_to_array(Summarizer.sum(array_to_vector("gram"))).alias(name))
+    return chunks.groupBy(*by).agg(vector_to_array(Summarizer.sum(array_to_vector("_gram"))).alias(name))
 
 
-def earlier_matrix(chunks: DataFrame, by: Sequence[str], name: str = "carry") -> DataFrame:
+def earlier_matrix(chunks: DataFrame, by: Sequence[str], name: str = "_carry") -> DataFrame:
     """For each chunk, the sum of the matrices of the chunks before it."""
-    before = Window.partitionBy(*by, "cell").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    cells = chunks.select(*by, "_chunk", F.posexplode("gram").alias("cell", "s"))
-    carried = cells.withColumn("s", F.coalesce(F.sum("s").over(before), F.lit(0.0)))
-    ordered = F.array_sort(F.collect_list(F.struct("cell", "s")))
-    return carried.groupBy(*by, "_chunk").agg(F.transform(ordered, lambda c: c["s"]).alias(name))
+    before = Window.partitionBy(*by, "_cell").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    cells = chunks.select(*by, "_chunk", F.posexplode("_gram").alias("_cell", "_s"))
+    carried = cells.withColumn("_s", F.coalesce(F.sum("_s").over(before), F.lit(0.0)))
+    ordered = F.array_sort(F.collect_list(F.struct("_cell", "_s")))
+    return carried.groupBy(*by, "_chunk").agg(F.transform(ordered, lambda c: c["_s"]).alias(name))
 
 
 # ------------------------------------------------------------ autoregression
 
 
-def ar_design(p: int, value: str = "z"):
+def ar_design(p: int, value: str = "_z"):
     def build(pdf: pd.DataFrame) -> np.ndarray:
         z = pdf[value].to_numpy(dtype=float)
         rows = np.flatnonzero(pdf["_home"].to_numpy() & (pdf["pos"].to_numpy() >= p))
@@ -142,9 +142,9 @@ def ar_fit(
 
     Give it the differenced series for an integrated model.
     """
-    framed, keys = frames(df.select(*by, *order, F.col(value).alias("z")), by, order, p, run_rows)
+    framed, keys = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows)
     grams = summed_matrix(chunk_sums(framed, keys, ar_design(p)), by)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
 
     @F.pandas_udf("array<double>")
     def coefficients(gram: pd.Series) -> pd.Series:
@@ -155,11 +155,11 @@ def ar_fit(
 
         return gram.map(one)
 
-    solved = with_group_values(grams.withColumn("fit", coefficients("gram")), sizes, by)
+    solved = with_group_values(grams.withColumn("_fit", coefficients("_gram")), sizes, by)
     return solved.select(
         *by,
-        F.posexplode(F.slice("fit", 1, p)).alias("_i", "coefficient"),
-        F.try_divide(F.element_at("fit", p + 1), F.col("n") - p).alias("sigma2"),
+        F.posexplode(F.slice("_fit", 1, p)).alias("_i", "coefficient"),
+        F.try_divide(F.element_at("_fit", p + 1), F.col("_n") - p).alias("sigma2"),
     ).select(*by, (F.col("_i") + 1).alias("lag"), "coefficient", "sigma2")
 
 
@@ -177,7 +177,7 @@ def walk_forward(
     Expanding sums of cross-products give the coefficients of every step from
     one pass: each chunk starts from the sums of the chunks before it.
     """
-    framed, keys = frames(df.select(*by, *order, F.col(value).alias("z")), by, order, p, run_rows)
+    framed, keys = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows)
     carry = earlier_matrix(chunk_sums(framed, keys, ar_design(p)), by)
     sized = with_group_values(framed, df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
 
@@ -192,11 +192,11 @@ def walk_forward(
         rows = rows.sort_values("pos").reset_index(drop=True)
         if rows.empty:
             return pd.DataFrame(columns=columns)
-        z = rows["z"].to_numpy(dtype=float)
+        z = rows["_z"].to_numpy(dtype=float)
         pos = rows["pos"].to_numpy()
         home = rows["_home"].to_numpy()
         split = math.floor(int(rows["_n"].iloc[0]) * share)
-        gram = np.asarray(start["carry"].iloc[0], dtype=float).reshape(p + 1, p + 1) if len(start) else np.zeros((p + 1, p + 1))
+        gram = np.asarray(start["_carry"].iloc[0], dtype=float).reshape(p + 1, p + 1) if len(start) else np.zeros((p + 1, p + 1))
         usable = np.flatnonzero(home & (pos >= p))
         x = np.column_stack([_lag_columns(z, usable, p), z[usable]]) if len(usable) else np.empty((0, p + 1))
         outer = np.einsum("ij,ik->ijk", x, x)
@@ -222,7 +222,7 @@ def _adf_design(maxlag: int, start: int):
     """Columns: lagged level, lagged differences, constant, difference; rows from ``start`` on."""
 
     def build(pdf: pd.DataFrame) -> np.ndarray:
-        y = pdf["z"].to_numpy(dtype=float)
+        y = pdf["_z"].to_numpy(dtype=float)
         rows = np.flatnonzero(pdf["_home"].to_numpy() & (pdf["pos"].to_numpy() >= start))
         if not len(rows):
             return np.empty((0, maxlag + 3))
@@ -283,14 +283,14 @@ def unit_root_test(
     limit = default_maxlag(longest) if maxlag is None else maxlag
     base = with_group_values(df.select(*by, *order, value), stats, by).select(
         *by, *order, "_n",
-        F.coalesce(F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")), F.lit(0.0)).alias("z"),
+        F.coalesce(F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")), F.lit(0.0)).alias("_z"),
     )
     framed, keys = frames(base, by, order, limit + 1, run_rows)
     # Lag choice needs one common sample, but the final regression also uses
     # the few rows before it: their values travel as a short array.
     schema = T.StructType(
         [*[f for f in framed.schema.fields if f.name in keys],
-         T.StructField("gram", T.ArrayType(T.DoubleType())), T.StructField("early", T.ArrayType(T.DoubleType()))]
+         T.StructField("_gram", T.ArrayType(T.DoubleType())), T.StructField("_early", T.ArrayType(T.DoubleType()))]
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -298,16 +298,16 @@ def unit_root_test(
         own = own_limit(int(pdf["_n"].iloc[0]))
         x = np.nan_to_num(_adf_design(limit, own + 1)(pdf))
         first = pdf.iloc[:1]
-        early = pdf["z"].to_numpy(dtype=float)[: own + 1] if int(first["pos"].iloc[0]) == 0 else None
-        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "gram": [(x.T @ x).ravel()], "early": [early]})
+        early = pdf["_z"].to_numpy(dtype=float)[: own + 1] if int(first["pos"].iloc[0]) == 0 else None
+        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "_gram": [(x.T @ x).ravel()], "_early": [early]})
 
     def own_limit(n: int) -> int:
         return min(limit, default_maxlag(n)) if maxlag is None else limit
 
     chunks = framed.groupBy(*keys).applyInPandas(run, schema)
     packed = chunks.groupBy(*by).agg(
-        vector_to_array(Summarizer.sum(array_to_vector("gram"))).alias("gram"),
-        F.first("early", ignorenulls=True).alias("early"),
+        vector_to_array(Summarizer.sum(array_to_vector("_gram"))).alias("_gram"),
+        F.first("_early", ignorenulls=True).alias("_early"),
     )
 
     result = T.StructType(
@@ -321,7 +321,7 @@ def unit_root_test(
         found = [_unit_root(np.asarray(g, dtype=float), np.asarray(e, dtype=float), limit) for g, e in zip(gram, early)]
         return pd.DataFrame(found, columns=result.names)
 
-    return packed.select(*by, solve("gram", "early").alias("r")).select(*by, "r.*")
+    return packed.select(*by, solve("_gram", "_early").alias("_r")).select(*by, "_r.*")
 
 
 def default_maxlag(n: int) -> int:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tabulon.operators.evaluate import accuracy, positive_rate
 from tabulon.operators.features import column_limits, scale, unscale
 from tabulon.operators.series import sliding_windows
+from tabulon.session import spread
 
 
 def logistic(max_iter: int = 10, threshold: float = 0.5, **params) -> LogisticRegression:
@@ -38,7 +39,7 @@ def decision_tree(seed: int = 7, **params) -> DecisionTreeClassifier:
 
 def fit(estimator, train: DataFrame):
     """Fit on a cached table and release it: fitting reads the table many times."""
-    cached = train.persist()
+    cached = spread(train).persist()
     try:
         return estimator.fit(cached)
     finally:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.operators.ordered import null_safe_join, with_group_values
-from tabulon.session import settle
+from tabulon.session import settle, spread_groups
 
 BLOCK_ROWS = 2000
 TASK_ROWS = 40_000
@@ -103,11 +103,8 @@ def compare_blocks(
 
     schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     names = schema.names
-    return (
-        both.withColumn("_task", F.pmod(F.xxhash64("_pair"), F.lit(tasks)))
-        .groupBy("_task")
-        .applyInPandas(run, schema)
-    )
+    numbered = both.withColumn("_task", F.pmod(F.xxhash64("_pair"), F.lit(tasks)))
+    return spread_groups(numbered, "_task", tasks).groupBy("_task").applyInPandas(run, schema)
 
 
 def silhouette(

@@ -113,9 +113,9 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     limits = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     placed = with_group_values(df.where(x.isNotNull()).select(x.alias("_x")), limits, [])
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    slot = F.least(F.lit(bins), F.floor(F.try_divide(F.col("_x") - F.col("_lo"), width)).cast("int") + 1)
+    step = F.coalesce(F.floor(F.try_divide(F.col("_x") - F.col("_lo"), width)).cast("int"), F.lit(0))
     return (
-        placed.select(F.coalesce(slot, F.lit(1)).alias("bin"), "_lo", width.alias("_width"))
+        placed.select(F.least(F.lit(bins), step + 1).alias("bin"), "_lo", width.alias("_width"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("count"), F.min("_lo").alias("_lo"), F.min("_width").alias("_width"))
         .select(

@@ -10,6 +10,7 @@ from tabulon.operators import profile
 from tabulon.operators.ordered import exact_quantiles
 from tabulon.plans import standins as S
 from tabulon.plans.registry import query, r4
+from tabulon.session import settle
 
 _STORE = S.with_sql(S.STORE_SQL)
 _WINE = S.with_sql(S.OFFERS_SQL, S.TRANSACTIONS_SQL)
@@ -36,12 +37,12 @@ def _tidied(df: DataFrame, columns) -> DataFrame:
 
 @query("d04_describe", _STORE + _stats_sql("sales") + " UNION ALL " + _stats_sql("profit"))
 def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidied(profile.summary_stats(S.store(spark, sf_dir), ["sales", "profit"]), _STATS)
+    return _tidied(profile.summary_stats(settle(S.store(spark, sf_dir)), ["sales", "profit"]), _STATS)
 
 
 @query("d05_describe_by_group", _STORE + _stats_sql("sales", "category") + " UNION ALL " + _stats_sql("profit", "category"))
 def describe_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidied(profile.summary_stats(S.store(spark, sf_dir), ["sales", "profit"], ["category"]), _STATS)
+    return _tidied(profile.summary_stats(settle(S.store(spark, sf_dir)), ["sales", "profit"], ["category"]), _STATS)
 
 
 @query("d16_rows_at_max", "SELECT event_id, value FROM events WHERE value = (SELECT max(value) FROM events)")
@@ -121,7 +122,7 @@ def percentile_cut_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT bin, {r4('lo + (bin - 1) * w')} AS bin_start, {r4('lo + bin * w')} AS bin_end, count(*) AS count
 FROM (SELECT CAST(least(20, floor((sales - lo) / w) + 1) AS INTEGER) AS bin, lo, w FROM store, lim) GROUP BY bin, lo, w""")
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidied(profile.histogram(S.store(spark, sf_dir), "sales", 20), ["bin_start", "bin_end"])
+    return _tidied(profile.histogram(settle(S.store(spark, sf_dir)), "sales", 20), ["bin_start", "bin_end"])
 
 
 @query("d24_mean_per_date", _STORE + f"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -58,3 +60,27 @@ def settle(df: DataFrame) -> DataFrame:
     """
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for work that is heavy per row.
+
+    Only a table in fewer partitions than there are cores is moved, so a table
+    read from many files stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def spread_groups(df: DataFrame, key: str, groups: int) -> DataFrame:
+    """Hash ``groups`` heavy groups over tasks that stay apart, however few bytes they hold."""
+    spark = df.sparkSession
+    most = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(max(1, min(groups, most)), key)
+
+
+def side_by_side(work, items, threads: int = 4) -> list:
+    """Run independent jobs at once, so that small ones do not wait for each other."""
+    items = list(items)
+    with ThreadPool(max(1, min(threads, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(work), items)
