@@ -26,16 +26,32 @@ from tabulon.session import settle, spread_groups
 BLOCK_ROWS = 2000
 TASK_ROWS = 40_000
 MOST_CLUSTERS = 10_000
+NARROW = 8
 
 
 def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Euclidean distances of every left row to every right row."""
+    if left.shape[1] <= NARROW:
+        squared = np.zeros((len(left), len(right)))
+        for i in range(left.shape[1]):
+            squared += (left[:, i, None] - right[None, :, i]) ** 2
+        return np.sqrt(squared)
     centre = left.mean(axis=0)
     a, b = left - centre, right - centre
     squared = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def within(left: np.ndarray, right: np.ndarray, reach: float) -> np.ndarray:
+    """Which pairs lie within reach; pairs close to the limit are measured again term by term."""
+    d = distances(left, right)
+    if left.shape[1] > NARROW:
+        slack = 1e-7 * (1.0 + reach + np.abs(left).max() + np.abs(right).max())
+        i, j = np.nonzero(np.abs(d - reach) <= slack)
+        d[i, j] = np.sqrt(((left[i] - right[j]) ** 2).sum(axis=1))
+    return d <= reach
+
+
 def matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in vectors])
 
@@ -303,10 +319,10 @@ def density_clusters(
     width = len(df.select(vector).first()[0])
     gridded, cells = _grid_cells(settle(unique), width, eps)
     points = settle(gridded)
-    reach = float(eps) + 1e-12
+    reach = float(eps)
 
     def count(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        close = distances(matrix(t["v"]), matrix(r["v"])) <= reach
+        close = within(matrix(t["v"]), matrix(r["v"]), reach)
         return pd.DataFrame({"key": t["key"], "m": close @ r["w"].to_numpy(dtype="int64")})
 
     counted = compare_blocks(points, "key", ["v", "w"], count, "key bigint, m bigint", cells, block_rows)
@@ -315,7 +331,7 @@ def density_clusters(
 
     def link(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         tk, rk = t["key"].to_numpy(), r["key"].to_numpy()
-        close = distances(matrix(t["v"]), matrix(r["v"])) <= reach
+        close = within(matrix(t["v"]), matrix(r["v"]), reach)
         close &= r["core"].to_numpy()[None, :]
         out = []
         core = t["core"].to_numpy()
