@@ -142,8 +142,8 @@ def ar_fit(
 
     Give it the differenced series for an integrated model.
     """
-    framed, keys = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows)
-    grams = summed_matrix(chunk_sums(framed, keys, ar_design(p)), by)
+    cut = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows, with_pos=True)
+    grams = summed_matrix(chunk_sums(cut.df, cut.keys, ar_design(p)), by)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
 
     @F.pandas_udf("array<double>")
@@ -177,28 +177,21 @@ def walk_forward(
     Expanding sums of cross-products give the coefficients of every step from
     one pass: each chunk starts from the sums of the chunks before it.
     """
-    framed, keys = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows)
-    carry = earlier_matrix(chunk_sums(framed, keys, ar_design(p)), by)
-    sized = with_group_values(framed, df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
-
-    fields = [f for f in framed.schema.fields if f.name in (*by, *order)]
+    cut = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows, with_pos=True)
+    fields = [f for f in cut.df.schema.fields if f.name in (*by, *order)]
     schema = T.StructType(
         [*fields, T.StructField("pos", T.LongType()), T.StructField("actual", T.DoubleType()),
          T.StructField("forecast", T.DoubleType())]
     )
     columns = schema.names
+    width = p + 1
 
-    def run(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos").reset_index(drop=True)
-        if rows.empty:
-            return pd.DataFrame(columns=columns)
-        z = rows["_z"].to_numpy(dtype=float)
-        pos = rows["pos"].to_numpy()
-        home = rows["_home"].to_numpy()
-        split = math.floor(int(rows["_n"].iloc[0]) * share)
-        gram = np.asarray(start["_carry"].iloc[0], dtype=float).reshape(p + 1, p + 1) if len(start) else np.zeros((p + 1, p + 1))
+    def steps(rows: pd.DataFrame, gram: np.ndarray, n: int) -> pd.DataFrame:
+        """Forecasts within one sorted chunk, given the sums of all earlier rows."""
+        z, pos, home = rows["_z"].to_numpy(dtype=float), rows["pos"].to_numpy(), rows["_home"].to_numpy()
+        split = math.floor(n * share)
         usable = np.flatnonzero(home & (pos >= p))
-        x = np.column_stack([_lag_columns(z, usable, p), z[usable]]) if len(usable) else np.empty((0, p + 1))
+        x = np.column_stack([_lag_columns(z, usable, p), z[usable]]) if len(usable) else np.empty((0, width))
         outer = np.einsum("ij,ik->ijk", x, x)
         until = gram + np.cumsum(outer, axis=0) - outer  # sums over rows strictly before
         forecast = np.full(len(z), np.nan)
@@ -210,8 +203,22 @@ def walk_forward(
         out = rows.assign(actual=z, forecast=forecast)
         return out.loc[home & (pos >= split), columns]
 
-    grouped = sized.groupBy(*keys).cogroup(carry.groupBy(*keys))
-    done = grouped.applyInPandas(run, schema)
+    def whole(rows: pd.DataFrame) -> pd.DataFrame:
+        return steps(rows.sort_values("pos").reset_index(drop=True), np.zeros((width, width)), len(rows))
+
+    def continued(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame(columns=columns)
+        rows = rows.sort_values("pos").reset_index(drop=True)
+        gram = np.asarray(start["_carry"].iloc[0], dtype=float).reshape(width, width)
+        return steps(rows, gram, int(rows["_n"].iloc[0]))
+
+    if cut.split:
+        carry = earlier_matrix(chunk_sums(cut.df, cut.keys, ar_design(p)), by)
+        sized = with_group_values(cut.df, df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
+        done = sized.groupBy(*cut.keys).cogroup(carry.groupBy(*cut.keys)).applyInPandas(continued, schema)
+    else:
+        done = cut.df.groupBy(*cut.keys).applyInPandas(whole, schema)
     return done.withColumn("forecast", F.nanvl("forecast", F.lit(None).cast("double")))
 
 
@@ -285,11 +292,12 @@ def unit_root_test(
         *by, *order, "_n",
         F.coalesce(F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")), F.lit(0.0)).alias("_z"),
     )
-    framed, keys = frames(base, by, order, limit + 1, run_rows)
+    cut = frames(base, by, order, limit + 1, run_rows, with_pos=True)
+    keys = cut.keys
     # Lag choice needs one common sample, but the final regression also uses
     # the few rows before it: their values travel as a short array.
     schema = T.StructType(
-        [*[f for f in framed.schema.fields if f.name in keys],
+        [*[f for f in cut.df.schema.fields if f.name in keys],
          T.StructField("_gram", T.ArrayType(T.DoubleType())), T.StructField("_early", T.ArrayType(T.DoubleType()))]
     )
 
@@ -304,7 +312,7 @@ def unit_root_test(
     def own_limit(n: int) -> int:
         return min(limit, default_maxlag(n)) if maxlag is None else limit
 
-    chunks = framed.groupBy(*keys).applyInPandas(run, schema)
+    chunks = cut.df.groupBy(*keys).applyInPandas(run, schema)
     packed = chunks.groupBy(*by).agg(
         vector_to_array(Summarizer.sum(array_to_vector("_gram"))).alias("_gram"),
         F.first("_early", ignorenulls=True).alias("_early"),

@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,13 +47,17 @@ def running_totals(
     order: Sequence[str | Column],
     sums: dict[str, str | Column],
     run_rows: int = RUN_ROWS,
+    extent: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums ``{new column: value}`` within ``by`` along ``order``."""
+    """Add inclusive running sums ``{new column: value}`` within ``by`` along ``order``.
+
+    ``extent`` is the result of :func:`group_extent` when the caller has it already.
+    """
     by = list(by)
     order = [as_column(o) for o in order]
     values = {f"_v_{name}": as_column(value) for name, value in sums.items()}
     base = df.select("*", *[value.alias(v) for v, value in values.items()])
-    longest, total = group_extent(df, by)
+    longest, total = extent or group_extent(df, by)
 
     if longest <= run_rows:
         frame = (
@@ -83,25 +88,48 @@ def running_totals(
 
 
 def positions(
-    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "pos", run_rows: int = RUN_ROWS
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str | Column],
+    name: str = "pos",
+    run_rows: int = RUN_ROWS,
+    extent: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add the zero-based position of each row within its group."""
-    counted = running_totals(df, by, order, {name: F.lit(1)}, run_rows)
+    counted = running_totals(df, by, order, {name: F.lit(1)}, run_rows, extent)
     return counted.withColumn(name, F.col(name).cast("bigint") - 1)
 
 
+class Frames(NamedTuple):
+    """A table cut for windows: partition by ``keys``, order by ``order``, keep rows where ``_home``."""
+
+    df: DataFrame
+    keys: list[str]
+    order: list[Column]
+    split: bool
+
+
 def frames(
-    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], back: int, run_rows: int = RUN_ROWS
-) -> tuple[DataFrame, list[str]]:
-    """Cut each group into chunks that also hold the ``back`` rows before them.
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str | Column],
+    back: int,
+    run_rows: int = RUN_ROWS,
+    with_pos: bool = False,
+) -> Frames:
+    """Prepare windows that reach ``back`` rows into the past.
 
-    Returns the table with ``pos``, ``_chunk`` and ``_home``, and the keys to
-    partition a window by. Borrowed rows have ``_home = false``; drop them
-    after the window is computed.
+    Groups within ``run_rows`` stay whole. Longer ones are cut into chunks
+    that also hold the ``back`` rows before them; those borrowed rows have
+    ``_home = false`` and are dropped after the window is computed.
     """
     if back >= run_rows:
         raise ValueError("a chunk must be longer than the rows it borrows")
-    placed = positions(df, by, order, run_rows=run_rows)
+    extent = group_extent(df, by)
+    if extent[0] <= run_rows:
+        whole = positions(df, by, order, run_rows=run_rows, extent=extent) if with_pos else df
+        return Frames(whole.withColumn("_home", F.lit(True)), list(by), [as_column(o) for o in order], False)
+    placed = positions(df, by, order, run_rows=run_rows, extent=extent)
     own = F.floor(F.col("pos") / F.lit(run_rows)).cast("bigint")
     lent = F.col("pos") % run_rows >= run_rows - back
     chunked = placed.select(
@@ -109,7 +137,7 @@ def frames(
         own.alias("_own"),
         F.explode(F.when(lent, F.array(own, own + 1)).otherwise(F.array(own))).alias("_chunk"),
     ).withColumn("_home", F.col("_own") == F.col("_chunk"))
-    return chunked.drop("_own"), [*by, "_chunk"]
+    return Frames(chunked.drop("_own"), [*by, "_chunk"], [F.col("pos")], True)
 
 
 def group_sizes(df: DataFrame, by: Sequence[str], name: str = "n") -> DataFrame:

@@ -62,17 +62,16 @@ def users_of(bookings: DataFrame, facilities: DataFrame, members: DataFrame, tex
     )
 
 
-def price(is_guest: Column) -> Column:
-    return F.when(is_guest, F.col("guestcost")).otherwise(F.col("membercost"))
-
-
 def booking_costs(bookings: DataFrame, facilities: DataFrame, per_member: bool) -> DataFrame:
-    """Total cost per facility, and per member when asked."""
-    guest = (F.col("memid") == GUEST).alias("is_guest")
-    keys = ["facid", F.col("memid"), guest] if per_member else ["facid", guest]
-    slots = bookings.groupBy(*keys).agg(F.sum("slots").alias("slots"))
-    priced = slots.join(facilities.select("facid", "name", "guestcost", "membercost"), "facid")
-    return priced.withColumn("cost", price(F.col("is_guest")) * F.col("slots"))
+    """Total cost per facility, and per member when asked: one aggregate, then the price lookup."""
+    guest = F.col("memid") == GUEST
+    keys = ["facid", "memid"] if per_member else ["facid"]
+    slots = bookings.groupBy(*keys).agg(
+        F.sum(F.when(guest, F.col("slots")).otherwise(0)).alias("guest_slots"),
+        F.sum(F.when(~guest, F.col("slots")).otherwise(0)).alias("member_slots"),
+    )
+    cost = F.col("guest_slots") * F.col("guestcost") + F.col("member_slots") * F.col("membercost")
+    return slots.join(facilities.select("facid", "name", "guestcost", "membercost"), "facid").withColumn("cost", cost)
 
 
 def costly_bookings(
@@ -97,10 +96,11 @@ def costly_bookings(
 def low_revenue(bookings: DataFrame, facilities: DataFrame, below: float, by_name: bool = False) -> DataFrame:
     """Facilities whose total revenue stays below a limit. Needs no members table."""
     costs = booking_costs(bookings, facilities, per_member=False)
+    if by_name:
+        costs = costs.groupBy("name").agg(F.sum("cost").alias("cost"))
     keys = ["name"] if by_name else ["facid", "name"]
     return (
-        costs.groupBy(*keys)
-        .agg(F.sum("cost").alias("total_revenue"))
+        costs.select(*keys, F.col("cost").alias("total_revenue"))
         .where(F.col("total_revenue") < below)
         .orderBy("total_revenue", *keys)
     )

@@ -24,8 +24,8 @@ from tabulon.operators.ordered import (
 WORK = ("pos", "_chunk", "_home")
 
 
-def _finish(df: DataFrame, keep_pos: bool = False) -> DataFrame:
-    return df.where("_home").drop(*[c for c in WORK if not (keep_pos and c == "pos")])
+def _finish(df: DataFrame) -> DataFrame:
+    return df.where("_home").drop(*WORK)
 
 
 def shifted(
@@ -35,13 +35,12 @@ def shifted(
     value: str,
     lags: dict[str, int],
     run_rows: int = RUN_ROWS,
-    keep_pos: bool = False,
 ) -> DataFrame:
     """Add earlier values of the series: ``{new column: lag}``."""
-    framed, keys = frames(df, by, order, max(lags.values()), run_rows)
-    w = Window.partitionBy(*keys).orderBy("pos")
-    out = framed.select("*", *[F.lag(value, lag).over(w).alias(name) for name, lag in lags.items()])
-    return _finish(out, keep_pos)
+    cut = frames(df, by, order, max(lags.values()), run_rows)
+    w = Window.partitionBy(*cut.keys).orderBy(*cut.order)
+    out = cut.df.select("*", *[F.lag(value, lag).over(w).alias(name) for name, lag in lags.items()])
+    return _finish(out)
 
 
 def previous(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, run_rows: int = RUN_ROWS) -> DataFrame:
@@ -52,10 +51,10 @@ def rolling(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, size: int, run_rows: int = RUN_ROWS
 ) -> DataFrame:
     """Mean and sample deviation of the last ``size`` values, null until the window is full."""
-    framed, keys = frames(df, by, order, size - 1, run_rows)
-    w = Window.partitionBy(*keys).orderBy("pos").rowsBetween(-(size - 1), 0)
+    cut = frames(df, by, order, size - 1, run_rows)
+    w = Window.partitionBy(*cut.keys).orderBy(*cut.order).rowsBetween(-(size - 1), 0)
     full = F.count(value).over(w) == size
-    out = framed.select(
+    out = cut.df.select(
         "*",
         F.when(full, F.avg(value).over(w)).alias("rolling_mean"),
         F.when(full, F.stddev_samp(value).over(w)).alias("rolling_std"),
@@ -142,10 +141,10 @@ def sliding_windows(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, size: int = 60, run_rows: int = RUN_ROWS
 ) -> DataFrame:
     """The ``size`` values before each row as an array, for rows that have that many."""
-    framed, keys = frames(df, by, order, size, run_rows)
-    w = Window.partitionBy(*keys).orderBy("pos").rowsBetween(-size, -1)
-    out = framed.withColumn("window", F.collect_list(value).over(w))
-    return _finish(out.where(F.size("window") == size), keep_pos=True)
+    cut = frames(df, by, order, size, run_rows)
+    w = Window.partitionBy(*cut.keys).orderBy(*cut.order).rowsBetween(-size, -1)
+    out = cut.df.withColumn("window", F.collect_list(value).over(w))
+    return _finish(out.where(F.size("window") == size))
 
 
 def concat_series(first: DataFrame, second: DataFrame) -> DataFrame:
