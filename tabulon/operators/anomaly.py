@@ -48,9 +48,12 @@ def bottom_rows(df: DataFrame, column: str, key: str, n: int) -> DataFrame:
 
 
 def above_share(scored: DataFrame, score: str, contamination: float = 0.01) -> DataFrame:
-    """Flag rows whose score lies above the (1 − contamination) quantile. ``scored`` is read twice."""
+    """Flag rows whose score lies above the (1 − contamination) quantile; ``margin`` is negative outside.
+
+    ``scored`` is read twice.
+    """
     cut = exact_quantiles(scored, score, [1.0 - contamination], names=["cut"])
-    return scored.withColumn("outlier", F.col(score) > cut.scalar())
+    return scored.withColumn("margin", cut.scalar() - F.col(score)).withColumn("outlier", F.col("margin") < 0)
 
 
 # ------------------------------------------------------------------ isolation forest
@@ -252,6 +255,13 @@ def unit_grid(spark, names: tuple[str, str], steps: int = 100) -> DataFrame:
     )
 
 
+def value_line(df: DataFrame, column: str) -> DataFrame:
+    """As many evenly spaced values between the smallest and largest as there are rows."""
+    row = df.agg(F.min(column).alias("low"), F.max(column).alias("high"), F.count(column).alias("n")).first()
+    step = (row["high"] - row["low"]) / max(row["n"] - 1, 1)
+    return df.sparkSession.range(row["n"]).select((F.lit(row["low"]) + F.col("id") * step).alias(column))
+
+
 def compare_detectors(flags: dict[str, DataFrame], key: str) -> tuple[DataFrame, DataFrame]:
     """All flags side by side by row, and how often each pair of detectors agrees on an outlier."""
     wide = None

@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.expressions import squared_distance, vector_literal
-from tabulon.operators.neighbours import nearest, silhouette
+from tabulon.operators.neighbours import mean_silhouettes, nearest
 from tabulon.operators.ordered import exact_quantiles
 from tabulon.session import settle, side_by_side
 
 MICRO_CLUSTERS = 1000
 
 
-def kmeans_model(df: DataFrame, k: int, seed: int = 5, features: str = "features", max_iter: int = 20) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster", maxIter=max_iter).fit(df)
+def kmeans_model(
+    df: DataFrame, k: int, seed: int = 5, features: str = "features", max_iter: int = 20, name: str = "cluster"
+) -> KMeansModel:
+    return KMeans(k=k, seed=seed, featuresCol=features, predictionCol=name, maxIter=max_iter).fit(df)
 
 
 def kmeans(df: DataFrame, k: int, seed: int = 5, features: str = "features") -> DataFrame:
@@ -56,11 +58,7 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 def label_per_k(df: DataFrame, ks: Sequence[int], seed: int = 42, features: str = "features") -> DataFrame:
     """One cluster column per k, added without a join."""
     out = df = settle(df)
-
-    def train(k: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed, featuresCol=features, predictionCol=f"clusters_{k}").fit(df)
-
-    for model in side_by_side(train, ks):
+    for model in side_by_side(lambda k: kmeans_model(df, k, seed, features, name=f"clusters_{k}"), ks):
         out = model.transform(out)
     return out
 
@@ -69,20 +67,17 @@ def sweep_k(
     df: DataFrame, key: str, ks: Sequence[int], seed: int = 5, features: str = "features", with_silhouette: bool = False
 ) -> DataFrame:
     """Sum of squares, and the mean silhouette when asked, for each k on one cached table."""
-    cached = df.select(key, features).persist()
-
-    def measure(k: int) -> tuple:
-        model = kmeans_model(cached, k, seed, features)
-        score = None
-        if with_silhouette:
-            labeled = model.transform(cached).withColumn("_v", vector_to_array(features))
-            score = silhouette(labeled, key, "_v", "cluster").agg(F.avg("silhouette")).first()[0]
-        return k, float(model.summary.trainingCost), score
-
-    try:
-        rows = side_by_side(measure, ks)
-    finally:
-        cached.unpersist()
+    cached = settle(df.select(key, features))
+    models = side_by_side(lambda k: kmeans_model(cached, k, seed, features, name=f"clusters_{k}"), ks)
+    scores = {}
+    if with_silhouette:
+        labeled = cached
+        for model in models:
+            labeled = model.transform(labeled)
+        names = [f"clusters_{k}" for k in ks]
+        means = mean_silhouettes(labeled.withColumn("_v", vector_to_array(features)), key, "_v", names)
+        scores = {r["labeling"]: r["silhouette"] for r in means.collect()}
+    rows = [(k, float(m.summary.trainingCost), scores.get(f"clusters_{k}")) for k, m in zip(ks, models)]
     return df.sparkSession.createDataFrame(rows, "k int, sse double, silhouette double")
 
 
@@ -168,6 +163,12 @@ def spectral_clusters(edges: DataFrame, ks: Sequence[int], max_iter: int = 20) -
     return parts
 
 
+def spectral_columns(edges: DataFrame, ks: Sequence[int], max_iter: int = 20) -> DataFrame:
+    """The same labels with one column per k."""
+    long = spectral_clusters(edges, ks, max_iter)
+    return long.groupBy("id").agg(*[F.max(F.when(F.col("k") == k, F.col("cluster"))).alias(f"clusters_{k}") for k in ks])
+
+
 # ------------------------------------------------------------------ agglomerative
 
 
@@ -313,3 +314,16 @@ def affinity_propagation(
     )
     closest = nearest(marked, key, vector, 1, among="_exemplar", include_self=True)
     return closest.select(key, F.col("neighbour").alias("exemplar"))
+
+
+def sweep_damping(
+    df: DataFrame, key: str, vector: str, dampings: Sequence[float], neighbours: int = 30, max_iter: int = 30
+) -> DataFrame:
+    """Exemplars found and mean silhouette for each damping."""
+    parts = None
+    for damping in dampings:
+        found = settle(affinity_propagation(df, key, vector, damping, neighbours, max_iter))
+        scored = mean_silhouettes(found.join(df.select(key, vector), key), key, vector, ["exemplar"])
+        part = scored.select(F.lit(float(damping)).alias("damping"), "clusters", "silhouette")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts

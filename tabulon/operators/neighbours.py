@@ -123,43 +123,74 @@ def compare_blocks(
     return spread_groups(numbered, "_task", tasks).groupBy("_task").applyInPandas(run, schema)
 
 
-def silhouette(
-    df: DataFrame, key: str, vector: str, cluster: str, block_rows: int = BLOCK_ROWS
+def silhouettes(
+    df: DataFrame, key: str, vector: str, labelings: Sequence[str], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Silhouette of every row, by Euclidean distance to all rows. Rows alone in their cluster score 0.
+    """Silhouette of every row under each labeling: ``(key, labeling, cluster, silhouette)``.
 
-    Exact and therefore quadratic in work; see :func:`squared_silhouette` for
-    the linear measure on squared distances.
+    By Euclidean distance to all rows; a row alone in its cluster scores 0.
+    All labelings share one round of distances. Exact and therefore quadratic
+    in work; see :func:`squared_silhouette` for the linear measure on squared
+    distances.
     """
-    points = settle(df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"),
-                              F.col(cluster).cast("bigint").alias("c")))
+    slots = [f"c{i}" for i in range(len(labelings))]
+    points = settle(
+        df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"),
+                  *[F.col(c).cast("bigint").alias(s) for c, s in zip(labelings, slots)])
+    )
 
     def sums(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         d = distances(matrix(t["v"]), matrix(r["v"]))
-        found, where = np.unique(r["c"].to_numpy(), return_inverse=True)
-        totals = d @ np.eye(len(found))[where]
-        return pd.DataFrame(
-            {
-                "key": np.repeat(t["key"].to_numpy(), len(found)),
-                "c": np.repeat(t["c"].to_numpy(), len(found)),
-                "other": np.tile(found, len(t)),
-                "s": totals.ravel(),
-            }
-        )
+        out = []
+        for i, slot in enumerate(slots):
+            found, where = np.unique(r[slot].to_numpy(), return_inverse=True)
+            totals = d @ np.eye(len(found))[where]
+            out.append(
+                pd.DataFrame(
+                    {
+                        "key": np.repeat(t["key"].to_numpy(), len(found)),
+                        "which": np.int32(i),
+                        "c": np.repeat(t[slot].to_numpy(), len(found)),
+                        "other": np.tile(found, len(t)),
+                        "s": totals.ravel(),
+                    }
+                )
+            )
+        return pd.concat(out)
 
-    schema = T.StructType([points.schema["key"], T.StructField("c", T.LongType()),
-                           T.StructField("other", T.LongType()), T.StructField("s", T.DoubleType())])
-    partial = compare_blocks(points, "key", ["v", "c"], sums, schema, block_rows=block_rows)
-    sizes = points.groupBy(F.col("c").alias("other")).agg(F.count(F.lit(1)).alias("n"))
+    schema = T.StructType(
+        [points.schema["key"], T.StructField("which", T.IntegerType()), T.StructField("c", T.LongType()),
+         T.StructField("other", T.LongType()), T.StructField("s", T.DoubleType())]
+    )
+    partial = compare_blocks(points, "key", ["v", *slots], sums, schema, block_rows=block_rows)
+    named = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(s).alias("other")) for i, s in enumerate(slots)]))
+    sizes = points.select(named.alias("x")).select("x.*").groupBy("which", "other").agg(F.count(F.lit(1)).alias("n"))
     own = F.col("c") == F.col("other")
-    per_cluster = partial.groupBy("key", "c", "other").agg(F.sum("s").alias("s")).join(sizes, "other")
-    ab = per_cluster.groupBy("key", "c").agg(
+    per_cluster = partial.groupBy("key", "which", "c", "other").agg(F.sum("s").alias("s")).join(sizes, ["which", "other"])
+    ab = per_cluster.groupBy("key", "which", "c").agg(
         F.max(F.when(own, F.try_divide(F.col("s"), F.col("n") - 1))).alias("a"),
         F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"),
     )
     a, b = F.col("a"), F.col("b")
     value = F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))
-    return ab.select(F.col("key").alias(key), F.col("c").alias(cluster), value.alias("silhouette"))
+    labeling = F.element_at(F.array(*[F.lit(c) for c in labelings]), F.col("which") + 1)
+    return ab.select(
+        F.col("key").alias(key), labeling.alias("labeling"), F.col("c").alias("cluster"), value.alias("silhouette")
+    )
+
+
+def silhouette(df: DataFrame, key: str, vector: str, cluster: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Silhouette of every row under one labeling."""
+    out = silhouettes(df, key, vector, [cluster], block_rows)
+    return out.select(key, F.col("cluster").alias(cluster), "silhouette")
+
+
+def mean_silhouettes(df: DataFrame, key: str, vector: str, labelings: Sequence[str]) -> DataFrame:
+    """Mean silhouette and number of clusters of each labeling."""
+    rows = silhouettes(df, key, vector, labelings)
+    return rows.groupBy("labeling").agg(
+        F.countDistinct("cluster").alias("clusters"), F.avg("silhouette").alias("silhouette")
+    )
 
 
 def squared_silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
@@ -300,9 +331,8 @@ def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         jumped = settle(
             stepped.join(jump, "label", "left").select("node", "old", F.least("label", "next").alias("label"))
         )
-        moved = jumped.where(F.col("old") != F.col("label")).limit(1).count()
         labels = jumped.select("node", "label")
-        if not moved:
+        if jumped.where(F.col("old") != F.col("label")).isEmpty():
             return labels
 
 

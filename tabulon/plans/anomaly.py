@@ -130,7 +130,17 @@ def cluster_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row with its isolation score and flag."""
     found = Q.isolation_outliers(store(spark, sf_dir), "id", ["sales", "profit"])
-    return found.select("id", "score", "outlier")
+    return found.select("id", "score", "margin", "outlier")
+
+
+@query("q06_scored_line")
+def scored_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores along the range of sales, and where they lie outside."""
+    rows = store(spark, sf_dir)
+    scorer = Q.ForestScorer(Q.isolation_forest(rows, "id", ["sales"]), ["sales"])
+    cut = exact_quantiles(settle(scorer.score(rows)), "score", [0.99], names=["cut"])
+    line = scorer.score(Q.value_line(rows, "sales"))
+    return line.withColumn("outside", F.col("score") > cut.scalar())
 
 
 _PC1 = """l AS (SELECT min(discount) AS d0, max(discount) - min(discount) AS dw, min(profit) AS p0,

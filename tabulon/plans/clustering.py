@@ -84,6 +84,24 @@ def squared_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", F.col("label").cast("int").alias("label"), tidy(F.col("silhouette")).alias("silhouette"))
 
 
+_TWO = """t AS (SELECT vec_id, embedding::DOUBLE[] AS v, 'label' AS labeling, label AS c FROM embeddings
+  UNION ALL SELECT vec_id, embedding::DOUBLE[], 'parity', label % 2 FROM embeddings),
+g AS (SELECT a.vec_id, a.labeling, a.c AS own, b.c AS other, sum(list_distance(a.v, b.v)) AS s, count(*) AS n
+  FROM t a JOIN t b ON a.labeling = b.labeling GROUP BY 1, 2, 3, 4),
+ab AS (SELECT vec_id, labeling, own, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+  min(CASE WHEN own <> other THEN s / n END) AS b FROM g GROUP BY 1, 2, 3)"""
+
+
+@query("m10_silhouettes_of_labelings", S.with_sql(_TWO) + f"""
+SELECT labeling, count(DISTINCT own) AS clusters, {r4('avg(coalesce((b - a) / greatest(a, b), 0.0))')} AS silhouette
+FROM ab GROUP BY 1""")
+def silhouettes_of_labelings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two labelings measured with one round of distances."""
+    rows = embedding_vectors(spark, sf_dir).withColumn("parity", F.col("label") % 2)
+    out = B.mean_silhouettes(rows, "id", "v", ["label", "parity"])
+    return out.withColumn("silhouette", tidy(F.col("silhouette")))
+
+
 @query("p01_kmeans_sizes")
 def kmeans_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.cluster_sizes(C.kmeans(responses(spark, sf_dir), 5, seed=5)).orderBy("cluster")
@@ -122,7 +140,7 @@ def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("n05_silhouette_sweep")
 def silhouette_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.sweep_k(responses(spark, sf_dir), "customer", range(2, 6), seed=42, with_silhouette=True)
+    return C.sweep_k(responses(spark, sf_dir), "customer", range(2, 12), seed=42, with_silhouette=True)
 
 
 @query("n07_elbow_of_sweep")
@@ -141,11 +159,26 @@ def spectral_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.spectral_clusters(edges, [3, 5], max_iter=10)
 
 
+@query("p04_spectral_silhouettes")
+def spectral_silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = responses(spark, sf_dir)
+    edges = C.similarity_edges(rows, "customer", "v", 10)
+    labels = C.spectral_columns(edges, [2, 3, 5], max_iter=10).withColumnRenamed("id", "customer")
+    return B.mean_silhouettes(rows.join(labels, "customer"), "customer", "v", [f"clusters_{k}" for k in (2, 3, 5)])
+
+
 @query("p05_agglomerative")
 def agglomerative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.agglomerative(responses(spark, sf_dir), "customer", "v", range(2, 11))
 
 
+@query("p05_agglomerative_silhouettes")
+def agglomerative_silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = responses(spark, sf_dir)
+    labels = C.agglomerative(rows, "customer", "v", range(2, 11))
+    return B.mean_silhouettes(rows.join(labels, "customer"), "customer", "v", [f"clusters_{k}" for k in range(2, 11)])
+
+
 @query("p05_bisecting")
 def bisecting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.bisecting_kmeans(responses(spark, sf_dir), 5).select("customer", "cluster")
@@ -209,6 +242,11 @@ def affinity_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.affinity_propagation(responses(spark, sf_dir), "customer", "v", damping=0.5, neighbours=20, max_iter=15)
 
 
+@query("p07_damping_sweep")
+def damping_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.sweep_damping(responses(spark, sf_dir), "customer", "v", [0.5, 0.8], neighbours=20, max_iter=10)
+
+
 @query("p08_gaussian_mixture")
 def gaussian_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = K.principal_scores(responses(spark, sf_dir), "features", 2).drop("features")

@@ -197,6 +197,16 @@ def forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.importances(L.fit(L.random_forest(10), train), train)
 
 
+@query("o03_tuned_forest_importances")
+def tuned_forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of the forest that won the grid search."""
+    train, _, _ = census_parts(spark, sf_dir)
+    estimator = L.random_forest()
+    params = N.tree_grid(estimator, max_depth=(2, 4), min_rows=(5, 20), min_gain=(0.0,))
+    found = N.cross_validate(estimator, params, N.fold_by_hash(train, "id", 2))
+    return O.importances(found.bestModel, train)
+
+
 @query("c07_grid_times_rows", S.with_sql(S.CENSUS_SQL) + """
 SELECT g.point, count(*) AS n, round(sum(hours_per_week * g.point), 2) AS total
 FROM census, (VALUES (0.0::DOUBLE), (0.5::DOUBLE), (1.0::DOUBLE)) g(point) GROUP BY 1""")

@@ -113,9 +113,20 @@ def databases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.list_databases(spark).where(F.col("namespace") == name).select(F.lit(True).alias("created"))
 
 
-@query("a09_tables")
+@query("a09_tables", """SELECT 'facilities' AS name, count(*) AS "rows" FROM part UNION ALL SELECT 'members', count(*) FROM customer""")
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.list_tables(spark, _club_database(spark, sf_dir)).select("tableName")
+    """Use the database, refresh and list its tables, and count each one by its short name."""
+    before, name = spark.catalog.currentDatabase(), _club_database(spark, sf_dir)
+    catalog.use_database(spark, name)
+    try:
+        parts = None
+        for row in catalog.list_tables(spark, name).where(~F.col("isTemporary")).collect():
+            catalog.refresh(spark, row["tableName"])
+            part = spark.table(row["tableName"]).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(row["tableName"]).alias("name"), "rows")
+            parts = part if parts is None else parts.unionByName(part)
+        return parts
+    finally:
+        catalog.use_database(spark, before)
 
 
 @query("a10_named_view", S.with_sql(S.CENSUS_SQL) + """

@@ -12,6 +12,16 @@ def recreate_database(spark: SparkSession, name: str, location: str | None = Non
     spark.sql(f"CREATE DATABASE {name}{place}")
 
 
+def use_database(spark: SparkSession, name: str) -> None:
+    spark.catalog.setCurrentDatabase(name)
+
+
+def refresh(spark: SparkSession, *names: str) -> None:
+    """Forget what is cached about tables whose files changed."""
+    for name in names:
+        spark.catalog.refreshTable(name)
+
+
 def list_databases(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 
@@ -26,7 +36,7 @@ def save_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets:
     if bucket_by and buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)
-    df.sparkSession.catalog.refreshTable(name)
+    refresh(df.sparkSession, name)
     return df.sparkSession.table(name)
 
 

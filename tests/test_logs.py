@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from tabulon.functions import expressions as E
 from tabulon.operators import logs, profile
 
+# A well-known line with a size of "-", and three that miss a pattern.
 LINES = [
     'unicomp6.unicomp.net - - [01/Aug/1995:00:35:41 -0400] "GET /shuttle/missions/sts-73/news HTTP/1.0" 302 -',
     'nodots - - [02/Aug/1995:00:00:07 -0400] "POST /a" 200 123',
