@@ -2,28 +2,28 @@
 
 Rows are cut into small blocks. A task receives two blocks, compares them in
 NumPy and returns a few numbers per row (sums, counts, nearest ids), never the
-pairs themselves. With grid cells only blocks of adjacent cells meet. A hot
-cell is only more blocks, so no task holds more than two of them at a time.
+pairs themselves. With grid cells only blocks of linked cells meet. A hot cell
+is only more blocks, so no comparison holds more than two of them.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.operators.ordered import null_safe_join, with_group_values
+from tabulon.operators.ordered import with_group_values
 from tabulon.session import settle, spread_groups
 
-BLOCK_ROWS = 2000
+BLOCK_ROWS = 10_000
+TILE_ROWS = 500
 TASK_ROWS = 40_000
 MOST_CLUSTERS = 10_000
 NARROW = 8
@@ -56,58 +56,61 @@ def matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in vectors])
 
 
+def everyone(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One cell for all points, linked to itself: every block meets every block."""
+    marked = points.withColumn("cell", F.lit("0"))
+    return marked, points.sparkSession.createDataFrame([("0", "0")], "cell string, near string")
+
+
 def compare_blocks(
     points: DataFrame,
+    links: DataFrame,
     key: str,
     payload: Sequence[str],
     compare: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: T.StructType | str,
-    cells: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Run ``compare(targets, references)`` on every pair of blocks that can hold neighbours.
+    """Run ``compare(targets, references)`` on every pair of blocks of linked cells.
 
-    ``cells`` are integer grid coordinates; without them every block meets
-    every block. ``points`` is read several times, so pass a settled table.
+    ``points`` carry a ``cell``; ``links`` list which cell (``cell``) looks at
+    which (``near``). A cell with many rows is cut into blocks by hash. Both
+    tables are read several times, so pass settled ones.
     """
-    cells = list(cells) or ["_cell"]
-    if "_cell" in cells:
-        points = points.withColumn("_cell", F.lit(0).cast("bigint"))
-        offsets = [(0,)]
-    else:
-        offsets = list(product((-1, 0, 1), repeat=len(cells)))
-
-    sizes = points.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = settle(sizes.withColumn("_blocks", F.ceil(F.col("_n") / F.lit(block_rows)).cast("int")))
-    moves = F.array(*[F.struct(*[F.lit(o).cast("bigint").alias(c) for c, o in zip(cells, move)]) for move in offsets])
-    near = sizes.withColumn("_move", F.explode(moves)).select(
-        *cells, "_n", "_blocks", *[(F.col(c) + F.col(f"_move.{c}")).alias(f"_near_{c}") for c in cells]
-    )
-    others = sizes.select(*[F.col(c).alias(f"_near_{c}") for c in cells], F.col("_blocks").alias("_near_blocks"))
-    near = settle(near.join(others, [f"_near_{c}" for c in cells]))
-    volume = near.agg(F.sum(F.col("_n") * F.col("_near_blocks"))).first()[0] or 0
-    tasks = max(1, math.ceil(2 * volume / TASK_ROWS))
-
-    placed = null_safe_join(points, sizes.select(*cells, "_blocks"), cells).withColumn(
-        "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
-    ).drop("_blocks")
-    links = near.drop("_n")
-    here = [F.col(c).cast("string") for c in cells]
-    there = [F.col(f"_near_{c}").cast("string") for c in cells]
-    everywhere = placed.join(links, cells)
-
-    block, other = F.col("_block").cast("string"), F.col("_other").cast("string")
-    roles = F.array(
-        F.struct(F.lit(True).alias("target"), F.concat_ws(",", *here, block, *there, other).alias("pair")),
-        F.struct(F.lit(False).alias("target"), F.concat_ws(",", *there, other, *here, block).alias("pair")),
+    sizes = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    sizes = settle(sizes.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")))
+    sized = settle(
+        links.join(sizes, "cell")
+        .withColumnsRenamed({"n": "n_cell", "blocks": "blocks_cell"})
+        .join(sizes.withColumnsRenamed({"cell": "near", "n": "n_near", "blocks": "blocks_near"}), "near")
     )
+    volume = sized.agg(
+        F.sum(F.col("n_cell") * F.col("blocks_near") + F.col("n_near") * F.col("blocks_cell"))
+    ).first()[0]
+    tasks = max(1, math.ceil((volume or 0) / TASK_ROWS))
+
+    def role(target: bool) -> Column:
+        mine, other = ("cell", "near") if target else ("near", "cell")
+        return F.struct(
+            F.col(mine).alias("member"), F.lit(target).alias("target"), F.col(f"blocks_{mine}").alias("mine"),
+            F.col(f"blocks_{other}").alias("others"), F.concat_ws("~", "cell", "near").alias("link"),
+        )
+
+    roles = sized.select(F.explode(F.array(role(True), role(False))).alias("r")).select("r.*")
+    block = F.pmod(F.xxhash64(key), F.col("mine")).cast("string")
+    other = F.col("other").cast("string")
+    pair = F.when(F.col("target"), F.concat_ws("~", "link", block, other)).otherwise(F.concat_ws("~", "link", other, block))
     columns = [key, *[p for p in payload if p != key]]
     both = (
-        everywhere.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_near_blocks") - 1)))
-        .withColumn("_role", F.explode(roles))
-        .select(F.col("_role.target").alias("_target"), F.col("_role.pair").alias("_pair"), *columns)
+        points.select("cell", *columns)
+        .join(roles.withColumnRenamed("member", "cell"), "cell")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+        .select(F.col("target").alias("_target"), pair.alias("_pair"), *columns)
     )
 
+    schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    names = schema.names
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, rows in pdf.groupby("_pair", sort=False):
@@ -115,14 +118,18 @@ def compare_blocks(
             references = rows[~rows["_target"]].reset_index(drop=True)
             if len(targets) and len(references):
                 out.append(compare(targets, references))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=names)
+        return pd.concat(out, ignore_index=True)[names] if out else pd.DataFrame(columns=names)
 
-    schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    names = schema.names
     numbered = both.withColumn("_task", F.pmod(F.xxhash64("_pair"), F.lit(tasks)))
     return spread_groups(numbered, "_task", tasks).groupBy("_task").applyInPandas(run, schema)
 
 
+def tiles(vectors: np.ndarray):
+    """Slices of the targets, so that a distance matrix stays small."""
+    for start in range(0, len(vectors), TILE_ROWS):
+        yield slice(start, start + TILE_ROWS)
+
+
 def silhouettes(
     df: DataFrame, key: str, vector: str, labelings: Sequence[str], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -140,29 +147,34 @@ def silhouettes(
     )
 
     def sums(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        d = distances(matrix(t["v"]), matrix(r["v"]))
-        out = []
-        for i, slot in enumerate(slots):
+        left, right, out = matrix(t["v"]), matrix(r["v"]), []
+        groups = []
+        for slot in slots:
             found, where = np.unique(r[slot].to_numpy(), return_inverse=True)
-            totals = d @ np.eye(len(found))[where]
-            out.append(
-                pd.DataFrame(
-                    {
-                        "key": np.repeat(t["key"].to_numpy(), len(found)),
-                        "which": np.int32(i),
-                        "c": np.repeat(t[slot].to_numpy(), len(found)),
-                        "other": np.tile(found, len(t)),
-                        "s": totals.ravel(),
-                    }
+            order = np.argsort(where, kind="stable")
+            groups.append((slot, found, order, np.searchsorted(where[order], np.arange(len(found)))))
+        for part in tiles(left):
+            d = distances(left[part], right)
+            for i, (slot, found, order, starts) in enumerate(groups):
+                totals = np.add.reduceat(d[:, order], starts, axis=1)
+                out.append(
+                    pd.DataFrame(
+                        {
+                            "key": np.repeat(t["key"].to_numpy()[part], len(found)),
+                            "which": np.int32(i),
+                            "c": np.repeat(t[slot].to_numpy()[part], len(found)),
+                            "other": np.tile(found, len(d)),
+                            "s": totals.ravel(),
+                        }
+                    )
                 )
-            )
         return pd.concat(out)
 
     schema = T.StructType(
         [points.schema["key"], T.StructField("which", T.IntegerType()), T.StructField("c", T.LongType()),
          T.StructField("other", T.LongType()), T.StructField("s", T.DoubleType())]
     )
-    partial = compare_blocks(points, "key", ["v", *slots], sums, schema, block_rows=block_rows)
+    partial = compare_blocks(*everyone(points), "key", ["v", *slots], sums, schema, block_rows)
     named = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(s).alias("other")) for i, s in enumerate(slots)]))
     sizes = points.select(named.alias("x")).select("x.*").groupBy("which", "other").agg(F.count(F.lit(1)).alias("n"))
     own = F.col("c") == F.col("other")
@@ -243,160 +255,28 @@ def nearest(
         r = r[r["ok"]].sort_values("key")
         if not len(r):
             return pd.DataFrame({"key": t["key"].iloc[:0], "neighbour": t["key"].iloc[:0], "distance": np.zeros(0)})
-        ids = r["key"].to_numpy()
-        d = distances(matrix(t["v"]), matrix(r["v"]))
-        if not include_self:
-            d[t["key"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        order = np.argsort(d, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame(
-            {
-                "key": np.repeat(t["key"].to_numpy(), order.shape[1]),
-                "neighbour": ids[order].ravel(),
-                "distance": np.take_along_axis(d, order, axis=1).ravel(),
-            }
-        )
-        return out[np.isfinite(out["distance"])]
+        ids, keys, left, right, out = r["key"].to_numpy(), t["key"].to_numpy(), matrix(t["v"]), matrix(r["v"]), []
+        for part in tiles(left):
+            d = distances(left[part], right)
+            if not include_self:
+                d[keys[part][:, None] == ids[None, :]] = np.inf
+            order = np.argsort(d, axis=1, kind="stable")[:, :k]
+            out.append(
+                pd.DataFrame(
+                    {
+                        "key": np.repeat(keys[part], order.shape[1]),
+                        "neighbour": ids[order].ravel(),
+                        "distance": np.take_along_axis(d, order, axis=1).ravel(),
+                    }
+                )
+            )
+        found = pd.concat(out)
+        return found[np.isfinite(found["distance"])]
 
     key_type = points.schema["key"].dataType
     schema = T.StructType([T.StructField("key", key_type), T.StructField("neighbour", key_type),
                            T.StructField("distance", T.DoubleType())])
-    found = compare_blocks(points, "key", ["v", "ok"], best, schema, block_rows=block_rows)
+    found = compare_blocks(*everyone(points), "key", ["v", "ok"], best, schema, block_rows)
     order = Window.partitionBy("key").orderBy("distance", "neighbour")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(F.col("key").alias(key), "neighbour", "distance", "rank")
-
-
-# ------------------------------------------------------------------ density clusters
-
-
-def _grid_cells(points: DataFrame, width: int, eps: float) -> tuple[DataFrame, list[str]]:
-    """Integer cells of side ``eps`` on up to three directions.
-
-    Points within ``eps`` lie in the same or adjacent cells of any set of unit
-    directions. Wide vectors use the three directions of largest variance.
-    """
-    if width <= 3:
-        axes = [F.get("v", F.lit(i)) for i in range(width)]
-    else:
-        from tabulon.functions.expressions import vector_literal
-        from tabulon.operators.features import as_vector, principal_model
-
-        _, directions = principal_model(as_vector(points, "v"), "features", 3)
-        axes = [
-            F.aggregate(F.zip_with("v", vector_literal(u), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-            for u in directions
-        ]
-    side = F.lit(float(eps) * (1.0 + 1e-9))
-    names = [f"_g{i}" for i in range(len(axes))]
-    return points.select("*", *[F.floor(a / side).cast("bigint").alias(n) for a, n in zip(axes, names)]), names
-
-
-def _smallest_reachable(adjacent: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Smallest key each row of a symmetric adjacency matrix can reach."""
-    label = np.arange(len(keys))
-    while True:
-        spread = np.where(adjacent, label[None, :], len(keys)).min(axis=1)
-        new = np.minimum(label, spread)
-        new = np.minimum(new, new[new])
-        if (new == label).all():
-            return keys[label]
-        label = new
-
-
-def connected_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Smallest node reachable from each node: ``(node, label)``.
-
-    Min-label spreading with pointer jumping; each round is written out, so
-    plans stay short and a lost executor costs one round.
-    """
-    both = settle(
-        edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        .unionByName(edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
-        .where(F.col("src") != F.col("dst"))
-        .distinct()
-    )
-    labels = settle(nodes.select("node", F.col("node").alias("label")))
-    while True:
-        heard = (
-            both.join(labels.select(F.col("node").alias("dst"), "label"), "dst")
-            .groupBy(F.col("src").alias("node"))
-            .agg(F.min("label").alias("heard"))
-        )
-        stepped = settle(
-            labels.join(heard, "node", "left").select(
-                "node", F.col("label").alias("old"), F.least("label", "heard").alias("label")
-            )
-        )
-        jump = stepped.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        jumped = settle(
-            stepped.join(jump, "label", "left").select("node", "old", F.least("label", "next").alias("label"))
-        )
-        labels = jumped.select("node", "label")
-        if jumped.where(F.col("old") != F.col("label")).isEmpty():
-            return labels
-
-
-def density_clusters(
-    df: DataFrame, key: str, vector: str, eps: float = 0.5, min_samples: int = 5, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """DBSCAN: ``(key, core, label)``; the label is the smallest key of the cluster's core rows, −1 is noise.
-
-    A border row takes the smallest label among its core neighbours. Equal
-    vectors are handled as one weighted point, so copies cost nothing.
-    """
-    rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(vector).cast("array<double>").alias("v"))
-    unique = rows.groupBy("v").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("w"))
-    width = len(df.select(vector).first()[0])
-    gridded, cells = _grid_cells(settle(unique), width, eps)
-    points = settle(gridded)
-    reach = float(eps)
-
-    def count(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        close = within(matrix(t["v"]), matrix(r["v"]), reach)
-        return pd.DataFrame({"key": t["key"], "m": close @ r["w"].to_numpy(dtype="int64")})
-
-    counted = compare_blocks(points, "key", ["v", "w"], count, "key bigint, m bigint", cells, block_rows)
-    enough = counted.groupBy("key").agg((F.sum("m") >= min_samples).alias("core"))
-    marked = settle(points.join(enough, "key"))
-
-    def link(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        tk, rk = t["key"].to_numpy(), r["key"].to_numpy()
-        close = within(matrix(t["v"]), matrix(r["v"]), reach)
-        close &= r["core"].to_numpy()[None, :]
-        out = []
-        core = t["core"].to_numpy()
-        if core.any():
-            # Only a spanning set of the core links of the two blocks leaves the task.
-            keys = np.unique(np.concatenate([tk[core], rk[r["core"].to_numpy()]]))
-            ti, ri = np.searchsorted(keys, tk[core]), np.searchsorted(keys, rk[r["core"].to_numpy()])
-            adjacent = np.zeros((len(keys), len(keys)), dtype=bool)
-            part = close[core][:, r["core"].to_numpy()]
-            adjacent[np.ix_(ti, ri)] |= part
-            adjacent |= adjacent.T
-            root = _smallest_reachable(adjacent, keys)
-            linked = root != keys
-            out.append(pd.DataFrame({"a": keys[linked], "b": root[linked], "border": False}))
-        edge = np.argwhere(close & ~core[:, None])
-        if len(edge):
-            out.append(pd.DataFrame({"a": tk[edge[:, 0]], "b": rk[edge[:, 1]], "border": True}))
-        return pd.concat(out) if out else pd.DataFrame({"a": tk[:0], "b": rk[:0], "border": np.zeros(0, dtype=bool)})
-
-    links = settle(
-        compare_blocks(marked, "key", ["v", "core"], link, "a bigint, b bigint, border boolean", cells, block_rows)
-    )
-    cores = marked.where("core").select(F.col("key").alias("node"))
-    labels = connected_labels(cores, links.where(~F.col("border")).select("a", "b"))
-    borders = (
-        links.where("border")
-        .join(labels.select(F.col("node").alias("b"), "label"), "b")
-        .groupBy(F.col("a").alias("node"))
-        .agg(F.min("label").alias("label"))
-    )
-    # A core point's label must be the smallest key of any of its copies, which
-    # it is: each unique point carries the smallest key of its copies.
-    found = labels.unionByName(borders)
-    point_labels = marked.select("v", F.col("key").alias("node"), "core").join(found, "node", "left")
-    result = rows.join(point_labels.select("v", "core", "label"), "v")
-    return result.select(
-        F.col("key").alias(key), "core", F.coalesce("label", F.lit(-1).cast("bigint")).alias("label")
-    )

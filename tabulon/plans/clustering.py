@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.expressions import tidy
 from tabulon.operators import clustering as C
+from tabulon.operators import density as D
 from tabulon.operators import features as K
 from tabulon.operators import neighbours as B
 from tabulon.operators import profile, tuning
@@ -203,7 +204,7 @@ def density_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = S.table(spark, sf_dir, "supplier").select(
         "s_suppkey", F.array(F.col("s_acctbal") / 1000, F.col("s_nationkey").cast("double")).alias("v")
     )
-    return B.density_clusters(points, "s_suppkey", "v", eps=1.3, min_samples=4)
+    return D.density_clusters(points, "s_suppkey", "v", eps=1.3, min_samples=4)
 
 
 _RESPONSE_POINTS = S.TRANSACTIONS_SQL + """,
@@ -216,7 +217,7 @@ pts AS (SELECT customer, list(CASE WHEN t.offer_id IS NULL THEN 0.0::DOUBLE ELSE
 
 @query("p06_density_responses", _density_sql(_RESPONSE_POINTS, "customer", "list_distance(a.v, b.v)", 3.1, 4))
 def density_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.density_clusters(responses(spark, sf_dir), "customer", "v", eps=3.1, min_samples=4)
+    return D.density_clusters(responses(spark, sf_dir), "customer", "v", eps=3.1, min_samples=4)
 
 
 def _density_row(found: DataFrame, **settings) -> DataFrame:
@@ -232,7 +233,7 @@ def density_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters, core rows and noise for a few radii and neighbour counts."""
     base, parts = responses(spark, sf_dir), None
     for eps, least in ((2.0, 5), (4.0, 5), (3.1, 2)):
-        part = _density_row(B.density_clusters(base, "customer", "v", eps, least), eps=eps, min_samples=least)
+        part = _density_row(D.density_clusters(base, "customer", "v", eps, least), eps=eps, min_samples=least)
         parts = part if parts is None else parts.unionByName(part)
     return parts
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 
-from tabulon.operators import clustering as C, evaluate as M, neighbours as B
+from tabulon.operators import clustering as C, density as D, evaluate as M, neighbours as B
 
 BLOBS = [(x + dx, y + dy) for x, y in ((0, 0), (10, 0), (0, 10)) for dx, dy in ((0, 0), (0.5, 0), (0, 0.5), (0.5, 0.5), (0.25, 0.25))]
 
@@ -36,7 +36,7 @@ def brute_density(x, eps, least):
 
 def test_planted_blobs(spark):
     df = points(spark, BLOBS, [(50, 50)])
-    found = B.density_clusters(df, "id", "v", eps=1.0, min_samples=3)
+    found = D.density_clusters(df, "id", "v", eps=1.0, min_samples=3)
     labels = {r["id"]: r["label"] for r in found.collect()}
     assert labels[15] == -1 and {labels[i] for i in range(5)} == {0} and set(labels.values()) == {0, 5, 10, -1}
     features = points(spark, BLOBS).withColumn("features", array_to_vector("v"))
@@ -51,9 +51,12 @@ def test_density_matches_brute_force_over_many_blocks(spark, width, eps, least):
     rng = np.random.default_rng(width)
     x = rng.normal(size=(160, width))
     x[:60] = np.round(x[:60], 1) * 0.2  # a hot region with copies
+    if width == 2:
+        x[60:100] = rng.uniform(0, 1, size=(40, 2)) + [[3.0, 0.0]]  # two dense areas just out of reach
+        x[100:140] = rng.uniform(0, 1, size=(40, 2)) + [[4.62, 0.0]]
     df = points(spark, x.tolist())
     core, label = brute_density(x, eps, least)
-    found = {r["id"]: (r["core"], r["label"]) for r in B.density_clusters(df, "id", "v", eps, least, block_rows=15).collect()}
+    found = {r["id"]: (r["core"], r["label"]) for r in D.density_clusters(df, "id", "v", eps, least, block_rows=15).collect()}
     assert len(found) == 160
     assert [found[i][0] for i in range(160)] == core.tolist()
     assert [found[i][1] for i in range(160)] == label.tolist()
@@ -61,7 +64,7 @@ def test_density_matches_brute_force_over_many_blocks(spark, width, eps, least):
 
 def test_long_chain_is_one_cluster(spark):
     df = points(spark, [(i * 0.9,) for i in range(300)])
-    found = B.density_clusters(df, "id", "v", eps=1.0, min_samples=2, block_rows=10)
+    found = D.density_clusters(df, "id", "v", eps=1.0, min_samples=2, block_rows=10)
     assert found.where("label = 0").count() == 300
 
 
@@ -169,5 +172,5 @@ def test_assign_prefers_the_lower_number_on_ties(spark):
 def test_connected_labels(spark):
     nodes = spark.range(6).withColumnRenamed("id", "node")
     edges = spark.createDataFrame([(5, 4), (4, 3), (1, 0)], "a bigint, b bigint")
-    labels = {r["node"]: r["label"] for r in B.connected_labels(nodes, edges).collect()}
+    labels = {r["node"]: r["label"] for r in D.connected_labels(nodes, edges).collect()}
     assert labels == {0: 0, 1: 0, 2: 2, 3: 3, 4: 3, 5: 3}
