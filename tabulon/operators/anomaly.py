@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tabulon.functions.expressions import squared_distance, vector_literal
 from tabulon.operators.clustering import assign
 from tabulon.operators.features import as_vector, principal_model
-from tabulon.operators.ordered import exact_quantiles
+from tabulon.operators.ordered import exact_quantiles, one_row
 from tabulon.session import settle, spread, spread_groups
 
 EULER = 0.5772156649015329
@@ -29,13 +29,19 @@ def sigma_limits(df: DataFrame, column: str, width: float = 3.0) -> DataFrame:
     return df.agg((mean - spread).alias("low"), (mean + spread).alias("high"))
 
 
+def outside_limits(df: DataFrame, column: str, width: float = 3.0, two_sided: bool = False) -> Column:
+    """True for rows above the upper limit, or outside both. The limits are one scalar subquery."""
+    limits = one_row(sigma_limits(df, column, width))
+    above = F.col(column) > limits["high"]
+    return above | (F.col(column) < limits["low"]) if two_sided else above
+
+
 def sigma_outliers(df: DataFrame, column: str, width: float = 3.0, two_sided: bool = False) -> DataFrame:
-    """Rows above the upper limit, or outside both limits. Limits are scalar subqueries."""
-    limits = sigma_limits(df, column, width)
-    out = F.col(column) > limits.select("high").scalar()
-    if two_sided:
-        out = out | (F.col(column) < limits.select("low").scalar())
-    return df.where(out)
+    return df.where(outside_limits(df, column, width, two_sided))
+
+
+def sigma_flags(df: DataFrame, key: str, column: str, width: float = 3.0) -> DataFrame:
+    return df.select(key, F.coalesce(outside_limits(df, column, width, True), F.lit(False)).alias("outlier"))
 
 
 def top_rows(df: DataFrame, column: str, key: str, n: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.expressions import symmetric_error
-from tabulon.operators.ordered import RUN_ROWS, running_totals
+from tabulon.operators.ordered import RUN_ROWS, running_totals, with_group_values
 from tabulon.session import settle
 
 
@@ -173,10 +173,7 @@ def labeling_agreement(df: DataFrame, truth: str, found: str) -> DataFrame:
         F.sum(choose2(F.col("n"))).alias("pairs"),
         F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("nlogn"),
     )
-    wide = inner
-    for key in ("a", "b"):
-        m = margin(key)
-        wide = wide.select("*", *[m.select(c).scalar().alias(c) for c in m.columns])
+    wide = with_group_values(with_group_values(inner, margin("a"), []), margin("b"), [])
     n, pa, pb = F.col("n"), F.col("pairs_a"), F.col("pairs_b")
     expected = F.try_divide(pa * pb, choose2(n))
     entropy_a = F.log(n) - F.col("mlogm_a") / n

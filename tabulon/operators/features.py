@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.expressions import hash_percent
-from tabulon.operators.ordered import positions
+from tabulon.operators.ordered import one_row, positions
 
 
 def frequency_index(df: DataFrame, column: str, name: str = "index") -> DataFrame:
@@ -68,24 +68,21 @@ def column_limits(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _span(limits: DataFrame, column: str) -> tuple[Column, Column]:
-    low = limits.select(f"{column}__min").scalar()
-    return low, limits.select(f"{column}__max").scalar() - low
-
-
 def scale(df: DataFrame, limits: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
     """Min-max scaling by limits fitted elsewhere; a constant column becomes 0."""
+    row = one_row(limits)
     added = []
     for c in columns:
-        low, span = _span(limits, c)
-        added.append(F.coalesce(F.try_divide(F.col(c) - low, span), F.lit(0.0)).alias(f"{c}{suffix}"))
+        low, high = row[f"{c}__min"], row[f"{c}__max"]
+        added.append(F.coalesce(F.try_divide(F.col(c) - low, high - low), F.lit(0.0)).alias(f"{c}{suffix}"))
     return df.select("*", *added)
 
 
 def unscale(df: DataFrame, limits: DataFrame, column: str, fitted: str, name: str) -> DataFrame:
     """Back to the units of the fitted column."""
-    low, span = _span(limits, fitted)
-    return df.select("*", (F.col(column) * span + low).alias(name))
+    row = one_row(limits)
+    low, high = row[f"{fitted}__min"], row[f"{fitted}__max"]
+    return df.select("*", (F.col(column) * (high - low) + low).alias(name))
 
 
 def as_vector(df: DataFrame, column: str, name: str = "features") -> DataFrame:

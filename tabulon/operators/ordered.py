@@ -144,12 +144,17 @@ def group_sizes(df: DataFrame, by: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
 
 
+def one_row(values: DataFrame) -> Column:
+    """A one-row table as one scalar subquery; read its columns as fields."""
+    return values.select(F.struct(*values.columns).alias("row")).scalar()
+
+
 def with_group_values(df: DataFrame, values: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach per-group values; without keys they are one row, read as scalar subqueries."""
+    """Attach per-group values; without keys they are one row, read as a scalar subquery."""
     if by:
         return null_safe_join(df, values, list(by))
-    added = [c for c in values.columns]
-    return df.select("*", *[values.select(c).scalar().alias(c) for c in added])
+    row = one_row(values)
+    return df.select("*", *[row[c].alias(c) for c in values.columns])
 
 
 def exact_quantiles(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.expressions import hash_percent
 from tabulon.operators.models import fit
+from tabulon.operators.ordered import with_group_values
 
 
 def grid(estimator, **values: Sequence) -> list[dict]:
@@ -92,7 +93,7 @@ def elbow(sweep: DataFrame, k: str = "k", cost: str = "sse") -> DataFrame:
     ends = sweep.agg(
         F.min_by(cost, k).alias("y0"), F.max_by(cost, k).alias("y1"), F.min(k).alias("x0"), F.max(k).alias("x1")
     )
-    wide = sweep.select(k, cost, *[ends.select(c).scalar().alias(c) for c in ends.columns])
+    wide = with_group_values(sweep.select(k, cost), ends, [])
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     gap = F.abs(dy * F.col(k) - dx * F.col(cost) + F.col("x1") * F.col("y0") - F.col("y1") * F.col("x0"))
     distance = F.try_divide(gap, F.sqrt(dx * dx + dy * dy))

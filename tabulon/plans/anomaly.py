@@ -49,9 +49,7 @@ def scalar_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("b03_either_side", _T + f"SELECT id, profit FROM store WHERE NOT {_BOTH}")
 def either_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = store(spark, sf_dir)
-    limits = Q.sigma_limits(rows, "profit")
-    low, high = limits.select("low").scalar(), limits.select("high").scalar()
-    return rows.where(~((F.col("profit") > high) | (F.col("profit") < low))).select("id", "profit")
+    return rows.where(~Q.outside_limits(rows, "profit", two_sided=True)).select("id", "profit")
 
 
 @query("f05_top_outliers", _T + f"SELECT id, sales, profit, discount FROM store WHERE {_UP} ORDER BY sales DESC, id LIMIT 10")
@@ -173,12 +171,6 @@ def scored_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.withColumn("outside", F.col("score") > cut.scalar())
 
 
-def _sigma_flags(rows: DataFrame, column: str) -> DataFrame:
-    limits = Q.sigma_limits(rows, column)
-    low, high = limits.select("low").scalar(), limits.select("high").scalar()
-    return rows.select("id", ((F.col(column) > high) | (F.col(column) < low)).alias("outlier"))
-
-
 _FLAGS = """f AS (SELECT id, coalesce(sales > (SELECT avg(sales) + 3 * stddev_samp(sales) FROM store)
     OR sales < (SELECT avg(sales) - 3 * stddev_samp(sales) FROM store), false) AS a,
   coalesce(profit > (SELECT avg(profit) + 3 * stddev_samp(profit) FROM store)
@@ -191,7 +183,7 @@ UNION ALL SELECT 'sales', 'profit', count(*) FILTER (WHERE a AND b) FROM f
 UNION ALL SELECT 'profit', 'profit', count(*) FILTER (WHERE b) FROM f""")
 def agreement_of_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = store(spark, sf_dir)
-    return Q.compare_detectors({"sales": _sigma_flags(rows, "sales"), "profit": _sigma_flags(rows, "profit")}, "id")[1]
+    return Q.compare_detectors({c: Q.sigma_flags(rows, "id", c) for c in ("sales", "profit")}, "id")[1]
 
 
 @query("q09_compared_detectors")

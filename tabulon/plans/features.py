@@ -10,6 +10,7 @@ from tabulon.functions.expressions import hash_percent, tidy
 from tabulon.operators import features as K
 from tabulon.plans import standins as S
 from tabulon.plans.registry import query, r4
+from tabulon.session import settle
 
 CATEGORICAL = ["education", "marital_status", "occupation"]
 NUMERIC = ["age", "hours_per_week"]
@@ -116,7 +117,7 @@ def scaled_pair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scaled_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discount and profit scaled to [0, 1], with the category beside them."""
-    store = S.store(spark, sf_dir)
+    store = settle(S.store(spark, sf_dir))
     limits = K.column_limits(store, ["discount", "profit"])
     return K.scale(store, limits, ["discount", "profit"]).select(
         "id", "category", F.col("discount_scaled").alias("discount"), F.col("profit_scaled").alias("profit")
