@@ -120,7 +120,7 @@ def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog.use_database(spark, name)
     try:
         parts = None
-        for row in catalog.list_tables(spark, name).where(~F.col("isTemporary")).collect():
+        for row in catalog.list_tables(spark, name).collect():
             catalog.refresh(spark, row["tableName"])
             part = spark.table(row["tableName"]).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(row["tableName"]).alias("name"), "rows")
             parts = part if parts is None else parts.unionByName(part)
@@ -133,7 +133,9 @@ def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT occupation, count(*) AS n FROM census GROUP BY 1""")
 def named_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = catalog.register(S.census(spark, sf_dir), f"census_view_{uuid.uuid4().hex[:8]}")
-    return spark.sql(f"SELECT occupation, count(*) AS n FROM {name} GROUP BY 1")
+    counts = spark.sql(f"SELECT occupation, count(*) AS n FROM {name} GROUP BY 1")
+    spark.catalog.dropTempView(name)
+    return counts
 
 
 @query("a11_price_csv", S.with_sql(S.DAILY_SQL) + "SELECT t, y FROM daily")

@@ -27,7 +27,8 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}")
+    """Tables of the database; temporary views, which belong to the session, are left out."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary")
 
 
 def save_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0) -> DataFrame:
