@@ -100,6 +100,15 @@ def positions(
     return counted.withColumn(name, F.col(name).cast("bigint") - 1)
 
 
+def sized_positions(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], run_rows: int = RUN_ROWS) -> DataFrame:
+    """Add ``pos`` and the number of rows of the group as ``_n``."""
+    extent = group_extent(df, by)
+    placed = positions(df, by, order, run_rows=run_rows, extent=extent)
+    if extent[0] <= run_rows:
+        return placed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    return with_group_values(placed, group_sizes(df, by, "_n"), by)
+
+
 class Frames(NamedTuple):
     """A table cut for windows: partition by ``keys``, order by ``order``, keep rows where ``_home``."""
 

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from tabulon.operators.ordered import (
     RUN_ROWS,
     frames,
-    group_sizes,
-    positions,
     running_totals,
+    sized_positions,
     with_group_values,
 )
 
@@ -124,16 +123,14 @@ def chronological_split(
     df: DataFrame, by: Sequence[str], order: Sequence[str], share: float = 0.8, run_rows: int = RUN_ROWS
 ) -> DataFrame:
     """Mark the first ``share`` of each series as train, the rest as test."""
-    placed = positions(df, by, order, run_rows=run_rows)
-    sized = with_group_values(placed, group_sizes(df, by, "_n"), by)
+    sized = sized_positions(df, by, order, run_rows)
     part = F.when(F.col("pos") < F.floor(F.col("_n") * F.lit(float(share))), "train").otherwise("test")
     return sized.withColumn("part", part).drop("_n")
 
 
 def last_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, run_rows: int = RUN_ROWS) -> DataFrame:
     """The last n rows of each series."""
-    placed = positions(df, by, order, run_rows=run_rows)
-    sized = with_group_values(placed, group_sizes(df, by, "_n"), by)
+    sized = sized_positions(df, by, order, run_rows)
     return sized.where(F.col("pos") >= F.col("_n") - n).drop("_n", "pos")
 
 
