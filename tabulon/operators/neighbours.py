@@ -2,8 +2,8 @@
 
 Rows are cut into small blocks. A task receives two blocks, compares them in
 NumPy and returns a few numbers per row (sums, counts, nearest ids), never the
-pairs themselves. With grid cells only blocks of linked cells meet. A hot cell
-is only more blocks, so no comparison holds more than two of them.
+pairs themselves. Only rows of the same cell meet; a hot cell is only more
+blocks, so no comparison holds more than two of them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,74 +56,63 @@ def matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in vectors])
 
 
-def everyone(points: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One cell for all points, linked to itself: every block meets every block."""
-    marked = points.withColumn("cell", F.lit("0"))
-    return marked, points.sparkSession.createDataFrame([("0", "0")], "cell string, near string")
-
-
 def compare_blocks(
-    points: DataFrame,
-    links: DataFrame,
+    targets: DataFrame,
+    references: DataFrame,
     key: str,
     payload: Sequence[str],
     compare: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: T.StructType | str,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Run ``compare(targets, references)`` on every pair of blocks of linked cells.
+    """Run ``compare(targets, references)`` within each ``cell``, block by block.
 
-    ``points`` carry a ``cell``; ``links`` list which cell (``cell``) looks at
-    which (``near``). A cell with many rows is cut into blocks by hash. Both
-    tables are read several times, so pass settled ones.
+    Both tables carry a ``cell``; a row may stand in several. A cell with many
+    rows is cut into blocks by hash, and every target block meets every
+    reference block. The tables are read twice, so pass settled ones.
     """
-    sizes = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    sizes = settle(sizes.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")))
-    sized = settle(
-        links.join(sizes, "cell")
-        .withColumnsRenamed({"n": "n_cell", "blocks": "blocks_cell"})
-        .join(sizes.withColumnsRenamed({"cell": "near", "n": "n_near", "blocks": "blocks_near"}), "near")
-    )
-    volume = sized.agg(
-        F.sum(F.col("n_cell") * F.col("blocks_near") + F.col("n_near") * F.col("blocks_cell"))
-    ).first()[0]
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        sizes = df.groupBy("cell").agg(F.count(F.lit(1)).alias(f"n_{name}"))
+        return sizes.withColumn(f"blocks_{name}", F.ceil(F.col(f"n_{name}") / F.lit(block_rows)).cast("int"))
+
+    cells = settle(blocks(targets, "t").join(blocks(references, "r"), "cell"))
+    volume = cells.agg(F.sum(F.col("n_t") * F.col("blocks_r") + F.col("n_r") * F.col("blocks_t"))).first()[0]
     tasks = max(1, math.ceil((volume or 0) / TASK_ROWS))
+    columns = [key, *[p for p in payload if p != key]]
 
-    def role(target: bool) -> Column:
-        mine, other = ("cell", "near") if target else ("near", "cell")
-        return F.struct(
-            F.col(mine).alias("member"), F.lit(target).alias("target"), F.col(f"blocks_{mine}").alias("mine"),
-            F.col(f"blocks_{other}").alias("others"), F.concat_ws("~", "cell", "near").alias("link"),
+    def side(df: DataFrame, mine: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(key), F.col(f"blocks_{mine}")).cast("string")
+        against = F.col("_other").cast("string")
+        order = [block, against] if mine == "t" else [against, block]
+        return (
+            df.join(cells, "cell")
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(f"blocks_{other}") - 1)))
+            .select(F.lit(mine == "t").alias("_target"), F.concat_ws("~", "cell", *order).alias("_pair"), *columns)
         )
 
-    roles = sized.select(F.explode(F.array(role(True), role(False))).alias("r")).select("r.*")
-    block = F.pmod(F.xxhash64(key), F.col("mine")).cast("string")
-    other = F.col("other").cast("string")
-    pair = F.when(F.col("target"), F.concat_ws("~", "link", block, other)).otherwise(F.concat_ws("~", "link", other, block))
-    columns = [key, *[p for p in payload if p != key]]
-    both = (
-        points.select("cell", *columns)
-        .join(roles.withColumnRenamed("member", "cell"), "cell")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
-        .select(F.col("target").alias("_target"), pair.alias("_pair"), *columns)
-    )
-
+    both = side(targets, "t", "r").unionByName(side(references, "r", "t"))
     schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     names = schema.names
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, rows in pdf.groupby("_pair", sort=False):
-            targets = rows[rows["_target"]].reset_index(drop=True)
-            references = rows[~rows["_target"]].reset_index(drop=True)
-            if len(targets) and len(references):
-                out.append(compare(targets, references))
+            left = rows[rows["_target"]].reset_index(drop=True)
+            right = rows[~rows["_target"]].reset_index(drop=True)
+            if len(left) and len(right):
+                out.append(compare(left, right))
         return pd.concat(out, ignore_index=True)[names] if out else pd.DataFrame(columns=names)
 
     numbered = both.withColumn("_task", F.pmod(F.xxhash64("_pair"), F.lit(tasks)))
     return spread_groups(numbered, "_task", tasks).groupBy("_task").applyInPandas(run, schema)
 
 
+def in_one_cell(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row against every row."""
+    marked = points.withColumn("cell", F.lit("all"))
+    return marked, marked
+
+
 def tiles(vectors: np.ndarray):
     """Slices of the targets, so that a distance matrix stays small."""
     for start in range(0, len(vectors), TILE_ROWS):
@@ -174,7 +163,7 @@ def silhouettes(
         [points.schema["key"], T.StructField("which", T.IntegerType()), T.StructField("c", T.LongType()),
          T.StructField("other", T.LongType()), T.StructField("s", T.DoubleType())]
     )
-    partial = compare_blocks(*everyone(points), "key", ["v", *slots], sums, schema, block_rows)
+    partial = compare_blocks(*in_one_cell(points), "key", ["v", *slots], sums, schema, block_rows)
     named = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(s).alias("other")) for i, s in enumerate(slots)]))
     sizes = points.select(named.alias("x")).select("x.*").groupBy("which", "other").agg(F.count(F.lit(1)).alias("n"))
     own = F.col("c") == F.col("other")
@@ -276,7 +265,7 @@ def nearest(
     key_type = points.schema["key"].dataType
     schema = T.StructType([T.StructField("key", key_type), T.StructField("neighbour", key_type),
                            T.StructField("distance", T.DoubleType())])
-    found = compare_blocks(*everyone(points), "key", ["v", "ok"], best, schema, block_rows)
+    found = compare_blocks(*in_one_cell(points), "key", ["v", "ok"], best, schema, block_rows)
     order = Window.partitionBy("key").orderBy("distance", "neighbour")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(F.col("key").alias(key), "neighbour", "distance", "rank")
