@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import bytebpe, chat, decontaminate, rules, wordcount
+from tabulon.llm import bytebpe, chat, decontaminate, langid, pathjoin, quality, rules, secrets, substrings, wordcount
 from tabulon.llm.shared import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +41,12 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, words = secrets.fitted(docs)
+    return secrets.scan(docs, model, words).where("is_secret").select("doc_id", "start", "length", "score")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +55,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profile = langid.learn(docs.where(~langid.held_out()))
+    found = langid.identify(docs, profile)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents")).select(
         "row.doc_id",
@@ -62,6 +75,24 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordcount.token_counts(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pathjoin.linked(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    model = quality.learn(docs, labels.where(~quality.held_out()))
+    found = quality.scored(docs, model)
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", hex_digest(F.col("kept")).alias("kept_sha256"))
+
+
 SQL_CHAT = f"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -116,7 +147,8 @@ FROM failed
 
 def queries():
     named = (
-        op1_chat_format, op3_benchmark_decontamination, op4_byte_bpe, op6_quality_rules, op7_token_counts,
+        op1_chat_format, op2_secret_scan, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id,
+        op6_quality_rules, op7_token_counts, op8_ngram_jaccard_join, op9_quality_classifier, op10_substring_dedup,
     )
     return {f.__name__: f for f in named}
 

@@ -14,6 +14,7 @@ BROADCAST_ROWS = 200_000
 
 #: Bytes of text that one step of a task holds as arrays at a time.
 BLOCK_BYTES = 1 << 21
+BLOCK_ROWS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +46,7 @@ def in_fold(doc_id, modulus: int, remainder: int):
 
 
 def text_blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES):
-    """Slices of a batch whose text stays below the limit, or holds one row.
+    """Slices of a batch whose text stays below the limit, or holds one row; 32,768 rows at most.
 
     Yields (slice, bytes of all texts as an array, row offsets into it). A null text is empty.
     """
@@ -58,7 +59,7 @@ def text_blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_
     at = 0
     while at < len(texts):
         end = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
-        end = min(max(end, at + 1), len(texts))
+        end = min(max(end, at + 1), at + BLOCK_ROWS, len(texts))
         yield batch.slice(at, end - at), data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
 
@@ -68,3 +69,11 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     path = session.scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sampled(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """About ``most`` rows at most, chosen by a hash of the key, to fit a classifier on."""
+    total = rows.count()
+    if total <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < int((1 << 30) * most / total))
