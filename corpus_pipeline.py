@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import bytebpe, decontaminate, rules
+from tabulon.llm import bytebpe, decontaminate, pathjoin, rules, secrets
 from tabulon.llm.shared import scratch_table, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -16,11 +16,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.passing(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by near-duplicate links the one with the smallest id stays."""
+    return pathjoin.one_of_each(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; the secrets in it are masked."""
+    return secrets.masked(docs, *secrets.fitted(docs))
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining document as token ids, with the digest of the text they decode to."""
     return bytebpe.encoded(docs, RANKS, public_tokenizers.PATTERN)
@@ -28,7 +38,9 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_jaccard_join),
     ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
     ("byte-level BPE encoding and decoding", byte_bpe),
 ]
 
