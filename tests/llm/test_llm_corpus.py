@@ -1,0 +1,201 @@
+"""Near duplicates, repeated passages, benchmark windows, secrets and the pipeline."""
+
+import random
+
+import brute
+import pytest
+from conftest import documents, filler
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tabulon.llm import components, decontaminate, pathjoin, secrets, substrings
+
+
+def edited(text, seed, share):
+    draw = random.Random(seed)
+    return " ".join(f"x{draw.random()}" if draw.random() < share else w for w in text.split())
+
+
+@pytest.fixture(scope="module")
+def near_rows():
+    rows, base = [], [filler(k, 150 + 40 * k) for k in range(6)]
+    for k, text in enumerate(base):
+        for c in range(8):
+            rows.append((100 * k + c, edited(text, f"{k}/{c}", (0, 0, 0.005, 0.01, 0.02, 0.04, 0.06, 0.3)[c])))
+    rows += [(900 + k, filler(f"own{k}", 80)) for k in range(30)]
+    rows += [(990, "short text"), (991, "short text"), (992, "short texts"), (993, ""), (994, None)]
+    return rows
+
+
+def test_links_match_brute_force(spark, near_rows):
+    expected = brute.links(near_rows)
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in pathjoin.linked(documents(spark, near_rows)).collect()}
+    assert got == expected
+    assert len({c for c, n in expected.values() if n}) >= 6
+
+
+def test_links_in_a_large_group_of_near_copies(spark, monkeypatch):
+    """Buckets and components larger than a block are split, and no link is lost or counted twice."""
+    monkeypatch.setattr(pathjoin, "BUCKET", 16)
+    monkeypatch.setattr(pathjoin, "BLOCK", 32)
+    base = filler("hot", 200)
+    rows = [(k, edited(base, f"hot{k}", 0.004)) for k in range(150)] + [(500 + k, base) for k in range(40)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in pathjoin.linked(documents(spark, rows)).collect()}
+    assert got == brute.links(rows)
+
+
+def test_links_of_messy_rows(messy, nothing):
+    got = pathjoin.linked(messy).collect()
+    assert len(got) == messy.count()
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], set()).add((r["class_id"], r["n_links"]))
+    assert by[None] == {(None, 0)}
+    assert by[1] == {(1, 3)} and by[2] == {(1, 3)} and by[3] == {(1, 3)}
+    assert by[7] == {(7, 1)} and by[8] == {(7, 1)}
+    assert by[4] == {(4, 0)} and by[5] == {(5, 0)} and by[6] == {(6, 0)}
+    left = pathjoin.one_of_each(messy)
+    assert left.columns == messy.columns
+    ids = [r["doc_id"] for r in left.collect()]
+    assert 1 in ids and 2 not in ids and 3 not in ids and 8 not in ids and ids.count(None) == 2
+    assert pathjoin.linked(nothing).count() == 0 and pathjoin.one_of_each(nothing).count() == 0
+
+
+def test_runs_reach_the_recall():
+    assert pathjoin.runs_needed(0.9) < pathjoin.runs_needed(0.999)
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(100, 105), (105, 103), (7, 7)], "a bigint, b bigint"))
+    got = {r["id"]: r["component"] for r in components.components(edges).collect()}
+    assert got == {**{k: 0 for k in range(61)}, 100: 100, 103: 100, 105: 100}
+    assert components.components(edges.where("false")).count() == 0
+
+
+@pytest.fixture(scope="module")
+def passage_rows():
+    common, tail = filler("common", 70), filler("tail", 55)
+    rows = []
+    for k in range(40):
+        parts = [filler(f"d{k}", 30 + k)]
+        if k % 3 == 0:
+            parts.append(common)
+        if k % 5 == 0:
+            parts.append(tail + " " + common[: 200 + k])
+        parts.append(filler(f"e{k}", 20))
+        rows.append((k * 7 % 41, "\n ".join(parts)))
+    rows += [(60, rows[3][1]), (61, rows[3][1]), (62, "a " * 300), (63, "a " * 120), (64, filler("once", 49)), (65, filler("once", 49))]
+    rows += [(66, filler("rep", 60) + " " + filler("rep", 60)), (67, ""), (68, None)]
+    return rows
+
+
+def test_removed_passages_match_brute_force(spark, passage_rows):
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substrings.without_repeats(documents(spark, passage_rows)).collect()}
+    assert got == brute.without_repeats(passage_rows)
+    assert sum(n for _, n, _ in got.values()) > 1_000
+
+
+def test_removed_passages_with_a_tiny_sketch(spark, passage_rows, monkeypatch):
+    """A sketch that counts everything too high loses nothing."""
+    monkeypatch.setattr(substrings, "MOST_BITS", 4)
+    monkeypatch.setattr(substrings, "SEGMENT", 7)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substrings.without_repeats(documents(spark, passage_rows)).collect()}
+    assert got == brute.without_repeats(passage_rows)
+
+
+def test_removed_passages_of_messy_rows(messy, messy_rows, nothing):
+    got = [(r["doc_id"], r["n_words"], r["n_removed"]) for r in substrings.without_repeats(messy).collect()]
+    assert len(got) == len(messy_rows)
+    assert (None, 120, 0) in got and got.count((2, 120, 120)) == 2 and (3, 121, 120) in got and (1, 120, 0) in got
+    assert substrings.without_repeats(nothing).count() == 0
+
+
+ITEM = "A train leaves the station at 40 km per hour and reaches Paris after 12 hours so how far is the town from the station"
+
+
+def test_benchmark_items_are_found(spark):
+    items = spark.createDataFrame([(1, ITEM, 0), (2, ITEM, 0), (3, "too short", 0), (4, None, 0), (None, ITEM, 0), (5, filler("bench", 30), 0)], "item_id bigint, text string, doc_id int")
+    other = ITEM.replace("40", "75").replace("Paris", "Rome").replace("12", "9,5")
+    mixed = "Two men walk 3 km north then 3 km south and rest, then 5 km west until they meet"
+    rows = [
+        (1, filler("a", 50) + " " + ITEM + ". " + filler("b", 50)), (2, "Then: " + other + "? " + filler("c", 9)), (3, ITEM.upper()), (4, filler("d", 200)),
+        (5, None), (None, ITEM), (6, filler("bench", 30) + "!"), (7, " ".join(ITEM.split()[:9]) + " " + filler("e", 30)), (1, filler("a", 50) + " " + ITEM),
+        (8, mixed.replace("3 km north then 3", "4 km north then 9")),
+    ]
+    items = items.union(spark.createDataFrame([(6, mixed, 0)], items.schema))
+    docs = documents(spark, rows)
+    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in decontaminate.contaminated(docs, items).collect()}
+    assert got[1, 1] and got[1, 2] and got[6, 5]
+    assert got[2, 1] is False
+    # The same number stands for two numbers: not the same question.
+    assert (8, 6) not in got
+    assert {d for d, _ in got} <= {1, 2, 3, 6}
+    left = decontaminate.clean(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or 0) for r in left.collect()) == sorted((d or 0) for d, _ in rows if (d, 1) not in got and (d, 5) not in got)
+
+
+def test_benchmark_empty_tables(messy, nothing):
+    items = messy.selectExpr("doc_id as item_id", "text")
+    assert decontaminate.contaminated(nothing, items).count() == 0
+    assert decontaminate.contaminated(messy, items.where("false")).count() == 0
+    assert decontaminate.clean(messy, items.where("false")).count() == messy.count()
+    assert decontaminate.contaminated(messy, items).where("doc_id = 1 and item_id = 2 and exact").count() == 1
+
+
+def test_windows_run_without_python(messy):
+    plan = decontaminate.template_windows(messy, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secrets.fitted(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_forest_on_held_out_findings(spark, forest):
+    model, lexicon = forest
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id between 5000 and 5400")
+    findings = secrets.labelled_findings(docs).withColumn("doc_id", F.xxhash64("text"))
+    found = secrets.scan(findings, model, lexicon).join(findings.select("doc_id", "label"), "doc_id")
+    right = found.agg(F.avg((F.col("is_secret") == (F.col("label") == 1)).cast("int"))).first()[0]
+    assert right > 0.9
+
+
+def test_secrets_are_masked(spark, forest, messy, nothing):
+    model, lexicon = forest
+    value = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    rows = [
+        (1, f'{filler("s", 20)} token = "{value}" and {filler("t", 5)} token = "{value}".'), (2, f"see commit {value} for it"), (3, "card 2669109448945250 on file"),
+        (4, None), (5, ""), (None, f'🙂 é token = "{value}"'), (1, f'{filler("s", 20)} token = "{value}" and {filler("t", 5)} token = "{value}".'),
+    ]
+    docs = documents(spark, rows)
+    got = secrets.masked(docs, model, lexicon)
+    assert got.columns == docs.columns
+    texts = sorted((r["doc_id"] or 0, r["text"]) for r in got.where("text is not null").collect())
+    assert texts[0] == (0, '🙂 é token = "<SECRET>"')
+    assert texts[1] == texts[2] and texts[1][1].count("<SECRET>") == 2 and value not in texts[1][1]
+    assert value in texts[3][1] and "2669109448945250" in texts[4][1]
+    assert secrets.masked(messy, model, lexicon).count() == messy.count()
+    assert secrets.masked(nothing, *secrets.fitted(nothing)).count() == 0
+
+
+def test_pipeline_stages(spark):
+    """Every stage's result against plain versions, on the smallest tables."""
+    sf = "/root/testdata/sf0.001"
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "n-gram Jaccard join", "benchmark decontamination", "secret scans", "byte-level BPE encoding and decoding",
+    ]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    kept = stages[0](spark, docs, sf)
+    assert all(not brute.quality_counts(r["text"])[5] for r in kept.collect())
+    single = stages[1](spark, kept, sf)
+    classes = brute.links([(r["doc_id"], r["text"]) for r in kept.collect()])
+    assert {r["doc_id"] for r in single.collect()} == {c for c, _ in classes.values()}
+    clean = stages[2](spark, single, sf)
+    items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    assert {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in single.collect() if not any(t in r["text"] for t in items)}
+    masked = stages[3](spark, clean, sf)
+    assert masked.columns == docs.columns and masked.count() == clean.count()
+    assert corpus_pipeline.run(spark, sf).count() == clean.count()
