@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.shared import broadcast_if_small, checkpoint, once
+from tabulon.llm.shared import broadcast_if_small, checkpoint, once, without
 
 WINDOW, STRIDE = 8, 2
 #: Windows of the benchmark up to which they are sent to all executors (24 bytes each and slots).
@@ -126,6 +126,4 @@ def contaminated(
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id") -> DataFrame:
     """The documents without any item, with the columns of the input; rows without a key stay."""
-    bad = checkpoint(contaminated(docs, benchmark, doc_key).select(F.col(doc_key).alias("_bad")).distinct())
-    bad = broadcast_if_small(bad, bad.count())
-    return docs.join(bad, F.col(f"`{doc_key}`") == F.col("_bad"), "left_anti")
+    return without(docs, doc_key, contaminated(docs, benchmark, doc_key).select(doc_key))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.components import components
 from tabulon.llm.hashing import U64, gram_hashes, inside, mix, rows_of, span_hashes, word_bounds
-from tabulon.llm.shared import BROADCAST_ROWS, broadcast_if_small, checkpoint, scratch_table, text_blocks
+from tabulon.llm.shared import BROADCAST_ROWS, broadcast_if_small, checkpoint, scratch_table, text_blocks, without
 
 SHINGLE, SIMILARITY = 5, 0.8
 EMBEDDED, DEPTH = 64, 4
@@ -331,6 +331,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Rows without a key stay, and so do rows that repeat the key that stays.
     """
-    gone = checkpoint(linked(docs, key, text).where(F.col("class_id") < F.col(key)).select(F.col(key).alias("_gone")).distinct())
-    gone = broadcast_if_small(gone, gone.count())
-    return docs.join(gone, F.col(f"`{key}`") == F.col("_gone"), "left_anti")
+    return without(docs, key, linked(docs, key, text).where(F.col("class_id") < F.col(key)).select(key))

@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.shared import once
+from tabulon.llm.shared import once, packed
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
@@ -60,7 +60,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     The steps are separate projections, so that no array is built twice for one row.
     """
     body = F.coalesce(F.col("_text"), F.lit(""))
-    step = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("_text"))
+    step = packed(docs).select("row", F.col("row")[text].alias("_text"))
     step = step.select(
         "row",
         (F.octet_length(body) - F.octet_length(F.regexp_replace(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),

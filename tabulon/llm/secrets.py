@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.shared import broadcast_if_small, checkpoint, in_fold, sampled, text_blocks
+from tabulon.llm.shared import broadcast_if_small, checkpoint, packed, sampled, text_blocks
 
 #: Words of the dictionary at most; documents that labelled findings are made in, about; trees and depth.
 DICTIONARY, LEARNED, TREES, TREE_DEPTH = 20_000, 1_500, 40, 8
@@ -244,11 +244,12 @@ def masked(docs: DataFrame, model: RandomForestClassificationModel | None, words
         found.groupBy(F.col(key).alias("_key"), F.col("version").alias("_version")).agg(F.sort_array(F.collect_set(F.struct("start", "length")), asc=False).alias("_spans"))
     )
     spans = broadcast_if_small(spans, spans.count(), 20_000)
-    body = F.col(f"`{text}`")
-    joined = docs.join(spans, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.xxhash64(body) == F.col("_version")), "left")
+    body = F.col("row")[text]
+    same = F.col("row")[key].eqNullSafe(F.col("_key")) & (F.xxhash64(body) == F.col("_version"))
+    joined = packed(docs).join(spans, same, "left")
     # From the last span to the first, so that earlier places stay right.
     cut = F.aggregate(
         "_spans", body, lambda t, s: F.concat(F.substring(t, F.lit(1), s["start"]), F.lit(MASK), F.substr(t, s["start"] + s["length"] + 1))
     )
     new = F.when(F.col("_spans").isNull(), body).otherwise(cut)
-    return joined.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    return joined.select(*[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

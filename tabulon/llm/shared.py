@@ -40,6 +40,18 @@ def once(df: DataFrame, keep, **columns) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns as one struct ``row``, so that no name of the input meets one added later."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not among ``gone`` (one narrow column); rows without a key stay."""
+    gone = checkpoint(gone.toDF("gone").distinct())
+    gone = broadcast_if_small(gone, gone.count())
+    return packed(docs).join(gone, F.col("row")[key] == F.col("gone"), "left_anti").select("row.*")
+
+
 def in_fold(doc_id, modulus: int, remainder: int):
     """Whether crc32 of the id as text has this remainder; a null id is in no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
