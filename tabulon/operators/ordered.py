@@ -3,7 +3,8 @@
 A window without a bounded partition sends a whole group to one task. Here a
 group longer than ``run_rows`` is range-partitioned into runs; each run is
 summed on its own and the totals of earlier runs are carried in. Groups at or
-below the limit use one plain window.
+below the limit use one plain window. Both ways give the same sums: null until
+the first value, and nulls add nothing.
 
 The columns in ``by`` and ``order`` together must identify a row.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from tabulon.session import settle
 
 RUN_ROWS = 250_000
+RUNS_PER_CORE = 8
 
 
 def as_column(key: str | Column) -> Column:
@@ -67,7 +69,8 @@ def running_totals(
         )
         return base.select(*df.columns, *[F.sum(f"_v_{name}").over(frame).alias(name) for name in sums])
 
-    runs = max(2, math.ceil(total / run_rows))
+    # No more runs than a few for each core: a window inside a run streams, however long it is.
+    runs = min(max(2, math.ceil(total / run_rows)), RUNS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
     ranged = settle(
         base.repartitionByRange(runs, *[F.col(k) for k in by], *order).withColumn("_run", F.spark_partition_id())
     )
@@ -75,16 +78,18 @@ def running_totals(
     carry = (
         ranged.groupBy(*by, "_run")
         .agg(*[F.sum(v).alias(v) for v in values])
-        .select(*by, "_run", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_c{v}") for v in values])
+        .select(*by, "_run", *[F.sum(v).over(before).alias(f"_c{v}") for v in values])
     )
     within = (
         Window.partitionBy(*by, "_run").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     joined = null_safe_join(ranged, carry, [*by, "_run"])
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"_c_v_{name}") + F.sum(f"_v_{name}").over(within)).alias(name) for name in sums],
-    )
+
+    def total_of(name: str) -> Column:
+        carried, inside = F.col(f"_c_v_{name}"), F.sum(f"_v_{name}").over(within)
+        return F.coalesce(carried + inside, carried, inside).alias(name)
+
+    return joined.select(*df.columns, *[total_of(name) for name in sums])
 
 
 def positions(
@@ -129,23 +134,19 @@ def frames(
     """Prepare windows that reach ``back`` rows into the past.
 
     Groups within ``run_rows`` stay whole. Longer ones are cut into chunks
-    that also hold the ``back`` rows before them; those borrowed rows have
+    that also hold the ``back`` rows before them, from one or more earlier
+    chunks; those borrowed rows have
     ``_home = false`` and are dropped after the window is computed.
     """
-    if back >= run_rows:
-        raise ValueError("a chunk must be longer than the rows it borrows")
     extent = group_extent(df, by)
     if extent[0] <= run_rows:
         whole = positions(df, by, order, run_rows=run_rows, extent=extent) if with_pos else df
         return Frames(whole.withColumn("_home", F.lit(True)), list(by), [as_column(o) for o in order], False)
     placed = positions(df, by, order, run_rows=run_rows, extent=extent)
     own = F.floor(F.col("pos") / F.lit(run_rows)).cast("bigint")
-    lent = F.col("pos") % run_rows >= run_rows - back
-    chunked = placed.select(
-        "*",
-        own.alias("_own"),
-        F.explode(F.when(lent, F.array(own, own + 1)).otherwise(F.array(own))).alias("_chunk"),
-    ).withColumn("_home", F.col("_own") == F.col("_chunk"))
+    # A chunk borrows from as many chunks before it as the window reaches over.
+    furthest = F.floor((F.col("pos") + F.lit(back)) / F.lit(run_rows)).cast("bigint")
+    chunked = placed.select("*", own.alias("_own"), F.explode(F.sequence(own, furthest)).alias("_chunk")).withColumn("_home", F.col("_own") == F.col("_chunk"))
     return Frames(chunked.drop("_own"), [*by, "_chunk"], [F.col("pos")], True)
 
 

@@ -61,20 +61,29 @@ def rolling(
     return _finish(out)
 
 
+def _with_earlier(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, lag: int, run_rows: int) -> DataFrame:
+    """Add ``_earlier``, a struct of the earlier value: null only where the series has no such row."""
+    boxed = df.withColumn("_box", F.struct(F.col(value).alias("v")))
+    return shifted(boxed, by, order, "_box", {"_earlier": lag}, run_rows).drop("_box")
+
+
 def difference(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str = "diff", run_rows: int = RUN_ROWS
 ) -> DataFrame:
-    """First difference; the first row of each series has none and is dropped."""
-    out = previous(df, by, order, value, "_before", run_rows)
-    return out.where(F.col("_before").isNotNull()).withColumn(name, F.col(value) - F.col("_before")).drop("_before")
+    """First difference; the first row of each series has none and is dropped.
+
+    A null value gives null differences beside it; its row and the next one stay.
+    """
+    out = _with_earlier(df, by, order, value, 1, run_rows)
+    return out.where(F.col("_earlier").isNotNull()).withColumn(name, F.col(value) - F.col("_earlier.v")).drop("_earlier")
 
 
 def lag_pairs(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, lag: int, run_rows: int = RUN_ROWS
 ) -> DataFrame:
-    """Pairs (value, value ``lag`` steps later)."""
-    out = shifted(df, by, order, value, {"_earlier": lag}, run_rows).where(F.col("_earlier").isNotNull())
-    return out.select(*by, *order, F.col("_earlier").alias("y_lag"), F.col(value).alias("y_now"))
+    """Pairs (value, value ``lag`` steps later), for every row that has one so far back; nulls stay."""
+    out = _with_earlier(df, by, order, value, lag, run_rows).where(F.col("_earlier").isNotNull())
+    return out.select(*by, *order, F.col("_earlier.v").alias("y_lag"), F.col(value).alias("y_now"))
 
 
 def lag_correlation(

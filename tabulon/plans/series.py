@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.expressions import tidy
 from tabulon.operators import features, series as O
+from tabulon.operators.ordered import RUN_ROWS
 from tabulon.plans import standins as S
 from tabulon.plans.registry import query, r4
 from tabulon.session import settle
@@ -47,13 +48,60 @@ def rolling_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rolled(hourly(spark, sf_dir))
 
 
-_DIFF = "d AS (SELECT series_id, t, y, y - lag(y) OVER (PARTITION BY series_id ORDER BY t) AS diff FROM {0})"
+#: A forced short run: the same question through the path for long groups.
+SHORT_RUN = 100
 
 
-@query("e02_difference", S.with_sql(S.HOURLY_SQL, _DIFF.format("hourly")) + f"""
-SELECT series_id, t, {r4('diff')} AS diff FROM d WHERE diff IS NOT NULL""")
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly series with nulls: the first two values of each, and every hour three of a day."""
+    early = F.col("t") < F.lit("2024-01-01 02:00:00").cast("timestamp_ntz")
+    gone = early | (F.hour("t") % 5 == 3)
+    return settle(S.hourly(spark, sf_dir).withColumn("y", F.when(~gone, F.col("y"))))
+
+
+GAPS_SQL = """gaps AS (SELECT series_id, t,
+  CASE WHEN t < TIMESTAMP '2024-01-01 02:00:00' OR hour(t) % 5 = 3 THEN NULL ELSE y END AS y FROM hourly)"""
+_G = S.with_sql(S.HOURLY_SQL, GAPS_SQL)
+
+
+def _diff_sql(table: str) -> str:
+    return f"""SELECT series_id, t, {r4(f'y - lag(y) OVER {_W}')} AS diff FROM {table}
+QUALIFY row_number() OVER {_W} > 1"""
+
+
+def _differences(df: DataFrame, run_rows: int) -> DataFrame:
+    out = O.difference(df, KEYS, ORDER, "y", run_rows=run_rows)
+    return out.select("series_id", "t", tidy(F.col("diff")).alias("diff"))
+
+
+@query("e02_difference", _H + _diff_sql("hourly"))
 def difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.difference(hourly(spark, sf_dir), KEYS, ORDER, "y").select("series_id", "t", tidy(F.col("diff")).alias("diff"))
+    return _differences(hourly(spark, sf_dir), RUN_ROWS)
+
+
+@query("e02_difference_gaps", _G + _diff_sql("gaps"))
+def difference_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _differences(gaps(spark, sf_dir), RUN_ROWS)
+
+
+@query("e02_difference_gaps_short_runs", _G + _diff_sql("gaps"))
+def difference_gaps_short_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _differences(gaps(spark, sf_dir), SHORT_RUN)
+
+
+def _pairs_sql(table: str) -> str:
+    return f"""SELECT series_id, t, lag(y, 5) OVER {_W} AS y_lag, y AS y_now FROM {table}
+QUALIFY row_number() OVER {_W} > 5"""
+
+
+@query("e03_lag_pairs_gaps", _G + _pairs_sql("gaps"))
+def lag_pairs_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.lag_pairs(gaps(spark, sf_dir), KEYS, ORDER, "y", 5)
+
+
+@query("e03_lag_pairs_gaps_short_runs", _G + _pairs_sql("gaps"))
+def lag_pairs_gaps_short_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.lag_pairs(gaps(spark, sf_dir), KEYS, ORDER, "y", 5, 3)
 
 
 @query("e03_lag_pairs", _H + f"""
@@ -112,6 +160,21 @@ def cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.cumulate(hourly(spark, sf_dir), KEYS, ORDER, "y").select("series_id", "t", F.round("total", 2).alias("total"))
 
 
+_GAP_TOTAL = _G + f"SELECT series_id, t, round(sum(y) OVER {_W}, 2) AS total FROM gaps"
+
+
+@query("e08_cumulative_gaps", _GAP_TOTAL)
+def cumulative_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null until the first value of a series; later nulls add nothing."""
+    return O.cumulate(gaps(spark, sf_dir), KEYS, ORDER, "y").select("series_id", "t", F.round("total", 2).alias("total"))
+
+
+@query("e08_cumulative_gaps_short_runs", _GAP_TOTAL)
+def cumulative_gaps_short_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = O.cumulate(gaps(spark, sf_dir), KEYS, ORDER, "y", run_rows=SHORT_RUN)
+    return out.select("series_id", "t", F.round("total", 2).alias("total"))
+
+
 @query("g01_concat_series", _D + """
 , p AS (SELECT *, row_number() OVER (ORDER BY t) AS rn, floor(count(*) OVER () * 0.8::DOUBLE) AS cut FROM daily)
 SELECT t, y FROM p WHERE rn > cut - 60""")

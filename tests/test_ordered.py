@@ -24,7 +24,7 @@ def same(a, b, digits=8):
     def rows(df):
         return sorted(
             [
-                tuple(round(v, digits) if isinstance(v, float) else v for v in r)
+                tuple(str(round(v, digits) + 0.0) if isinstance(v, float) else v for v in r)
                 for r in df.select(*sorted(df.columns)).collect()
             ],
             key=lambda r: [str(v) for v in r],
@@ -86,6 +86,37 @@ def test_layout_does_not_matter(table):
     assert same(a, O.rolling(table.repartition(8), ["s"], ["t"], "y", 7))
 
 
-def test_chunk_must_hold_what_it_borrows(table):
-    with pytest.raises(ValueError):
-        ordered.frames(table, ["s"], ["t"], 50, SHORT)
+def test_windows_longer_than_a_run(table):
+    """A chunk borrows from several chunks before it."""
+    assert same(O.rolling(table, ["s"], ["t"], "y", 25), O.rolling(table, ["s"], ["t"], "y", 25, 6))
+    assert same(O.lag_pairs(table, ["s"], ["t"], "y", 50), O.lag_pairs(table, ["s"], ["t"], "y", 50, SHORT))
+
+
+@pytest.fixture(scope="module")
+def gappy(spark):
+    """Nulls first, in between, a group of nulls only, a null key, and not-a-number."""
+    rng = random.Random(8)
+    rows = [("hot", t, None if t < 90 or rng.random() < 0.3 else rng.gauss(0, 1)) for t in range(400)]
+    rows += [("none", t, None) for t in range(100)] + [(None, t, float(t) if t % 3 else None) for t in range(130)]
+    rows += [("nan", t, float("nan") if t == 60 else 1.0) for t in range(90)]
+    rng.shuffle(rows)
+    return spark.createDataFrame(rows, "s string, t int, y double").repartition(5).cache()
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        lambda df, n: ordered.running_totals(df, ["s"], ["t"], {"total": "y", "rows": F.lit(1)}, n),
+        lambda df, n: O.difference(df, ["s"], ["t"], "y", run_rows=n),
+        lambda df, n: O.lag_pairs(df, ["s"], ["t"], "y", 5, n),
+        lambda df, n: O.rolling(df, ["s"], ["t"], "y", 4, n),
+        lambda df, n: ordered.exact_quantiles(df.where("s <> 'nan'"), "y", [0.1, 0.5], ["s"], run_rows=n),
+    ],
+)
+def test_nulls_do_not_depend_on_runs(gappy, run):
+    assert same(run(gappy, ordered.RUN_ROWS), run(gappy, SHORT), 6)
+
+
+def test_rows_beside_a_gap_stay(gappy):
+    assert O.difference(gappy, ["s"], ["t"], "y").count() == gappy.count() - 4
+    assert O.lag_pairs(gappy, ["s"], ["t"], "y", 5).count() == gappy.count() - 20
