@@ -49,8 +49,8 @@ def top_rows(df: DataFrame, column: str, key: str, n: int) -> DataFrame:
 
 
 def bottom_rows(df: DataFrame, column: str, key: str, n: int) -> DataFrame:
-    """The n smallest, shown largest first."""
-    return df.orderBy(F.asc(column), F.desc(key)).limit(n).orderBy(F.desc(column), F.asc(key))
+    """The n smallest, shown largest first. Nulls are not smaller than anything: they come last."""
+    return df.orderBy(F.asc_nulls_last(column), F.desc(key)).limit(n).orderBy(F.desc(column), F.asc(key))
 
 
 def above_share(scored: DataFrame, score: str, contamination: float = 0.01) -> DataFrame:
@@ -331,8 +331,9 @@ def extreme_deviates(df: DataFrame, key: str, column: str, most: int = 10, alpha
     """Generalised ESD test for up to ``most`` outliers, one row per step.
 
     A removed value is always the smallest or largest left, so ``most`` rows
-    from each end and the overall sums are all the test needs.
+    from each end and the overall sums are all the test needs. Rows without a value take no part.
     """
+    df = df.where(F.col(column).isNotNull())
     total = df.agg(F.count(column).alias("n"), F.avg(column).alias("m"), F.var_pop(column).alias("v")).first()
     ends = (
         df.orderBy(F.desc(column), F.asc(key)).limit(most).select(key, column)

@@ -18,6 +18,7 @@ from tabulon.operators.ordered import exact_quantiles
 from tabulon.session import settle, side_by_side
 
 MICRO_CLUSTERS = 1000
+LEAST_WEIGHT = 1e-300
 
 
 def kmeans_model(
@@ -139,7 +140,11 @@ def bisecting_kmeans(df: DataFrame, k: int, seed: int = 5, features: str = "feat
 
 
 def similarity_edges(df: DataFrame, key: str, vector: str, neighbours: int, gamma: float | None = None) -> DataFrame:
-    """Nearest-neighbour graph with weights exp(−gamma·d²); each undirected edge once."""
+    """Nearest-neighbour graph with weights exp(−gamma·d²); each undirected edge once.
+
+    A weight too small for a float counts as the smallest one, so a far row keeps its edges and
+    every row is in the graph.
+    """
     width = len(df.select(vector).first()[0])
     rate = gamma if gamma is not None else 1.0 / width
     found = nearest(df, key, vector, neighbours)
@@ -147,8 +152,7 @@ def similarity_edges(df: DataFrame, key: str, vector: str, neighbours: int, gamm
     return (
         found.select(F.least(key, "neighbour").alias("src"), F.greatest(key, "neighbour").alias("dst"), weight.alias("weight"))
         .groupBy("src", "dst")
-        .agg(F.max("weight").alias("weight"))
-        .where(F.col("weight") > 0)
+        .agg(F.greatest(F.max("weight"), F.lit(LEAST_WEIGHT)).alias("weight"))
     )
 
 

@@ -9,7 +9,6 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.functions.expressions import hash_percent
 from tabulon.operators.models import fit
 from tabulon.operators.ordered import with_group_values
 
@@ -41,8 +40,8 @@ def tree_grid(
 
 
 def fold_by_hash(df: DataFrame, key: str, folds: int, name: str = "fold") -> DataFrame:
-    """Fold numbers from a hash of the key, the same on any layout."""
-    return df.withColumn(name, (hash_percent(F.concat(F.lit("fold"), F.col(key).cast("string"))) % folds).cast("int"))
+    """Fold numbers from a hash of the key, the same on any layout and even for any number of folds."""
+    return df.withColumn(name, F.pmod(F.xxhash64(F.lit("fold"), F.col(key).cast("string")), F.lit(folds)).cast("int"))
 
 
 def cross_validate(

@@ -66,7 +66,14 @@ def response_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o.offer_id, o.campaign, o.varietal, o.origin, t.customer, t.n FROM offers o
 LEFT JOIN transactions t ON o.offer_id = t.offer_id""")
 def offers_with_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.offers(spark, sf_dir).join(S.transactions(spark, sf_dir), "offer_id", "left")
+    """At most one offer for each day of a month: sent to the transactions, which stay where they are.
+
+    Offers without any transaction are added from the few offer ids that occur.
+    """
+    offers, bought = S.offers(spark, sf_dir), S.transactions(spark, sf_dir)
+    matched = bought.join(F.broadcast(offers), "offer_id").select(*offers.columns, "customer", "n")
+    without = offers.join(F.broadcast(bought.select("offer_id").distinct()), "offer_id", "left_anti")
+    return matched.unionByName(without, allowMissingColumns=True)
 
 
 @query("d19_value_counts", "SELECT event_type, count(*) AS count FROM events GROUP BY 1 ORDER BY 2 DESC")
@@ -109,7 +116,7 @@ def month_number_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("d22_percentile_cut", _STORE + f"SELECT {r4('quantile_cont(sales, 0.99)')} AS cut FROM store")
 def percentile_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidied(exact_quantiles(S.store(spark, sf_dir), "sales", [0.99], names=["cut"]), ["cut"])
+    return _tidied(exact_quantiles(S.sales(spark, sf_dir), "sales", [0.99], names=["cut"]), ["cut"])
 
 
 @query("d22_percentile_cut_approx")
@@ -122,14 +129,14 @@ def percentile_cut_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT bin, {r4('lo + (bin - 1) * w')} AS bin_start, {r4('lo + bin * w')} AS bin_end, count(*) AS count
 FROM (SELECT CAST(least(20, floor((sales - lo) / w) + 1) AS INTEGER) AS bin, lo, w FROM store, lim) GROUP BY bin, lo, w""")
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidied(profile.histogram(settle(S.store(spark, sf_dir)), "sales", 20), ["bin_start", "bin_end"])
+    return _tidied(profile.histogram(S.sales(spark, sf_dir), "sales", 20), ["bin_start", "bin_end"])
 
 
 @query("d24_mean_per_date", _STORE + f"""
 SELECT order_date AS x, {r4('avg(sales)')} AS mean, {r4('stddev_samp(sales)')} AS std, count(sales) AS count
 FROM store GROUP BY 1""")
 def mean_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidied(profile.mean_per_x(S.store(spark, sf_dir), "order_date", "sales"), ["mean", "std"])
+    return _tidied(profile.mean_per_x(S.sales(spark, sf_dir), "order_date", "sales"), ["mean", "std"])
 
 
 @query("f06_sort_two_keys", _STORE + "SELECT id, profit, discount FROM store ORDER BY profit DESC, discount DESC")

@@ -22,7 +22,7 @@ _BOTH = """(profit > (SELECT avg(profit) + 3 * stddev_samp(profit) FROM store)
 
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Settled: each detector reads it for its limits and again for its rows."""
+    """Settled, for detectors that read it in many rounds."""
     return settle(S.store(spark, sf_dir))
 
 
@@ -32,29 +32,29 @@ def pair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q01_high_sales", _T + f"SELECT id, category, sales FROM store WHERE {_UP}")
 def high_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.sigma_outliers(store(spark, sf_dir), "sales").select("id", "category", "sales")
+    return Q.sigma_outliers(S.sales(spark, sf_dir), "sales").select("id", "category", "sales")
 
 
 @query("q02_two_sided_profit", _T + f"SELECT id, category, profit FROM store WHERE {_BOTH}")
 def two_sided_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.sigma_outliers(store(spark, sf_dir), "profit", two_sided=True).select("id", "category", "profit")
+    return Q.sigma_outliers(S.store(spark, sf_dir), "profit", two_sided=True).select("id", "category", "profit")
 
 
 @query("c06_scalar_threshold", _T + f"SELECT count(*) AS n, {r4('min(sales)')} AS smallest FROM store WHERE {_UP}")
 def scalar_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = Q.sigma_outliers(store(spark, sf_dir), "sales")
+    found = Q.sigma_outliers(S.sales(spark, sf_dir), "sales")
     return found.agg(F.count(F.lit(1)).alias("n"), tidy(F.min("sales")).alias("smallest"))
 
 
 @query("b03_either_side", _T + f"SELECT id, profit FROM store WHERE NOT {_BOTH}")
 def either_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = store(spark, sf_dir)
+    rows = S.store(spark, sf_dir)
     return rows.where(~Q.outside_limits(rows, "profit", two_sided=True)).select("id", "profit")
 
 
 @query("f05_top_outliers", _T + f"SELECT id, sales, profit, discount FROM store WHERE {_UP} ORDER BY sales DESC, id LIMIT 10")
 def top_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = Q.sigma_outliers(store(spark, sf_dir), "sales")
+    found = Q.sigma_outliers(S.store(spark, sf_dir), "sales")
     return Q.top_rows(found, "sales", "id", 10).select("id", "sales", "profit", "discount")
 
 
@@ -63,13 +63,13 @@ SELECT * FROM (SELECT id, category, sales, profit, discount FROM store WHERE {_U
 ORDER BY sales DESC, id""")
 def bottom_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full rows ride along with the filter, so nothing is looked up again."""
-    found = Q.sigma_outliers(store(spark, sf_dir), "sales")
+    found = Q.sigma_outliers(S.store(spark, sf_dir), "sales")
     return Q.bottom_rows(found, "sales", "id", 10).select("id", "category", "sales", "profit", "discount")
 
 
 @query("q03_isolated_sales")
 def isolated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = Q.isolation_outliers(store(spark, sf_dir), "id", ["sales"])
+    found = Q.isolation_outliers(settle(S.sales(spark, sf_dir)), "id", ["sales"])
     return found.where("outlier").select("id", "category", "sales", "score").orderBy(F.desc("sales"), "id")
 
 
@@ -134,7 +134,7 @@ def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q06_scored_line")
 def scored_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores along the range of sales, and where they lie outside."""
-    rows = store(spark, sf_dir)
+    rows = settle(S.sales(spark, sf_dir))
     scorer = Q.ForestScorer(Q.isolation_forest(rows, "id", ["sales"]), ["sales"])
     cut = exact_quantiles(settle(scorer.score(rows)), "score", [0.99], names=["cut"])
     line = scorer.score(Q.value_line(rows, "sales"))
@@ -199,4 +199,4 @@ def compared_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q10_extreme_deviates")
 def extreme_deviates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.extreme_deviates(store(spark, sf_dir), "id", "sales", most=10)
+    return Q.extreme_deviates(S.sales(spark, sf_dir), "id", "sales", most=10)

@@ -14,7 +14,12 @@ DAY = "1995-08-09"
 _F = S.with_sql(S.FACILITIES_SQL)
 _M = S.with_sql(S.MEMBERS_SQL)
 _ALL = S.with_sql(S.FACILITIES_SQL, S.MEMBERS_SQL, S.BOOKINGS_SQL)
-_COST = "sum(CASE WHEN b.memid = 0 THEN f.guestcost * b.slots ELSE f.membercost * b.slots END)"
+#: What each booking costs: its slots at the price for guests (member 0) or members.
+_PRICED = S.with_sql(S.FACILITIES_SQL, S.MEMBERS_SQL, S.BOOKINGS_SQL, """priced AS (
+  SELECT facid, name, memid, starttime, slots * if(memid = 0, guestcost, membercost) AS price
+  FROM bookings JOIN facilities USING (facid))""")
+_ON_DAY = f"""day_total AS (SELECT facid, name, memid, sum(price) AS spent FROM priced
+  WHERE CAST(starttime AS DATE) = DATE '{DAY}' GROUP BY ALL)"""
 
 
 @query("b02_charging_facilities", _F + "SELECT name FROM facilities WHERE membercost > 0")
@@ -95,11 +100,10 @@ def latest_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.latest(S.members(spark, sf_dir), "joindate").select("firstname", "surname")
 
 
-@query("d06_costly_bookings", _ALL + f"""
-SELECT f.name, m.firstname || ' ' || m.surname AS member_fullname, round({_COST}, 2) AS total_cost
-FROM bookings b JOIN facilities f ON b.facid = f.facid JOIN members m ON b.memid = m.memid
-WHERE b.starttime >= TIMESTAMP '1995-08-09' AND b.starttime < TIMESTAMP '1995-08-10'
-GROUP BY 1, 2 HAVING {_COST} > 30000 ORDER BY 3 DESC""")
+@query("d06_costly_bookings", f"""{_PRICED}, {_ON_DAY}, by_name AS (
+  SELECT name, firstname || ' ' || surname AS member_fullname, sum(spent) AS spent
+  FROM day_total JOIN members USING (memid) GROUP BY ALL)
+SELECT name, member_fullname, round(spent, 2) AS total_cost FROM by_name WHERE spent > 30000""")
 def costly_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.costly_bookings(
         S.bookings(spark, sf_dir), S.facilities(spark, sf_dir), S.members(spark, sf_dir), DAY, 30000, merge_names=True
@@ -107,27 +111,25 @@ def costly_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("total_cost", F.round("total_cost", 2))
 
 
-@query("c04_costly_bookings_by_id", _ALL + f"""
-SELECT f.name, m.firstname || ' ' || m.surname AS member_fullname, round(t.total, 2) AS total_cost
-FROM (SELECT b.facid, b.memid, {_COST} AS total FROM bookings b JOIN facilities f ON b.facid = f.facid
-      WHERE date_trunc('day', b.starttime) = TIMESTAMP '1995-08-09' GROUP BY 1, 2 HAVING {_COST} > 30000) t
-LEFT JOIN members m ON t.memid = m.memid LEFT JOIN facilities f ON t.facid = f.facid ORDER BY 3 DESC""")
+@query("c04_costly_bookings_by_id", f"""{_PRICED}, {_ON_DAY}
+SELECT name, firstname || ' ' || surname AS member_fullname, round(spent, 2) AS total_cost
+FROM day_total LEFT JOIN members USING (memid) WHERE spent > 30000""")
 def costly_bookings_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.costly_bookings(S.bookings(spark, sf_dir), S.facilities(spark, sf_dir), S.members(spark, sf_dir), DAY, 30000)
     return found.withColumn("total_cost", F.round("total_cost", 2))
 
 
-@query("d10_low_revenue", _ALL + f"""
-SELECT f.facid, f.name, round({_COST}, 2) AS total_revenue FROM bookings b JOIN facilities f ON b.facid = f.facid
-GROUP BY 1, 2 HAVING {_COST} < 300000 ORDER BY 3""")
+@query("d10_low_revenue", f"""{_PRICED}
+SELECT * FROM (SELECT facid, name, round(sum(price), 2) AS total_revenue FROM priced GROUP BY ALL)
+WHERE total_revenue < 300000""")
 def low_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.low_revenue(S.bookings(spark, sf_dir), S.facilities(spark, sf_dir), 300000)
     return found.withColumn("total_revenue", F.round("total_revenue", 2))
 
 
-@query("d10_low_revenue_by_name", _ALL + f"""
-SELECT f.name, round({_COST}, 2) AS total_revenue FROM bookings b JOIN facilities f ON b.facid = f.facid
-GROUP BY 1 HAVING {_COST} < 15000000 ORDER BY 2""")
+@query("d10_low_revenue_by_name", f"""{_PRICED}
+SELECT * FROM (SELECT name, round(sum(price), 2) AS total_revenue FROM priced GROUP BY ALL)
+WHERE total_revenue < 15000000""")
 def low_revenue_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.low_revenue(S.bookings(spark, sf_dir), S.facilities(spark, sf_dir), 15000000, by_name=True)
     return found.withColumn("total_revenue", F.round("total_revenue", 2))

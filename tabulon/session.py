@@ -40,7 +40,8 @@ def shared_root(spark: SparkSession) -> str:
         return configured
     if active:
         return active
-    if not context.master.startswith("local"):
+    # local-cluster[...] has executors of their own, which need a shared folder like any cluster.
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="tabulon-")
     context.setCheckpointDir(root)
