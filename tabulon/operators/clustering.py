@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,8 @@ from tabulon.session import settle, side_by_side
 
 MICRO_CLUSTERS = 1000
 LEAST_WEIGHT = 1e-300
+#: Rounds of messages between two writes.
+ROUNDS_PER_WRITE = 5
 
 
 def kmeans_model(
@@ -258,76 +261,110 @@ def affinity_propagation(
     key: str,
     vector: str,
     damping: float = 0.5,
-    neighbours: int = 30,
-    max_iter: int = 30,
-    patience: int = 5,
+    neighbours: int | None = None,
+    preference: float | None = None,
+    max_iter: int = 200,
+    patience: int = 15,
 ) -> DataFrame:
-    """Exemplar clustering by message passing on the nearest-neighbour graph: ``(key, exemplar)``.
+    """Exemplar clustering by message passing: ``(key, exemplar, converged)``; see :func:`affinity_sweep`."""
+    return affinity_sweep(df, key, vector, [damping], neighbours, preference, max_iter, patience).drop("damping")
 
-    Each row sends messages to its nearest rows only; with as many neighbours
-    as there are rows this is the full algorithm. Rows end at the nearest
-    exemplar. Each round is written out.
+
+def affinity_sweep(
+    df: DataFrame,
+    key: str,
+    vector: str,
+    dampings: Sequence[float],
+    neighbours: int | None = None,
+    preference: float | None = None,
+    max_iter: int = 200,
+    patience: int = 15,
+) -> DataFrame:
+    """Affinity propagation for several dampings in the same rounds: ``(damping, key, exemplar, converged)``.
+
+    Without ``neighbours`` every row sends messages to every other, as the algorithm is defined, and the
+    preference is the median of all similarities. With a number, messages go to that many nearest rows
+    only; the preference then has to be given, since the near rows alone would put it too high. A damping
+    ends when its exemplars have not changed for ``patience`` rounds (``converged``), or after ``max_iter``.
+    Rows end at the nearest exemplar; a damping without any exemplar has null for all rows.
     """
-    found = nearest(df, key, vector, neighbours)
-    edges = settle(
-        found.select(F.col(key).alias("i"), F.col("neighbour").alias("k"), (-F.col("distance") * F.col("distance")).alias("s"))
-    )
-    preference = exact_quantiles(edges, "s", [0.5], names=["p"])
-    loops = df.select(F.col(key).alias("i"), F.col(key).alias("k"), preference.scalar().alias("s"))
+    if neighbours is not None and preference is None:
+        raise ValueError("messages to the nearest rows only need a preference")
+    rows = settle(df.select(F.col(key).alias("i"), F.col(vector).alias("v")))
+    found = nearest(rows, "i", "v", neighbours or max(1, rows.count() - 1))
+    edges = settle(found.select("i", F.col("neighbour").alias("k"), (-F.col("distance") * F.col("distance")).alias("s")))
+    own = F.lit(float(preference)) if preference is not None else exact_quantiles(edges, "s", [0.5], names=["p"]).scalar()
     # A tiny key-dependent shift settles ties between equally good exemplars.
-    jitter = F.pmod(F.xxhash64("i", "k"), F.lit(1000)) * F.lit(1e-12)
+    jitter = 1.0 + F.pmod(F.xxhash64("i", "k"), F.lit(1000)) * F.lit(1e-12)
+    links = edges.unionByName(rows.select("i", F.col("i").alias("k"), own.alias("s")))
     zero = F.lit(0.0)
     state = settle(
-        edges.unionByName(loops).select("i", "k", (F.col("s") * (1.0 + jitter)).alias("s"), zero.alias("r"), zero.alias("a"))
-    )
-    best_two = Window.partitionBy("i").orderBy(F.desc("m"), F.asc("k"))
-    per_row = Window.partitionBy("i")
-    keep, new = F.lit(float(damping)), F.lit(1.0 - float(damping))
-    stable, last = 0, None
-    for _ in range(max_iter):
-        ranked = state.withColumn("m", F.col("a") + F.col("s")).withColumn("rank", F.row_number().over(best_two))
-        tops = ranked.select(
-            "*",
-            F.max(F.when(F.col("rank") == 1, F.col("m"))).over(per_row).alias("m1"),
-            F.max(F.when(F.col("rank") == 2, F.col("m"))).over(per_row).alias("m2"),
-        )
-        rival = F.when(F.col("rank") == 1, F.coalesce("m2", F.lit(0.0))).otherwise(F.col("m1"))
-        asked = settle(tops.select("i", "k", "s", "a", (keep * F.col("r") + new * (F.col("s") - rival)).alias("r")))
-        own = F.col("i") == F.col("k")
-        support = asked.groupBy("k").agg(
-            F.sum(F.when(~own, F.greatest("r", zero)).otherwise(zero)).alias("p"),
-            F.max(F.when(own, F.col("r"))).alias("rkk"),
+        links.select(
+            F.explode(F.array(*[F.lit(float(d)) for d in dampings])).alias("d"), "i", "k", (F.col("s") * jitter).alias("s"),
+            zero.alias("r"), zero.alias("a"),
         )
-        offer = F.when(own, F.col("p")).otherwise(
-            F.least(zero, F.col("rkk") + F.col("p") - F.greatest("r", zero))
-        )
-        state = settle(
-            asked.join(support, "k").select("i", "k", "s", "r", (keep * F.col("a") + new * offer).alias("a"))
+    )
+    ended, stable, last = [], dict.fromkeys(map(float, dampings), 0), {}
+    for done in range(ROUNDS_PER_WRITE, max_iter + ROUNDS_PER_WRITE, ROUNDS_PER_WRITE):
+        for _ in range(min(ROUNDS_PER_WRITE, max_iter - done + ROUNDS_PER_WRITE)):
+            state = _messages(state)
+        state = settle(state)
+        marks = state.where((F.col("i") == F.col("k")) & (F.col("r") + F.col("a") > 0)).groupBy("d").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("h")
         )
-        chosen = state.where(own & (F.col("r") + F.col("a") > 0))
-        mark = chosen.agg(F.count(F.lit(1)), F.sum(F.xxhash64("k").cast("decimal(38,0)"))).first()
-        stable = stable + 1 if mark == last and mark[0] else 0
-        last = mark
-        if stable >= patience:
+        now = {r["d"]: (r["n"], r["h"]) for r in marks.collect()}  # one row for each damping
+        for d in list(stable):
+            stable[d] = stable[d] + ROUNDS_PER_WRITE if d in now and now[d] == last.get(d) else 0
+            if stable[d] >= patience or done >= max_iter:
+                ended.append(_exemplars(rows, state.where(F.col("d") == d), d, stable[d] >= patience))
+                del stable[d]
+        last = now
+        if not stable:
             break
-    exemplars = state.where((F.col("i") == F.col("k")) & (F.col("r") + F.col("a") > 0)).select(
-        F.col("k").alias(key), F.lit(True).alias("_exemplar")
+        state = state.where(F.col("d").isin(list(stable)))
+    return reduce(DataFrame.unionByName, ended).withColumnRenamed("i", key)
+
+
+def _messages(state: DataFrame) -> DataFrame:
+    """One round: what every row asks of its candidates, then what they offer."""
+    row = Window.partitionBy("d", "i")
+    zero, old = F.lit(0.0), F.col("d")
+    new = 1.0 - old
+    ranked = state.withColumn("m", F.col("a") + F.col("s")).withColumn("rank", F.row_number().over(row.orderBy(F.desc("m"), F.asc("k"))))
+    tops = ranked.select(
+        "*",
+        F.max(F.when(F.col("rank") == 1, F.col("m"))).over(row).alias("m1"),
+        F.max(F.when(F.col("rank") == 2, F.col("m"))).over(row).alias("m2"),
     )
-    marked = df.select(key, vector).join(exemplars, key, "left").withColumn(
-        "_exemplar", F.coalesce("_exemplar", F.lit(False))
+    rival = F.when(F.col("rank") == 1, F.coalesce("m2", zero)).otherwise(F.col("m1"))
+    asked = tops.select("d", "i", "k", "s", "a", (old * F.col("r") + new * (F.col("s") - rival)).alias("r"))
+    candidate = Window.partitionBy("d", "k")
+    own = F.col("i") == F.col("k")
+    support = F.sum(F.when(~own, F.greatest("r", zero)).otherwise(zero)).over(candidate)
+    itself = F.max(F.when(own, F.col("r"))).over(candidate)
+    offered = asked.select("*", support.alias("p"), itself.alias("rkk"))
+    offer = F.when(own, F.col("p")).otherwise(F.least(zero, F.col("rkk") + F.col("p") - F.greatest("r", zero)))
+    return offered.select("d", "i", "k", "s", "r", (old * F.col("a") + new * offer).alias("a"))
+
+
+def _exemplars(rows: DataFrame, state: DataFrame, damping: float, converged: bool) -> DataFrame:
+    chosen = state.where((F.col("i") == F.col("k")) & (F.col("r") + F.col("a") > 0)).select("i", F.lit(True).alias("ok"))
+    marked = rows.join(chosen, "i", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    closest = nearest(marked, "i", "v", 1, among="ok", include_self=True).select("i", F.col("neighbour").alias("exemplar"))
+    return rows.select("i").join(closest, "i", "left").select(
+        F.lit(damping).alias("damping"), "i", "exemplar", F.lit(converged).alias("converged")
     )
-    closest = nearest(marked, key, vector, 1, among="_exemplar", include_self=True)
-    return closest.select(key, F.col("neighbour").alias("exemplar"))
 
 
 def sweep_damping(
-    df: DataFrame, key: str, vector: str, dampings: Sequence[float], neighbours: int = 30, max_iter: int = 30
+    df: DataFrame, key: str, vector: str, dampings: Sequence[float], neighbours: int | None = None,
+    preference: float | None = None, max_iter: int = 200,
 ) -> DataFrame:
-    """Exemplars found and mean silhouette for each damping."""
-    parts = None
-    for damping in dampings:
-        found = settle(affinity_propagation(df, key, vector, damping, neighbours, max_iter))
-        scored = mean_silhouettes(found.join(df.select(key, vector), key), key, vector, ["exemplar"])
-        part = scored.select(F.lit(float(damping)).alias("damping"), "clusters", "silhouette")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    """Exemplars found, mean silhouette, and whether it settled, for each damping."""
+    found = settle(affinity_sweep(df, key, vector, dampings, neighbours, preference, max_iter))
+    names = {float(d): f"exemplar_{i}" for i, d in enumerate(dampings)}
+    wide = found.groupBy(key).agg(*[F.max(F.when(F.col("damping") == d, F.col("exemplar"))).alias(n) for d, n in names.items()])
+    scored = mean_silhouettes(wide.join(df.select(key, vector), key), key, vector, list(names.values()))
+    label = F.element_at(F.create_map(*[F.lit(x) for d, n in names.items() for x in (n, d)]), F.col("labeling"))
+    state = found.groupBy("damping").agg(F.bool_and("converged").alias("converged"))
+    return scored.select(label.alias("damping"), "clusters", "silhouette").join(state, "damping")

@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from tabulon.operators.ordered import with_group_values
 from tabulon.session import settle, spread_groups
 
+#: Candidates measured again beyond those asked for, so that rounding cannot hide a tie.
+SPARE = 8
 BLOCK_ROWS = 10_000
 TILE_ROWS = 500
 TASK_ROWS = 40_000
@@ -119,6 +121,15 @@ def tiles(vectors: np.ndarray):
         yield slice(start, start + TILE_ROWS)
 
 
+def measured(left: np.ndarray, right: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Distances of every row to its candidates, a few megabytes at a time."""
+    step = max(1, (1 << 19) // max(1, order.shape[1] * left.shape[1]))
+    parts = [
+        np.sqrt(((left[a : a + step, None, :] - right[order[a : a + step]]) ** 2).sum(-1)) for a in range(0, len(left), step)
+    ]
+    return np.concatenate(parts) if parts else np.zeros(order.shape)
+
+
 def silhouettes(
     df: DataFrame, key: str, vector: str, labelings: Sequence[str], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -249,13 +260,18 @@ def nearest(
             d = distances(left[part], right)
             if not include_self:
                 d[keys[part][:, None] == ids[None, :]] = np.inf
-            order = np.argsort(d, axis=1, kind="stable")[:, :k]
+            order = np.argsort(d, axis=1, kind="stable")[:, : k + SPARE]
+            # The block's distances are rounded; those of the candidates are measured again, term by term.
+            exact = measured(left[part], right, order)
+            exact[~np.isfinite(np.take_along_axis(d, order, axis=1))] = np.inf
+            again = np.lexsort((ids[order], exact))[:, :k]
+            order, d = np.take_along_axis(order, again, 1), np.take_along_axis(exact, again, 1)
             out.append(
                 pd.DataFrame(
                     {
                         "key": np.repeat(keys[part], order.shape[1]),
                         "neighbour": ids[order].ravel(),
-                        "distance": np.take_along_axis(d, order, axis=1).ravel(),
+                        "distance": d.ravel(),
                     }
                 )
             )

@@ -123,15 +123,12 @@ _PROFILE = S.with_sql(S.OFFERS_SQL, S.TRANSACTIONS_SQL, """n AS (SELECT customer
     f"SELECT n.cluster, '{c}' AS kind, CAST(o.{c} AS VARCHAR) AS item, count(*) AS value FROM transactions t "
     f"JOIN offers o USING (offer_id) LEFT JOIN n USING (customer) GROUP BY 1, 3" for c in ("campaign", "varietal", "origin")))
 def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts by campaign, varietal and origin per given customer group."""
+    """Counts by campaign, varietal and origin per given customer group: one join, three kinds."""
     bought = S.transactions(spark, sf_dir)
     groups = bought.groupBy("customer").agg((F.countDistinct("offer_id") % 4).cast("int").alias("cluster"))
     labeled = bought.join(S.offers(spark, sf_dir), "offer_id").join(groups, "customer", "left")
-    parts = None
-    for kind in ("campaign", "varietal", "origin"):
-        part = profile.cross_tab(labeled, "cluster", kind).select("cluster", F.lit(kind).alias("kind"), F.col(kind).alias("item"), "value")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    kinds = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("item")) for c in ("campaign", "varietal", "origin")]
+    return labeled.select("cluster", F.inline(F.array(*kinds))).groupBy("cluster", "kind", "item").agg(F.count(F.lit(1)).alias("value"))
 
 
 @query("n05_k_sweep")
@@ -151,21 +148,21 @@ def elbow_of_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("n06_gap_statistic")
 def gap_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.gap_statistic(responses(spark, sf_dir), range(2, 6), references=2)
+    return C.gap_statistic(responses(spark, sf_dir), range(2, 11), references=3)
 
 
 @query("p04_spectral_clusters")
 def spectral_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = C.similarity_edges(responses(spark, sf_dir), "customer", "v", 10)
-    return C.spectral_clusters(edges, [3, 5], max_iter=10)
+    return C.spectral_clusters(edges, range(2, 11))
 
 
 @query("p04_spectral_silhouettes")
 def spectral_silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = responses(spark, sf_dir)
     edges = C.similarity_edges(rows, "customer", "v", 10)
-    labels = C.spectral_columns(edges, [2, 3, 5], max_iter=10).withColumnRenamed("id", "customer")
-    return B.mean_silhouettes(rows.join(labels, "customer"), "customer", "v", [f"clusters_{k}" for k in (2, 3, 5)])
+    labels = C.spectral_columns(edges, range(2, 11)).withColumnRenamed("id", "customer")
+    return B.mean_silhouettes(rows.join(labels, "customer"), "customer", "v", [f"clusters_{k}" for k in range(2, 11)])
 
 
 @query("p05_agglomerative")
@@ -230,22 +227,32 @@ def _density_row(found: DataFrame, **settings) -> DataFrame:
 
 @query("p06_density_sweep")
 def density_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clusters, core rows and noise for a few radii and neighbour counts."""
-    base, parts = responses(spark, sf_dir), None
-    for eps, least in ((2.0, 5), (4.0, 5), (3.1, 2)):
-        part = _density_row(D.density_clusters(base, "customer", "v", eps, least), eps=eps, min_samples=least)
+    """Clusters, core rows, noise and silhouette for six radii and three neighbour counts."""
+    base, parts, names, labels = responses(spark, sf_dir), None, [], None
+    settings = [(eps, 5) for eps in (2.0, 2.4, 2.8, 3.2, 3.6, 4.0)] + [(3.1, least) for least in (2, 4, 8)]
+    for i, (eps, least) in enumerate(settings):
+        found = settle(D.density_clusters(base, "customer", "v", eps, least))
+        part = _density_row(found, labeling=f"setting_{i}", eps=eps, min_samples=least)
         parts = part if parts is None else parts.unionByName(part)
-    return parts
+        column = found.select("customer", F.col("label").alias(f"setting_{i}"))
+        labels = column if labels is None else labels.join(column, "customer")
+        names.append(f"setting_{i}")
+    scored = B.mean_silhouettes(labels.join(base.select("customer", "v"), "customer"), "customer", "v", names)
+    return parts.join(scored.select("labeling", "silhouette"), "labeling", "left").drop("labeling")
+
+
+#: The dampings compared.
+DAMPINGS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
 
 
 @query("p07_affinity_propagation")
 def affinity_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.affinity_propagation(responses(spark, sf_dir), "customer", "v", damping=0.5, neighbours=20, max_iter=15)
+    return C.affinity_propagation(responses(spark, sf_dir), "customer", "v", damping=0.5)
 
 
 @query("p07_damping_sweep")
 def damping_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.sweep_damping(responses(spark, sf_dir), "customer", "v", [0.5, 0.8], neighbours=20, max_iter=10)
+    return C.sweep_damping(responses(spark, sf_dir), "customer", "v", DAMPINGS)
 
 
 @query("p08_gaussian_mixture")
@@ -258,9 +265,9 @@ def gaussian_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("p04_nearest_rows", """
 WITH p AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
-SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY d, neighbour) AS INTEGER) AS rank,
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY d, neighbour) AS INTEGER) AS rank, neighbour,
   round(d, 4) + 0.0::DOUBLE AS distance FROM p QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, neighbour) <= 5""")
 def nearest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The neighbour graph that spectral clustering and affinity propagation stand on."""
     found = B.nearest(embedding_vectors(spark, sf_dir), "id", "v", 5)
-    return found.select("id", "rank", tidy(F.col("distance")).alias("distance"))
+    return found.select("id", "rank", "neighbour", tidy(F.col("distance")).alias("distance"))

@@ -136,10 +136,10 @@ def test_affinity_matches_the_dense_algorithm(spark):
     s = -((x[:, None] - x[None]) ** 2).sum(-1)
     off = s[~np.eye(len(x), dtype=bool)]
     np.fill_diagonal(s, np.median(off))
-    expected = dense_affinity(s, 0.5, 15)
+    expected = dense_affinity(s, 0.5, 200)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<double>")
-    found = C.affinity_propagation(df, "id", "v", 0.5, neighbours=len(x) - 1, max_iter=15, patience=50).collect()
-    assert len(found) == len(x)
+    found = C.affinity_propagation(df, "id", "v", 0.5).collect()
+    assert len(found) == len(x) and all(r["converged"] for r in found)
     assert sorted({r["exemplar"] for r in found}) == expected.tolist()
     for r in found:
         near = expected[np.argmin(((x[expected] - x[r["id"]]) ** 2).sum(1))]
@@ -155,6 +155,20 @@ def test_spectral_splits_two_groups(spark):
     assert M.labeling_agreement(found, "truth", "cluster").first()["adjusted_rand"] > 0.8
 
 
+def test_a_far_row_stays_in_the_graph(spark):
+    df = spark.createDataFrame([(i, [float(i % 5), 0.0]) for i in range(10)] + [(99, [1e4, 1e4])], "id bigint, v array<double>")
+    edges = C.similarity_edges(df, "id", "v", 3)
+    assert edges.where("(src = 99 or dst = 99) and weight > 0").count() == 3
+    assert C.spectral_clusters(edges, [2]).select("id").distinct().count() == 11
+
+
+def test_affinity_says_when_it_did_not_settle(spark):
+    df = points(spark, BLOBS)
+    assert not C.affinity_propagation(df, "id", "v", 0.5, max_iter=5).first()["converged"]
+    with pytest.raises(ValueError):
+        C.affinity_propagation(df, "id", "v", 0.5, neighbours=3)
+
+
 def test_sweep_and_gap(spark):
     df = points(spark, BLOBS).withColumn("features", array_to_vector("v"))
     sweep = {r["k"]: r for r in C.sweep_k(df, "id", [2, 3, 4], with_silhouette=True).collect()}
