@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,5 +79,10 @@ def squared_distance(left: Column, right: Column) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda total, x: total + x)
 
 
+def vectors_literal(vectors: Sequence[Sequence[float]]) -> Column:
+    """Many vectors as one folded literal, however many numbers they have."""
+    return F.from_json(F.lit(json.dumps([[float(x) for x in v] for v in vectors])), "array<array<double>>")
+
+
 def vector_literal(values) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.functions.expressions import squared_distance, vector_literal
+from tabulon.functions.expressions import squared_distance, vector_literal, vectors_literal
 from tabulon.operators.clustering import assign
 from tabulon.operators.features import as_vector, principal_model
 from tabulon.operators.ordered import exact_quantiles, one_row
@@ -206,20 +207,36 @@ def large_clusters(sizes: Sequence[int], alpha: float = 0.9, beta: float = 5.0)
     return large
 
 
+class ClusterScorer:
+    """Centres, and which of their clusters were large among the rows it was fitted on."""
+
+    def __init__(self, centres: Sequence[Sequence[float]], large: Sequence[bool]):
+        self.centres, self.large = centres, large
+
+    def score(self, df: DataFrame, vector: str) -> DataFrame:
+        """Distance to the own centre for rows of large clusters, else to the nearest large centre."""
+        placed = assign(df, vector, self.centres)
+        wide = vectors_literal([c for c, big in zip(self.centres, self.large) if big])
+        to_large = F.array_min(F.transform(wide, lambda c: squared_distance(F.col(vector), c)))
+        own_is_large = F.col("cluster").isin([i for i, big in enumerate(self.large) if big])
+        distance = F.sqrt(F.when(own_is_large, F.col("sq_distance")).otherwise(to_large))
+        return placed.withColumn("score", distance).drop("sq_distance")
+
+
+def fit_clusters(
+    df: DataFrame, vector: str, centres: Sequence[Sequence[float]], alpha: float = 0.9, beta: float = 5.0
+) -> ClusterScorer:
+    """Decide from these rows which clusters are large; any rows can be scored against that."""
+    sizes = assign(df, vector, centres).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["cluster"]: r["n"] for r in sizes.collect()}
+    return ClusterScorer(centres, large_clusters([counts.get(i, 0) for i in range(len(centres))], alpha, beta))
+
+
 def cluster_outlier_scores(
     df: DataFrame, vector: str, centres: Sequence[Sequence[float]], alpha: float = 0.9, beta: float = 5.0
 ) -> DataFrame:
-    """Distance to the own centre for rows of large clusters, else to the nearest large centre."""
-    placed = assign(df, vector, centres)
-    counts = {r["cluster"]: r["n"] for r in placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
-    large = large_clusters([counts.get(i, 0) for i in range(len(centres))], alpha, beta)
-    to_large = F.least(
-        *[squared_distance(F.col(vector), vector_literal(c)) for c, big in zip(centres, large) if big],
-        F.lit(float("inf")),
-    )
-    own_is_large = F.col("cluster").isin([i for i, big in enumerate(large) if big])
-    distance = F.sqrt(F.when(own_is_large, F.col("sq_distance")).otherwise(to_large))
-    return placed.withColumn("score", distance).drop("sq_distance")
+    """Rows scored against the clusters that are large among themselves."""
+    return fit_clusters(df, vector, centres, alpha, beta).score(df, vector)
 
 
 # ------------------------------------------------------------------ reconstruction error
@@ -269,13 +286,14 @@ def value_line(df: DataFrame, column: str) -> DataFrame:
 
 
 def compare_detectors(flags: dict[str, DataFrame], key: str) -> tuple[DataFrame, DataFrame]:
-    """All flags side by side by row, and how often each pair of detectors agrees on an outlier."""
-    wide = None
-    for name, df in flags.items():
-        part = df.select(key, F.col("outlier").alias(name))
-        wide = part if wide is None else wide.join(part, key, "full_outer")
+    """All flags side by side by row, and how often each pair of detectors agrees on an outlier.
+
+    The flags are stacked and grouped once by row; nothing is joined.
+    """
     names = list(flags)
-    wide = wide.select(key, *[F.coalesce(n, F.lit(False)).alias(n) for n in names])
+    long = reduce(DataFrame.unionByName, [df.select(key, F.lit(n).alias("detector"), "outlier") for n, df in flags.items()])
+    flagged = [F.coalesce(F.bool_or(F.when(F.col("detector") == n, F.col("outlier"))), F.lit(False)).alias(n) for n in names]
+    wide = long.groupBy(key).agg(*flagged)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     counted = wide.agg(*[F.count_if(F.col(a) & F.col(b)).alias(f"{a}__{b}") for a, b in pairs])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("both")) for a, b in pairs]

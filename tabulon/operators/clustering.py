@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.functions.expressions import squared_distance, vector_literal
+from tabulon.functions.expressions import squared_distance, vectors_literal
 from tabulon.operators.neighbours import mean_silhouettes, nearest
 from tabulon.operators.ordered import exact_quantiles
 from tabulon.session import settle, side_by_side
@@ -41,11 +41,10 @@ def centroids(model: KMeansModel) -> list[list[float]]:
 
 def assign(df: DataFrame, vector: str, centres: Sequence[Sequence[float]], name: str = "cluster") -> DataFrame:
     """Nearest of the given centres for each row, with the squared distance to it. Ties go to the lower number."""
-    options = [
-        F.struct(squared_distance(F.col(vector), vector_literal(c)).alias("d"), F.lit(i).alias("i"))
-        for i, c in enumerate(centres)
-    ]
-    best = F.array_min(F.array(*options))
+    options = F.transform(
+        vectors_literal(centres), lambda c, i: F.struct(squared_distance(F.col(vector), c).alias("d"), i.alias("i"))
+    )
+    best = F.array_min(options)
     chosen = df.withColumn("_best", best)
     return chosen.select(*df.columns, F.col("_best.i").alias(name), F.col("_best.d").alias("sq_distance"))
 

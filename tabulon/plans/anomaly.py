@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from tabulon.functions.expressions import tidy
 from tabulon.operators import anomaly as Q
 from tabulon.operators import clustering as C
+from tabulon.operators import features as K
 from tabulon.operators.ordered import exact_quantiles
 from tabulon.plans import standins as S
 from tabulon.plans.features import scaled_pair
@@ -107,12 +110,15 @@ f AS (SELECT d.id, a.cluster, sqrt(CASE WHEN a.cluster IN (SELECT i FROM big) TH
 SELECT id, cluster, {r4('score')} AS score FROM f""")
 def cluster_distance_given_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pair(spark, sf_dir)
-    means = rows.groupBy("category").agg(F.round(F.avg("discount"), 2).alias("x"), F.round(F.avg("profit"), 2).alias("y"))
-    centres = [[r["x"] + 0.17 * (i - 2), r["y"]] for i, r in enumerate(means.orderBy("category").collect())]
-    scored = Q.cluster_outlier_scores(rows, "v", centres)
+    scored = Q.cluster_outlier_scores(rows, "v", _given_centres(rows))
     return scored.select("id", "cluster", tidy(F.col("score")).alias("score"))
 
 
+def _given_centres(rows: DataFrame) -> list[list[float]]:
+    means = rows.groupBy("category").agg(F.round(F.avg("discount"), 2).alias("x"), F.round(F.avg("profit"), 2).alias("y"))
+    return [[r["x"] + 0.17 * (i - 2), r["y"]] for i, r in enumerate(means.orderBy("category").collect())]
+
+
 def _cluster_flags(rows: DataFrame) -> DataFrame:
     model = C.kmeans_model(rows.withColumn("features", array_to_vector("v")), 8, seed=42)
     return Q.above_share(settle(Q.cluster_outlier_scores(rows, "v", C.centroids(model))), "score")
@@ -162,13 +168,52 @@ def reconstruction_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q08_scored_grid")
 def scored_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forest and cut from the data; a 100×100 grid over its range is scored against them."""
+    """Three detectors and their cuts from the data; a 100×100 grid over its range is scored against them."""
     rows = pair(spark, sf_dir)
     columns = ["discount", "profit"]
-    scorer = Q.ForestScorer(Q.isolation_forest(rows, "id", columns), columns)
-    cut = exact_quantiles(settle(scorer.score(rows)), "score", [0.99], names=["cut"])
-    grid = scorer.score(Q.unit_grid(spark, ("discount", "profit")))
-    return grid.withColumn("outside", F.col("score") > cut.scalar())
+    grid = Q.unit_grid(spark, ("discount", "profit")).withColumn("v", F.array(*columns))
+    forest = Q.ForestScorer(Q.isolation_forest(rows, "id", columns), columns)
+    clusters = Q.fit_clusters(rows, "v", C.centroids(C.kmeans_model(rows.withColumn("features", array_to_vector("v")), 8, seed=42)))
+    mean, directions = K.principal_model(rows.withColumn("features", array_to_vector("v")), "features", 1)
+    scorers = {
+        "isolation": forest.score,
+        "clusters": lambda df: clusters.score(df, "v"),
+        "reconstruction": lambda df: Q.reconstruction_scores(df, "v", mean, directions),
+    }
+    parts = []
+    for name, score in scorers.items():
+        cut = exact_quantiles(settle(score(rows).select("score")), "score", [0.99], names=["cut"])
+        scored = score(grid).select(F.lit(name).alias("detector"), *columns, "score")
+        parts.append(scored.withColumn("outside", F.col("score") > cut.scalar()))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_GRID = """g AS (SELECT (k % 100) / 99.0::DOUBLE AS gx, (k // 100) / 99.0::DOUBLE AS gy FROM range(10000) t(k))"""
+
+
+@query("q05_grid_given_centres", S.with_sql(S.STORE_SQL, _CBLOF, _GRID, """gd AS (SELECT gx, gy, i,
+  (gx - cx) * (gx - cx) + (gy - cy) * (gy - cy) AS sq FROM g CROSS JOIN c)""") + f"""
+SELECT discount, profit, cluster, {r4('score')} AS score FROM (SELECT round(gx, 6) AS discount, round(gy, 6) AS profit,
+  arg_min(i, (sq, i)) AS cluster, sqrt(CASE WHEN arg_min(i, (sq, i)) IN (SELECT i FROM big) THEN min(sq)
+  ELSE min(CASE WHEN i IN (SELECT i FROM big) THEN sq END) END) AS score FROM gd GROUP BY gx, gy)""")
+def grid_given_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid scored against clusters that were judged large among the rows, not among the grid."""
+    rows = pair(spark, sf_dir)
+    grid = Q.unit_grid(spark, ("discount", "profit")).withColumn("v", F.array("discount", "profit"))
+    scored = Q.fit_clusters(rows, "v", _given_centres(rows)).score(grid, "v")
+    return scored.select(
+        F.round("discount", 6).alias("discount"), F.round("profit", 6).alias("profit"), "cluster", tidy(F.col("score")).alias("score")
+    )
+
+
+@query("q07_grid_scores", S.with_sql(S.STORE_SQL, _PC1, _GRID) + f"""
+SELECT round(gx, 6) AS discount, round(gy, 6) AS profit, {r4('abs((gy - my) * cos(t) - (gx - mx) * sin(t))')} AS score FROM g, c""")
+def grid_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pair(spark, sf_dir)
+    mean, directions = K.principal_model(rows.withColumn("features", array_to_vector("v")), "features", 1)
+    grid = Q.unit_grid(spark, ("discount", "profit")).withColumn("v", F.array("discount", "profit"))
+    scored = Q.reconstruction_scores(grid, "v", mean, directions)
+    return scored.select(F.round("discount", 6).alias("discount"), F.round("profit", 6).alias("profit"), tidy(F.col("score")).alias("score"))
 
 
 _FLAGS = """f AS (SELECT id, coalesce(sales > (SELECT avg(sales) + 3 * stddev_samp(sales) FROM store)
