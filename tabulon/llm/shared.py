@@ -22,8 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage by files in the folder of ``spark.checkpoint.dir``."""
-    return session.settle(df)
+    """Cut the lineage by a written table in the folder of ``spark.checkpoint.dir``.
+
+    Read again from its files, a table has its true size for Spark's choice of joins; the estimate of a
+    checkpointed plan multiplies with every join of a loop.
+    """
+    return scratch_table(df, "step")
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
