@@ -4,7 +4,7 @@ import random
 
 import brute
 import pytest
-from conftest import documents, filler
+from corpora import documents, filler
 from pyspark.sql import functions as F
 
 import corpus_pipeline

@@ -7,7 +7,7 @@ import brute
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import documents, filler
+from corpora import documents, filler
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
