@@ -5,11 +5,11 @@ windows have equal anchors, and neighbouring windows mostly share one. Pass one
 anchor, the stretches that have it: each task adds up a sketch, and the sketches are merged slice by
 slice. As a window is counted where its anchor is, the sketch never counts it too low. Pass two keeps
 only windows whose anchor is counted twice or more in every row of the sketch, so no repeated window
-is lost, and groups them exactly by 128 bits of hash.
+is lost, and groups them exactly by 128 bits of hash, 64 of the anchor and 64 of the window.
 
 Windows travel as segments (neighbours with one anchor). Equal segments are settled as a whole:
 outside the document with the smallest id every window of them goes. Only that document's windows are
-then compared one by one with those of other segments. Every step aggregates before it shuffles, so
+then compared one by one, and only where an anchor has segments of different kinds. Every step aggregates before it shuffles, so
 a passage in a third of all documents is a few rows for each task.
 """
 
@@ -33,7 +33,6 @@ COUNTERS_PER_ANCHOR, BYTES_PER_ANCHOR = 4, 75
 #: Slots a task gathers before it passes its sketch on, and windows of a segment.
 GATHERED, SEGMENT = 1 << 22, 256
 SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)
-FIRST, SECOND = 11, 29
 
 
 def _windows(data: np.ndarray, offsets: np.ndarray):
@@ -152,8 +151,8 @@ def _segments(docs: DataFrame, often, bits: int) -> DataFrame:
                     passed &= (row[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
                 if not passed.any():
                     continue
-                one, two = gram_hashes(words, WINDOW, FIRST)[at[passed]], gram_hashes(words, WINDOW, SECOND)[at[passed]]
                 at, anchors = at[passed], anchors[passed]
+                windows = gram_hashes(words, WINDOW)[at]
                 first = _runs(at, anchors, row_words)
                 # Long stretches are cut at fixed distances from their beginning.
                 length = np.diff([*first, len(at)])
@@ -164,7 +163,7 @@ def _segments(docs: DataFrame, often, bits: int) -> DataFrame:
                 row = np.searchsorted(row_words, at[first], "right") - 1
                 place = at[first] - row_words[row]
                 keys = []
-                for hashes, base in ((one, 0x9E6C63D0676A9A99), (two, 0xCA5A826395121157)):
+                for hashes, base in ((windows, 0x9E6C63D0676A9A99), (mix(windows), 0xCA5A826395121157)):
                     sums = before(hashes * powers(base, len(hashes)))
                     keys.append(mix((sums[first + length] - sums[first]) * powers(inverse(base), len(hashes) + 1)[first]))
                 ids = np.asarray(part.column(0).to_numpy(zero_copy_only=False), np.int64)[row]
@@ -176,9 +175,9 @@ def _segments(docs: DataFrame, often, bits: int) -> DataFrame:
                 least = np.empty(len(order), np.int64)
                 least[order] = np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))
                 full = ids == ids[order][least]
-                hashes = np.stack([one, two], 1).astype("<u8")
                 yield pa.RecordBatch.from_pydict(
                     {
+                        "anchor": anchors[first].view(np.int64),
                         "k1": keys[0].view(np.int64),
                         "k2": keys[1].view(np.int64),
                         "n": length.astype(np.int32),
@@ -186,29 +185,28 @@ def _segments(docs: DataFrame, often, bits: int) -> DataFrame:
                         "version": part.column(2).take(pa.array(row)),
                         "place": place.astype(np.int32),
                         "hashes": pa.array(
-                            [hashes[a : a + b].tobytes() if f else None for a, b, f in zip(first.tolist(), length.tolist(), full.tolist())],
+                            [windows[a : a + b].tobytes() if f else None for a, b, f in zip(first.tolist(), length.tolist(), full.tolist())],
                             pa.binary(),
                         ),
                     }
                 )
 
-    return docs.mapInArrow(work, "k1 bigint, k2 bigint, n int, id bigint, version bigint, place int, hashes binary")
+    return docs.mapInArrow(work, "anchor bigint, k1 bigint, k2 bigint, n int, id bigint, version bigint, place int, hashes binary")
 
 
 def _single(batches):
     """The windows of segments, one row each."""
     for batch in batches:
-        ids, versions, places, hashes = batch.columns
+        anchors, ids, versions, places, hashes = batch.columns
         raw = hashes.to_pylist()
         if not raw:
             continue
-        counts = np.array([len(h) // 16 for h in raw])
-        both = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2)
+        counts = np.array([len(h) // 8 for h in raw])
         inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         yield pa.RecordBatch.from_pydict(
             {
-                "w1": np.ascontiguousarray(both[:, 0]),
-                "w2": np.ascontiguousarray(both[:, 1]),
+                "anchor": np.repeat(anchors.to_numpy(), counts),
+                "window": np.frombuffer(b"".join(raw), "<i8"),
                 "id": np.repeat(ids.to_numpy(), counts),
                 "version": np.repeat(versions.to_numpy(), counts),
                 "place": (np.repeat(places.to_numpy(), counts) + inner).astype(np.int32),
@@ -228,14 +226,17 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     bits = min(MOST_BITS, max(16, (COUNTERS_PER_ANCHOR * size // BYTES_PER_ANCHOR).bit_length()))
     often = docs.sparkSession.sparkContext.broadcast(sketch(rows, bits))
     segments = scratch_table(_segments(rows, often, bits), "segments")
-    same = ["k1", "k2", "n"]
-    least = segments.groupBy(*same).agg(F.min("id").alias("least"))
-    settled = segments.join(least, same)
-    whole = settled.where("id > least").select("id", "version", "place", "n")
-    kept = settled.where("id = least and hashes is not null").select("id", "version", "place", "hashes")
-    windows = scratch_table(kept.mapInArrow(_single, "w1 bigint, w2 bigint, id bigint, version bigint, place int"), "windows")
-    least = windows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    single = windows.join(least.drop("most"), ["w1", "w2"]).where("id > least").select("id", "version", "place", F.lit(1).alias("n"))
+    same = ["anchor", "k1", "k2", "n"]
+    least = scratch_table(segments.groupBy(*same).agg(F.min("id").alias("least")), "least")
+    whole = segments.drop("hashes").join(least, same).where("id > least").select("id", "version", "place", "n")
+    # Windows of different segments can only be equal where an anchor has more than one kind of segment.
+    varied = least.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
+    kept = segments.where("hashes is not null").join(varied, "anchor").join(least, same).where("id = least")
+    kept = kept.select("anchor", "id", "version", "place", "hashes")
+    windows = scratch_table(kept.mapInArrow(_single, "anchor bigint, window bigint, id bigint, version bigint, place int"), "windows")
+    window = ["anchor", "window"]
+    first = windows.groupBy(*window).agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
+    single = windows.join(first, window).where("id > least").select("id", "version", "place", F.lit(1).alias("n"))
     return whole.unionByName(single)
 
 
