@@ -12,10 +12,11 @@ block, so links are counted without ever being listed.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.llm.components import components
@@ -23,7 +24,7 @@ from tabulon.llm.hashing import U64, gram_hashes, inside, mix, rows_of, span_has
 from tabulon.llm.shared import BROADCAST_ROWS, broadcast_if_small, checkpoint, scratch_table, text_blocks, without
 
 SHINGLE, SIMILARITY = 5, 0.8
-EMBEDDED, DEPTH = 64, 4
+EMBEDDED, DEPTH = 64, 3
 #: Tokens that two sets at the threshold are expected to follow together at each step.
 SHARED_STEPS = 1.25
 RECALL = 0.999
@@ -206,25 +207,53 @@ def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys)
 
 
+def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges of the groups (path, i, j)."""
+    rows = rows.select("path", "i", "j", "id").join(sets.select("id", "sign"), "id").select("path", "i", "j", "id", "sign")
+    return _dealt(rows, "path", "i", "j").mapInArrow(_bucket_edges, "a bigint, b bigint")
+
+
+def _blocks(count: Column) -> Column:
+    return F.when(count <= 2 * BLOCK, 1).otherwise(F.ceil(count / BLOCK)).cast("int")
+
+
+def _across_blocks(large: DataFrame, edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """What the blocks of large buckets left unseen: whoever is not yet connected to most of its bucket.
+
+    Those few are compared with the whole bucket; a bucket that is one component by now needs nothing.
+    """
+    found = components(edges).select("id", F.col("component").alias("c"))
+    marked = checkpoint(large.join(found, "id", "left").select("path", "id", "n", F.coalesce("c", "id").alias("c")))
+    main = marked.groupBy("path", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("path").agg(F.max(F.struct("k", "c")).alias("main"))
+    rest = marked.join(main, "path").where(F.col("n") > F.col("main.k"))
+    rest = rest.withColumns({"whole": _blocks(F.col("n")), "few": _blocks(F.col("n") - F.col("main.k"))})
+    dealt = lambda parts: F.pmod(F.xxhash64("id", "path"), F.col(parts)).cast("int")
+    each = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    sides = rest.select("path", "id", dealt("whole").alias("j"), each("few").alias("i")).unionByName(
+        rest.where(F.col("c") != F.col("main.c")).select("path", "id", dealt("few").alias("i"), each("whole").alias("j"))
+    )
+    return _compared(sides, sets)
+
+
 def _candidates(sets: DataFrame, recall: float) -> DataFrame:
     """Edges (a, b) between sets that look alike in a bucket."""
     paths = checkpoint(sets.select("id", "sign").mapInArrow(_first_step(runs_needed(recall)), "id bigint, path bigint"))
-    small = []
+    ready = []
     for step in range(1, DEPTH + 1):
         counts = paths.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         sized = checkpoint(paths.join(counts, "path"))
-        final = step == DEPTH
-        small.append(sized if final else sized.where(F.col("n") <= BUCKET))
         large = sized.where(F.col("n") > BUCKET)
-        if final or large.isEmpty():
+        if step == DEPTH or large.isEmpty():
+            ready.append(sized)
             break
+        ready.append(sized.where(F.col("n") <= BUCKET))
         paths = checkpoint(large.join(sets.select("id", "sign"), "id").select("id", "path", "sign").mapInArrow(_next_step, "id bigint, path bigint").distinct())
-    rows = small[0]
-    for more in small[1:]:
-        rows = rows.unionByName(more)
-    blocks = F.when(F.col("n") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("n") / BLOCK))
-    rows = _blocked(rows, blocks, "path", "id").drop("own").join(sets.select("id", "sign"), "id")
-    return _dealt(rows.select("path", "i", "j", "id", "sign"), "path", "i", "j").mapInArrow(_bucket_edges, "a bigint, b bigint")
+    rows = reduce(DataFrame.unionByName, ready)
+    # One block of a bucket at first, so that no row is repeated.
+    dealt = F.pmod(F.xxhash64("id", "path"), _blocks(F.col("n"))).cast("int")
+    edges = checkpoint(_compared(rows.withColumns({"i": dealt, "j": F.lit(0)}), sets))
+    large = ready[-1].where(F.col("n") > 2 * BLOCK)
+    return edges if large.isEmpty() else edges.unionByName(_across_blocks(large, edges, sets))
 
 
 def _common(rows: np.ndarray, grams: np.ndarray, n: int) -> np.ndarray:
