@@ -31,57 +31,59 @@ UNITS = (
 ).split()
 
 
-def _words(text: Column) -> Column:
-    """Words without punctuation at their ends; the first of each sentence carries a mark."""
+def _bare(text: Column) -> Column:
+    """The text without punctuation at the ends of words; the first word of each sentence carries a mark."""
     marked = F.regexp_replace(text, "(^|[.!?:][\\s\"')]+|\\n)", f"$1{START}")
     front = F.regexp_replace(marked, f"(^|[\\s{START}])[^\\p{{L}}\\p{{N}}%\\s{START}]+", "$1")
-    bare = F.regexp_replace(front, f"[^\\p{{L}}\\p{{N}}%\\s]+(\\s|$)", "$1")
-    return F.filter(F.split(bare, "\\s+"), lambda w: (w != "") & (w != START))
-
-
-def _token(word: Column, before: Column) -> Column:
-    """The template token of a word, given the word before it (null for the first)."""
-    first = F.substring(word, 1, 1)
-    opens = first == START
-    rest = F.when(opens, F.substring(word, 2, 1 << 30)).otherwise(word)
-    digit = lambda w: F.substring(w, 1, 1).between("0", "9")
-    after_number = digit(before) | (F.startswith(before, F.lit(START)) & digit(F.substring(before, 2, 1)))
-    second = F.substring(word, 2, 1)
+    return F.regexp_replace(front, f"[^\\p{{L}}\\p{{N}}%\\s]+(\\s|$)", "$1")
+
+
+def _split(text: Column) -> Column:
+    return F.array_remove(F.array_remove(F.split(text, "\\s+"), ""), START)
+
+
+def _token(word: Column, low: Column, before: Column) -> Column:
+    """The template token of a word, given it in lower case and the word before it (null for the first)."""
+    first, second = F.substring(word, 1, 1), F.substring(word, 2, 1)
+    digit = lambda c: c.between("0", "9")
+    after_number = digit(F.substring(F.ltrim(before, F.lit(START)), 1, 1))
     return (
-        F.when(digit(rest), NUMBER)
-        .when(after_number & F.lower(word).isin(UNITS), UNIT)
-        .when((first != F.lower(first)) & (second != "") & (second != F.upper(second)), NAME)
-        .otherwise(F.lower(rest))
+        F.when(digit(first) | ((first == START) & digit(second)), NUMBER)
+        .when(low.isin(UNITS) & after_number, UNIT)
+        .when(first == START, F.substring(low, 2, 1 << 30))
+        .when((first != F.substring(low, 1, 1)) & (second != "") & (second != F.upper(second)), NAME)
+        .otherwise(low)
     )
 
 
 def template_windows(table: DataFrame, key: str, text: str = "text", stride: int = 1) -> DataFrame:
-    """Windows of every text: ``key``, ``place``, ``n_tokens``, two hashes, and the filled slots.
+    """Windows of every text: ``key``, ``place``, ``width``, ``n_tokens``, their hash, and the filled slots.
 
     A text shorter than a window is one window if it has at least four words; null text has none.
+    Windows are built inside the row, so the words of a text are not copied for each of them.
     """
-    step = once(table, [F.col(f"`{key}`").alias("key")], words=_words(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    step = once(step, ["key", "words"], tokens=F.transform("words", lambda w, i: _token(w, F.get("words", i - 1))))
-    size = F.size("tokens")
+    step = once(table, [F.col(f"`{key}`").alias("key")], bare=_bare(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    step = once(step, ["key"], words=_split(F.col("bare")), low=_split(F.lower("bare")))
+    tokens = F.transform("words", lambda w, i: _token(w, F.get("low", i), F.get("words", i - 1)))
+    step = once(step, ["key", "low"], tokens=tokens)
+    slot = lambda t: t.isin(NUMBER, NAME, UNIT)
+    filled = F.transform("tokens", lambda t, i: F.when(slot(t), F.struct(t.alias("kind"), F.ltrim(F.get("low", i), F.lit(START)).alias("word"))))
+    step = once(
+        step, ["key"], n_tokens=F.size("tokens"), hashes=F.transform("tokens", lambda t: F.xxhash64(t)),
+        filled=F.when(F.exists("tokens", slot), filled),
+    )
     # At the text's end one more window, so that a stride leaves no token uncovered.
-    last = F.greatest(size - WINDOW, F.lit(0))
+    last = F.greatest(F.col("n_tokens") - WINDOW, F.lit(0))
     places = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last)))
-    places = F.when(size >= LITERALS, places)
-    step = step.select("key", "words", "tokens", size.alias("n_tokens"), F.explode_outer(places).alias("place")).where("place is not null")
-    part = lambda name: F.slice(name, F.col("place") + 1, WINDOW)
-    step = once(step, ["key", "place", "n_tokens"], span=part("tokens"), raw=part("words"))
-    slot = lambda t: t.isin(NUMBER, NAME, UNIT)
-    step = step.where(F.size(F.filter("span", lambda t: ~slot(t))) >= LITERALS)
-    zipped = F.transform("span", lambda t, k: F.when(slot(t), F.struct(t.alias("kind"), F.lower(F.get("raw", k)).alias("word"))))
+    part = lambda name, p: F.slice(name, p + 1, WINDOW)
+    inside = lambda p: F.when(F.col("filled").isNotNull(), F.filter(part("filled", p), lambda z: z.isNotNull()))
+    windows = F.transform(places, lambda p: F.struct(p.alias("place"), F.xxhash64(part("hashes", p)).alias("h"), inside(p).alias("slots")))
+    windows = F.when(F.col("n_tokens") >= LITERALS, windows)
+    step = step.select("key", "n_tokens", F.inline_outer(windows)).where("place is not null")
     return step.select(
-        "key",
-        "place",
-        "n_tokens",
-        F.size("span").alias("width"),
-        F.xxhash64("span").alias("h1"),
-        F.hash("span").alias("h2"),
-        F.when(F.exists("span", slot), F.filter(zipped, lambda z: z.isNotNull())).alias("slots"),
-    )
+        "key", "place", F.least("n_tokens", F.lit(WINDOW)).alias("width"), "n_tokens", "h",
+        F.when(F.size("slots") > 0, F.col("slots")).alias("slots"),
+    )
 
 
 def contaminated(
@@ -96,10 +98,12 @@ def contaminated(
     repeated rows count once; equal items are each reported; empty tables give no rows.
     """
     items = template_windows(benchmark, item_key).where("key is not null")
-    items = checkpoint(items.select("h1", "h2", "width", F.col("key").alias("item"), F.col("place").alias("item_place"), "n_tokens", F.col("slots").alias("item_slots")).distinct())
+    # Windows of placeholders say too little; documents meet only what is left.
+    items = items.where(F.col("width") - F.coalesce(F.size("slots"), F.lit(0)) >= LITERALS)
+    items = checkpoint(items.select("h", "width", F.col("key").alias("item"), F.col("place").alias("item_place"), "n_tokens", F.col("slots").alias("item_slots")).distinct())
     found = template_windows(docs, doc_key, stride=STRIDE).where("key is not null")
-    found = found.select("h1", "h2", "width", F.col("key").alias("doc"), F.col("place").alias("doc_place"), "slots")
-    hits = found.join(broadcast_if_small(items, items.count(), BROADCAST_WINDOWS), ["h1", "h2", "width"])
+    found = found.select("h", "width", F.col("key").alias("doc"), F.col("place").alias("doc_place"), "slots")
+    hits = found.join(broadcast_if_small(items, items.count(), BROADCAST_WINDOWS), ["h", "width"])
     pair = ["doc", "item"]
     slots = F.when(F.col("slots").isNotNull(), F.arrays_zip("item_slots", "slots"))
     hits = checkpoint(
