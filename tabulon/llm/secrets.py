@@ -72,10 +72,22 @@ class Lexicon:
 
 
 def lexicon(docs: DataFrame, text: str = "text", most: int = DICTIONARY) -> Lexicon:
-    """Counted over all documents; the driver receives the commonest words, a bounded number."""
+    """Counted over all documents. The driver receives the commonest words, ``most`` of them at most.
+
+    How many words there are at each height of count, in steps of an eighth, is settled first: a few
+    hundred numbers. Only words above the height that fits are sent, however many partitions there are.
+    """
     words = docs.select(F.explode(F.split(F.col(f"`{text}`"), "[^a-z]+")).alias("w")).where("length(w) between 3 and 16")
-    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most)
-    return Lexicon({r["w"]: r["count"] for r in top.collect()})
+    counts = checkpoint(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).withColumn("height", F.floor(F.log2("n") * 6).cast("int")))
+    heights = sorted(counts.groupBy("height").agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True)
+    held, least = 0, heights[0]["height"] if heights else 0
+    for row in heights:
+        held += row["k"]
+        if held > most:
+            break
+        least = row["height"]
+    top = counts.where(F.col("height") >= least).orderBy(F.desc("n"), "w").limit(most)
+    return Lexicon({r["w"]: r["n"] for r in top.collect()})
 
 
 def features(words: Lexicon, text: str, start: int, end: int) -> list[float]:
