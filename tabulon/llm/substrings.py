@@ -51,10 +51,10 @@ def _windows(data: np.ndarray, offsets: np.ndarray):
 
 
 def _runs(at: np.ndarray, anchors: np.ndarray, row_words: np.ndarray) -> np.ndarray:
-    """Indices into ``at`` where a stretch of neighbours with one anchor begins."""
+    """Indices into ``at``, which may leave windows out, where a stretch of neighbours with one anchor begins."""
     row = np.searchsorted(row_words, at, "right")
     new = np.ones(len(at), bool)
-    new[1:] = (anchors[1:] != anchors[:-1]) | (row[1:] != row[:-1])
+    new[1:] = (anchors[1:] != anchors[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
     return np.flatnonzero(new)
 
 

@@ -103,6 +103,17 @@ def test_removed_passages_with_a_tiny_sketch(spark, passage_rows, monkeypatch):
     assert got == brute.without_repeats(passage_rows)
 
 
+def test_removed_passages_twice_in_a_document(spark):
+    """Short passages, apart from each other in the later document; clean words lie behind both copies."""
+    rows = []
+    for k in range(60):
+        passage = filler(f"twice{k}", 50 + k % 6)
+        rows.append((2 * k, f"{filler(f'a{k}', 20)} {passage} {filler(f'b{k}', 20)}"))
+        rows.append((2 * k + 1, f"{filler(f'c{k}', 9)} {passage} {filler(f'd{k}', 1 + 3 * k)} {passage} {filler(f'e{k}', 60)}"))
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substrings.without_repeats(documents(spark, rows)).collect()}
+    assert got == brute.without_repeats(rows)
+
+
 def test_removed_passages_of_messy_rows(messy, messy_rows, nothing):
     got = [(r["doc_id"], r["n_words"], r["n_removed"]) for r in substrings.without_repeats(messy).collect()]
     assert len(got) == len(messy_rows)
