@@ -4,12 +4,13 @@ A text becomes a row of typed tokens: numbers, units after a number and capitali
 sentence turn into placeholders, every other word is lowered and stripped of punctuation. Windows of
 eight template tokens of all items are hash-joined with every second window of the documents. So any
 run of nine equal template tokens is found. A hit carries the words in its placeholders; an item
-counts as re-parameterised only where its slots were filled one-to-one, always with the same words.
+counts as re-parameterised only where each word in its slots is replaced by one word throughout. That is
+judged for each occurrence, and the best of them counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.llm.shared import broadcast_if_small, checkpoint, once, without
@@ -57,19 +58,22 @@ def _token(word: Column, low: Column, before: Column) -> Column:
 
 
 def template_windows(table: DataFrame, key: str, text: str = "text", stride: int = 1) -> DataFrame:
-    """Windows of every text: ``key``, ``place``, ``width``, ``n_tokens``, their hash, and the filled slots.
+    """Windows of every text: ``key``, ``version``, ``place``, ``width``, ``n_tokens``, their hash, and the filled slots.
+
+    ``version`` is a hash of the text, which tells apart texts that share a key.
 
     A text shorter than a window is one window if it has at least four words; null text has none.
     Windows are built inside the row, so the words of a text are not copied for each of them.
     """
-    step = once(table, [F.col(f"`{key}`").alias("key")], bare=_bare(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    step = once(step, ["key"], words=_split(F.col("bare")), low=_split(F.lower("bare")))
+    name = ["key", "version"]
+    step = once(table, [F.col(f"`{key}`").alias("key"), F.xxhash64(f"`{text}`").alias("version")], bare=_bare(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    step = once(step, name, words=_split(F.col("bare")), low=_split(F.lower("bare")))
     tokens = F.transform("words", lambda w, i: _token(w, F.get("low", i), F.get("words", i - 1)))
-    step = once(step, ["key", "low"], tokens=tokens)
+    step = once(step, [*name, "low"], tokens=tokens)
     slot = lambda t: t.isin(NUMBER, NAME, UNIT)
     filled = F.transform("tokens", lambda t, i: F.when(slot(t), F.struct(t.alias("kind"), F.ltrim(F.get("low", i), F.lit(START)).alias("word"))))
     step = once(
-        step, ["key"], n_tokens=F.size("tokens"), hashes=F.transform("tokens", lambda t: F.xxhash64(t)),
+        step, name, n_tokens=F.size("tokens"), hashes=F.transform("tokens", lambda t: F.xxhash64(t)),
         filled=F.when(F.exists("tokens", slot), filled),
     )
     # At the text's end one more window, so that a stride leaves no token uncovered.
@@ -79,22 +83,59 @@ def template_windows(table: DataFrame, key: str, text: str = "text", stride: int
     inside = lambda p: F.when(F.col("filled").isNotNull(), F.filter(part("filled", p), lambda z: z.isNotNull()))
     windows = F.transform(places, lambda p: F.struct(p.alias("place"), F.xxhash64(part("hashes", p)).alias("h"), inside(p).alias("slots")))
     windows = F.when(F.col("n_tokens") >= LITERALS, windows)
-    step = step.select("key", "n_tokens", F.inline_outer(windows)).where("place is not null")
+    step = step.select(*name, "n_tokens", F.inline_outer(windows)).where("place is not null")
     return step.select(
-        "key", "place", F.least("n_tokens", F.lit(WINDOW)).alias("width"), "n_tokens", "h",
+        *name, "place", F.least("n_tokens", F.lit(WINDOW)).alias("width"), "n_tokens", "h",
         F.when(F.size("slots") > 0, F.col("slots")).alias("slots"),
     )
 
 
+def _occurrences(slotted: DataFrame) -> DataFrame:
+    """Places of an item found by windows with slots, for each of its occurrences: doc, item, n_tokens, places, same.
+
+    Windows of one document text with one ``shift`` (place in the document less place in the item) are an
+    occurrence, unless a word of the item stands for two words in it. Words left out or put in move the rest of
+    an item to another shift, so each occurrence also takes the windows less than an item away that agree
+    with it. Where two of those disagree, equal words go first, then the nearest window. All windows of the document
+    together are one more candidate, if no word of the item stands for two words in them.
+    """
+    pair, one = ["doc", "item", "n_tokens"], ["doc", "item", "n_tokens", "version", "shift"]
+    spread = F.explode(F.sequence(F.col("item_place"), F.col("item_place") + F.col("width") - 1))
+    filled = slotted.select(*one, F.explode("slots").alias("s")).select(*one, "s.*").distinct()
+    alone = filled.groupBy(*one).agg((F.count(F.lit(1)) == F.count_distinct("given")).alias("agrees")).where("agrees").drop("agrees")
+    whole = filled.select(*pair, "given", "put").distinct().groupBy(*pair)
+    whole = whole.agg((F.count(F.lit(1)) == F.count_distinct("given")).alias("agrees"), F.every(F.col("given") == F.col("put")).alias("same"))
+    whole = slotted.join(whole.where("agrees").drop("agrees"), pair).select(*pair, "same", spread.alias("p"))
+    whole = whole.groupBy(*pair, "same").agg(F.collect_set("p").alias("places"))
+    # Shifts less than an item apart lie in the same or in neighbouring stretches of that length.
+    alone = checkpoint(alone)
+    stretch = F.floor(F.col("shift") / F.col("n_tokens"))
+    reach = F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("stretch")
+    starts = alone.select(*pair, "version", F.col("shift").alias("start"), reach)
+    near = slotted.join(alone, one, "left_semi").withColumn("stretch", stretch).join(starts, [*pair, "version", "stretch"])
+    near = near.where(F.abs(F.col("shift") - F.col("start")) < F.col("n_tokens"))
+    window = [*pair, "version", "start", "shift", "item_place", "width"]
+    near = near.select(*window, F.explode("slots").alias("s")).select(*window, "s.*")
+    rank = F.when(F.col("shift") == F.col("start"), 0).when(F.col("given") == F.col("put"), 1).otherwise(2)
+    first = F.struct(rank.alias("rank"), F.abs(F.col("shift") - F.col("start")).alias("gap"), "shift", "put")
+    chosen = F.min(first).over(Window.partitionBy(*pair, "version", "start", "given"))
+    near = near.withColumn("chosen", chosen["put"]).groupBy(*window).agg(
+        F.every(F.col("put") == F.col("chosen")).alias("agrees"), F.every(F.col("put") == F.col("given")).alias("same")
+    )
+    near = near.where("agrees").select(*pair, "version", "start", "same", spread.alias("p"))
+    near = near.groupBy(*pair, "version", "start").agg(F.every("same").alias("same"), F.collect_set("p").alias("places"))
+    return near.select(*pair, "places", "same").unionByName(whole)
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", covered: float = COVERED
 ) -> DataFrame:
-    """One row for each document and item it holds: keys, windows, covered, exact.
+    """One row for each document and item it holds: keys, covered, exact.
 
     ``covered`` is the share of the item's template tokens inside matching windows, at least the
-    parameter; ``exact`` says that no slot was filled with another word. Windows with slots count
-    only if, over all of them, each word of the item stands for one word of the document and the
-    other way round. Null texts, texts under four words and rows with a null key match nothing;
+    parameter; ``exact`` says that in one such occurrence no slot was filled with another word. Windows with slots count
+    only if, within an occurrence, each word of the item always stands for the same word; of several
+    occurrences the best counts. Null texts, texts under four words and rows with a null key match nothing;
     repeated rows count once; equal items are each reported; empty tables give no rows.
     """
     items = template_windows(benchmark, item_key).where("key is not null")
@@ -102,30 +143,24 @@ def contaminated(
     items = items.where(F.col("width") - F.coalesce(F.size("slots"), F.lit(0)) >= LITERALS)
     items = checkpoint(items.select("h", "width", F.col("key").alias("item"), F.col("place").alias("item_place"), "n_tokens", F.col("slots").alias("item_slots")).distinct())
     found = template_windows(docs, doc_key, stride=STRIDE).where("key is not null")
-    found = found.select("h", "width", F.col("key").alias("doc"), F.col("place").alias("doc_place"), "slots")
+    found = found.select("h", "width", F.col("key").alias("doc"), "version", F.col("place").alias("doc_place"), "slots")
     hits = found.join(broadcast_if_small(items, items.count(), BROADCAST_WINDOWS), ["h", "width"])
-    pair = ["doc", "item"]
-    slots = F.when(F.col("slots").isNotNull(), F.arrays_zip("item_slots", "slots"))
-    hits = checkpoint(
-        hits.select(*pair, "item_place", "width", "n_tokens", slots.alias("slots")).groupBy(*pair, "item_place", "width", "n_tokens", "slots").agg(F.count(F.lit(1)).alias("times"))
-    )
-    filled = hits.where("slots is not null").select(*pair, F.explode("slots").alias("s"))
-    filled = filled.select(*pair, F.col("s.item_slots").alias("given"), F.col("s.slots").alias("put")).distinct()
-    consistent = filled.groupBy(*pair).agg(
-        ((F.count(F.lit(1)) == F.count_distinct("given")) & (F.count(F.lit(1)) == F.count_distinct("put"))).alias("consistent"),
-        F.every(F.col("given") == F.col("put")).alias("same"),
-    )
-    counted = hits.join(consistent, pair, "left").where("slots is null or consistent")
-    places = counted.select(*pair, "n_tokens", "same", F.col("slots").isNotNull().alias("slotted"), F.explode(F.sequence(F.col("item_place"), F.col("item_place") + F.col("width") - 1)).alias("p"))
-    return (
-        places.groupBy(*pair, "n_tokens")
-        .agg(
-            (F.count_distinct("p") / F.col("n_tokens")).alias("covered"),
-            F.coalesce(F.every("same"), F.lit(True)).alias("exact"),
-        )
-        .where(F.col("covered") >= covered)
-        .select(F.col("doc").alias(doc_key), F.col("item").alias(item_key), F.round("covered", 6).alias("covered"), "exact")
-    )
+    pair = ["doc", "item", "n_tokens"]
+    slots = F.when(F.col("slots").isNotNull(), F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("given"), b.alias("put"))))
+    # Windows without slots agree with every occurrence, so where they lie is not kept.
+    at = lambda c: F.when(F.col("slots").isNotNull(), c)
+    hits = hits.select(
+        *pair, at(F.col("version")).alias("version"), at(F.col("doc_place") - F.col("item_place")).alias("shift"), "item_place", "width", slots.alias("slots")
+    )
+    hits = checkpoint(hits.distinct())
+    spread = F.explode(F.sequence(F.col("item_place"), F.col("item_place") + F.col("width") - 1))
+    plain = hits.where("slots is null").select(*pair, spread.alias("p")).groupBy(*pair).agg(F.collect_set("p").alias("plain"))
+    found = _occurrences(hits.where("slots is not null")).join(plain, pair, "full")
+    none = F.array().cast("array<int>")
+    places = F.array_union(F.coalesce("plain", none), F.coalesce("places", none))
+    found = found.select("doc", "item", (F.size(places) / F.col("n_tokens")).alias("covered"), F.coalesce("same", F.lit(True)).alias("same"))
+    best = found.where(F.col("covered") >= covered).groupBy("doc", "item").agg(F.max("covered").alias("covered"), F.some("same").alias("exact"))
+    return best.select(F.col("doc").alias(doc_key), F.col("item").alias(item_key), F.round("covered", 6).alias("covered"), "exact")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_key: str = "doc_id") -> DataFrame:

@@ -146,6 +146,29 @@ def test_benchmark_items_are_found(spark):
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == sorted((d or 0) for d, _ in rows if (d, 1) not in got and (d, 5) not in got)
 
 
+def contaminated(spark, items, rows):
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    return {(r["doc_id"], r["item_id"]): (r["covered"], r["exact"]) for r in decontaminate.contaminated(documents(spark, rows), items).collect()}
+
+
+def test_benchmark_occurrences_are_judged_alone(spark):
+    """One item more than once in a document, crosswise windows, a far clash, and two values that become one."""
+    other = [ITEM.replace("40", str(a)).replace("12", str(b)) for a, b in ((75, 9), (31, 8), (20, 20))]
+    twice = "Add 5 to the sum of all the numbers here then add 7 to the sum of all the numbers here and stop there now"
+    window = "station at 99 km per hour and reaches Rome"
+    far = [filler(f"far{k}", 61) for k in range(3)]
+    # The same template without a clash in itself, but with a word put in, which moves the second half.
+    moved = other[0].replace("and reaches", "and soon reaches")
+    rows = [
+        (1, f"{far[0]} {other[0]} {far[1]} {other[1]} {far[2]}"), (2, f"{far[0]} {ITEM} {far[1]} {other[0]}"), (3, f"{far[0]}. {twice} {far[1]}"),
+        (4, f"{ITEM} {far[0]} {window} {far[2]}"), (5, f"{far[0]} {other[2]}"), (6, f"{far[0]} {moved} {far[1]}"), (7, f"{far[0]} {window} {far[1]}"),
+        (8, f"{other[0]} {other[1]} {ITEM} {other[2]}"),
+    ]
+    got = contaminated(spark, [(1, ITEM), (2, twice)], rows)
+    assert {k: e for k, (_, e) in got.items()} == {(1, 1): False, (2, 1): True, (3, 2): True, (4, 1): True, (5, 1): False, (6, 1): False, (8, 1): True}
+    assert all(c > 0.8 for c, _ in got.values())
+
+
 def test_benchmark_empty_tables(messy, nothing):
     items = messy.selectExpr("doc_id as item_id", "text")
     assert decontaminate.contaminated(nothing, items).count() == 0
