@@ -10,6 +10,8 @@ judged for each occurrence, and the best of them counts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,12 +59,16 @@ def _token(word: Column, low: Column, before: Column) -> Column:
     )
 
 
-def template_windows(table: DataFrame, key: str, text: str = "text", stride: int = 1) -> DataFrame:
+def template_windows(
+    table: DataFrame, key: str, text: str = "text", stride: int = 1, widths: Sequence[int] | None = None, exact: Sequence[int] | None = None
+) -> DataFrame:
     """Windows of every text: ``key``, ``version``, ``place``, ``width``, ``n_tokens``, their hash, and the filled slots.
 
     ``version`` is a hash of the text, which tells apart texts that share a key.
 
-    A text shorter than a window is one window if it has at least four words; null text has none.
+    A text shorter than a window is one window; null text has none. Every window is there twice: as template
+    and, with ``exact``, as its lowered words. With ``widths`` there are template windows of each of them
+    and exact windows of each width in ``exact`` instead, where the text is long enough.
     Windows are built inside the row, so the words of a text are not copied for each of them.
     """
     name = ["key", "version"]
@@ -71,23 +77,30 @@ def template_windows(table: DataFrame, key: str, text: str = "text", stride: int
     tokens = F.transform("words", lambda w, i: _token(w, F.get("low", i), F.get("words", i - 1)))
     step = once(step, [*name, "low"], tokens=tokens)
     slot = lambda t: t.isin(NUMBER, NAME, UNIT)
+    words = F.transform("low", lambda w: F.xxhash64(F.ltrim(w, F.lit(START))))
     filled = F.transform("tokens", lambda t, i: F.when(slot(t), F.struct(t.alias("kind"), F.ltrim(F.get("low", i), F.lit(START)).alias("word"))))
     step = once(
         step, name, n_tokens=F.size("tokens"), hashes=F.transform("tokens", lambda t: F.xxhash64(t)),
-        filled=F.when(F.exists("tokens", slot), filled),
+        filled=F.when(F.exists("tokens", slot), filled), **({"words": words} if widths is None or exact else {}),
     )
-    # At the text's end one more window, so that a stride leaves no token uncovered.
-    last = F.greatest(F.col("n_tokens") - WINDOW, F.lit(0))
-    places = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last)))
-    part = lambda name, p: F.slice(name, p + 1, WINDOW)
-    inside = lambda p: F.when(F.col("filled").isNotNull(), F.filter(part("filled", p), lambda z: z.isNotNull()))
-    windows = F.transform(places, lambda p: F.struct(p.alias("place"), F.xxhash64(part("hashes", p)).alias("h"), inside(p).alias("slots")))
-    windows = F.when(F.col("n_tokens") >= LITERALS, windows)
+    inside = lambda p, width: F.when(F.col("filled").isNotNull(), F.filter(F.slice("filled", p + 1, width), lambda z: z.isNotNull()))
+
+    def of_width(width: Column, exact: bool, stride: int = 1) -> Column:
+        last = F.greatest(F.col("n_tokens") - width, F.lit(0))
+        # At the text's end one more window, so that a stride leaves no token uncovered.
+        places = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last)))
+        h = lambda p: F.xxhash64(F.lit("words"), F.slice("words", p + 1, width)) if exact else F.xxhash64(F.slice("hashes", p + 1, width))
+        window = lambda p: F.struct(p.alias("place"), width.alias("width"), F.lit(exact).alias("exact"), h(p).alias("h"), inside(p, width).alias("slots"))
+        return F.when((F.col("n_tokens") >= width) & (width > 0), F.transform(places, window))
+
+    if widths is None:
+        width = F.least("n_tokens", F.lit(WINDOW))
+        of_each = [of_width(width, False, stride), of_width(width, True)]
+    else:
+        of_each = [of_width(F.lit(w), False, stride if w == WINDOW else 1) for w in widths] + [of_width(F.lit(w), True) for w in exact or ()]
+    windows = of_each[0] if len(of_each) == 1 else F.flatten(F.array_compact(F.array(*of_each)))
     step = step.select(*name, "n_tokens", F.inline_outer(windows)).where("place is not null")
-    return step.select(
-        *name, "place", F.least("n_tokens", F.lit(WINDOW)).alias("width"), "n_tokens", "h",
-        F.when(F.size("slots") > 0, F.col("slots")).alias("slots"),
-    )
+    return step.select(*name, "place", "width", "exact", "n_tokens", "h", F.when(F.size("slots") > 0, F.col("slots")).alias("slots"))
 
 
 def _occurrences(slotted: DataFrame) -> DataFrame:
@@ -135,22 +148,28 @@ def contaminated(
     ``covered`` is the share of the item's template tokens inside matching windows, at least the
     parameter; ``exact`` says that in one such occurrence no slot was filled with another word. Windows with slots count
     only if, within an occurrence, each word of the item always stands for the same word; of several
-    occurrences the best counts. Null texts, texts under four words and rows with a null key match nothing;
+    occurrences the best counts. An item under four words is found where just these words follow each
+    other, in upper or lower case. Null texts, texts without words and rows with a null key match nothing;
     repeated rows count once; equal items are each reported; empty tables give no rows.
     """
     items = template_windows(benchmark, item_key).where("key is not null")
-    # Windows of placeholders say too little; documents meet only what is left.
-    items = items.where(F.col("width") - F.coalesce(F.size("slots"), F.lit(0)) >= LITERALS)
-    items = checkpoint(items.select("h", "width", F.col("key").alias("item"), F.col("place").alias("item_place"), "n_tokens", F.col("slots").alias("item_slots")).distinct())
-    found = template_windows(docs, doc_key, stride=STRIDE).where("key is not null")
-    found = found.select("h", "width", F.col("key").alias("doc"), "version", F.col("place").alias("doc_place"), "slots")
-    hits = found.join(broadcast_if_small(items, items.count(), BROADCAST_WINDOWS), ["h", "width"])
+    # Templates of placeholders say too little. Short items are looked for by their words as well.
+    literals = F.col("width") - F.coalesce(F.size("slots"), F.lit(0))
+    items = items.where(F.when(F.col("exact"), F.col("width") < WINDOW).otherwise(literals >= LITERALS))
+    items = checkpoint(items.select("h", "width", "exact", F.col("key").alias("item"), F.col("place").alias("item_place"), "n_tokens", F.col("slots").alias("item_slots")).distinct())
+    widths = items.select("exact", "width").distinct().collect()  # sixteen rows at most
+    widths = {exact: sorted(r["width"] for r in widths if r["exact"] == exact) for exact in (False, True)}
+    found = template_windows(docs, doc_key, stride=STRIDE, widths=widths[False] or [WINDOW], exact=widths[True]).where("key is not null")
+    found = found.select("h", "width", "exact", F.col("key").alias("doc"), "version", F.col("place").alias("doc_place"), "slots")
+    hits = found.join(broadcast_if_small(items, items.count(), BROADCAST_WINDOWS), ["h", "width", "exact"])
     pair = ["doc", "item", "n_tokens"]
-    slots = F.when(F.col("slots").isNotNull(), F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("given"), b.alias("put"))))
+    # Equal words fill the slots with themselves.
+    put = F.when(F.col("exact"), F.col("item_slots")).otherwise(F.col("slots"))
+    hits = hits.withColumn("slots", F.zip_with("item_slots", put, lambda a, b: F.struct(a.alias("given"), b.alias("put"))))
     # Windows without slots agree with every occurrence, so where they lie is not kept.
     at = lambda c: F.when(F.col("slots").isNotNull(), c)
     hits = hits.select(
-        *pair, at(F.col("version")).alias("version"), at(F.col("doc_place") - F.col("item_place")).alias("shift"), "item_place", "width", slots.alias("slots")
+        *pair, at(F.col("version")).alias("version"), at(F.col("doc_place") - F.col("item_place")).alias("shift"), "item_place", "width", "slots"
     )
     hits = checkpoint(hits.distinct())
     spread = F.explode(F.sequence(F.col("item_place"), F.col("item_place") + F.col("width") - 1))

@@ -169,6 +169,17 @@ def test_benchmark_occurrences_are_judged_alone(spark):
     assert all(c > 0.8 for c, _ in got.values())
 
 
+def test_benchmark_short_items_inside_longer_texts(spark):
+    items = [(n, " ".join(f"q{n}w{k}" for k in range(n))) for n in (1, 2, 3, 5, 7, 8)] + [(20, "How far is 9 km really?"), (21, "12 km"), (22, ""), (23, "?!")]
+    before, after = filler("before", 33), filler("after", 20)
+    rows = [(10 * n + odd, f"{before} {'x ' * odd}{text} {after}") for n, text in items for odd in (0, 1)]
+    rows += [(500, f"{before} how far is 8 km really {after}"), (501, f"{before} 13 km {after}"), (502, f"{before} Q2W0, Q2W1"), (503, "q7w0 q7w1 q7w2 q7w3 q7w4 q7w5 q7w6"), (504, "q3w0 q3w1")]
+    got = contaminated(spark, items, rows)
+    # Items of eight words and more are the matter of the test of all places.
+    found = {(10 * n + odd, n): (1.0, True) for n, _ in items if n not in (8, 22, 23) for odd in (0, 1)}
+    assert {k: v for k, v in got.items() if k[1] != 8} == found | {(500, 20): (1.0, False), (502, 2): (1.0, True), (503, 7): (1.0, True)}
+
+
 def test_benchmark_empty_tables(messy, nothing):
     items = messy.selectExpr("doc_id as item_id", "text")
     assert decontaminate.contaminated(nothing, items).count() == 0
