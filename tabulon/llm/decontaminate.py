@@ -2,8 +2,8 @@
 
 A text becomes a row of typed tokens: numbers, units after a number and capitalised names inside a
 sentence turn into placeholders, every other word is lowered and stripped of punctuation. Windows of
-eight template tokens of all items are hash-joined with every second window of the documents. So any
-run of nine equal template tokens is found. A hit carries the words in its placeholders; an item
+eight template tokens of all items are hash-joined with all windows of the documents. So any run of
+eight equal template tokens is found. Slots are read only in documents that hold such a hash. A hit carries the words in its placeholders; an item
 counts as re-parameterised only where each word in its slots is replaced by one word throughout. That is
 judged for each occurrence, and the best of them counts.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.shared import broadcast_if_small, checkpoint, once, without
 
-WINDOW, STRIDE = 8, 2
+WINDOW = 8
 #: Windows of the benchmark up to which they are sent to all executors (24 bytes each and slots).
 BROADCAST_WINDOWS = 500_000
 #: Share of an item's template tokens that must be found in a document.
@@ -60,7 +60,7 @@ def _token(word: Column, low: Column, before: Column) -> Column:
 
 
 def template_windows(
-    table: DataFrame, key: str, text: str = "text", stride: int = 1, widths: Sequence[int] | None = None, exact: Sequence[int] | None = None
+    table: DataFrame, key: str, text: str = "text", widths: Sequence[int] | None = None, exact: Sequence[int] | None = None, slots: bool = True
 ) -> DataFrame:
     """Windows of every text: ``key``, ``version``, ``place``, ``width``, ``n_tokens``, their hash, and the filled slots.
 
@@ -69,7 +69,7 @@ def template_windows(
     A text shorter than a window is one window; null text has none. Every window is there twice: as template
     and, with ``exact``, as its lowered words. With ``widths`` there are template windows of each of them
     and exact windows of each width in ``exact`` instead, where the text is long enough.
-    Windows are built inside the row, so the words of a text are not copied for each of them.
+    Without ``slots`` only hashes are worked out. Windows are built inside the row, so the words of a text are not copied for each of them.
     """
     name = ["key", "version"]
     step = once(table, [F.col(f"`{key}`").alias("key"), F.xxhash64(f"`{text}`").alias("version")], bare=_bare(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
@@ -81,26 +81,26 @@ def template_windows(
     filled = F.transform("tokens", lambda t, i: F.when(slot(t), F.struct(t.alias("kind"), F.ltrim(F.get("low", i), F.lit(START)).alias("word"))))
     step = once(
         step, name, n_tokens=F.size("tokens"), hashes=F.transform("tokens", lambda t: F.xxhash64(t)),
-        filled=F.when(F.exists("tokens", slot), filled), **({"words": words} if widths is None or exact else {}),
+        **({"filled": F.when(F.exists("tokens", slot), filled)} if slots else {}), **({"words": words} if widths is None or exact else {}),
     )
     inside = lambda p, width: F.when(F.col("filled").isNotNull(), F.filter(F.slice("filled", p + 1, width), lambda z: z.isNotNull()))
 
-    def of_width(width: Column, exact: bool, stride: int = 1) -> Column:
+    def of_width(width: Column, exact: bool) -> Column:
         last = F.greatest(F.col("n_tokens") - width, F.lit(0))
-        # At the text's end one more window, so that a stride leaves no token uncovered.
-        places = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last)))
         h = lambda p: F.xxhash64(F.lit("words"), F.slice("words", p + 1, width)) if exact else F.xxhash64(F.slice("hashes", p + 1, width))
-        window = lambda p: F.struct(p.alias("place"), width.alias("width"), F.lit(exact).alias("exact"), h(p).alias("h"), inside(p, width).alias("slots"))
-        return F.when((F.col("n_tokens") >= width) & (width > 0), F.transform(places, window))
+        fields = lambda p: [p.alias("place"), width.alias("width"), F.lit(exact).alias("exact"), h(p).alias("h")]
+        window = lambda p: F.struct(*fields(p), *([inside(p, width).alias("slots")] if slots else []))
+        return F.when((F.col("n_tokens") >= width) & (width > 0), F.transform(F.sequence(F.lit(0), last), window))
 
     if widths is None:
         width = F.least("n_tokens", F.lit(WINDOW))
-        of_each = [of_width(width, False, stride), of_width(width, True)]
+        of_each = [of_width(width, False), of_width(width, True)]
     else:
-        of_each = [of_width(F.lit(w), False, stride if w == WINDOW else 1) for w in widths] + [of_width(F.lit(w), True) for w in exact or ()]
+        of_each = [of_width(F.lit(w), False) for w in widths] + [of_width(F.lit(w), True) for w in exact or ()]
     windows = of_each[0] if len(of_each) == 1 else F.flatten(F.array_compact(F.array(*of_each)))
     step = step.select(*name, "n_tokens", F.inline_outer(windows)).where("place is not null")
-    return step.select(*name, "place", "width", "exact", "n_tokens", "h", F.when(F.size("slots") > 0, F.col("slots")).alias("slots"))
+    filled = [F.when(F.size("slots") > 0, F.col("slots")).alias("slots")] if slots else []
+    return step.select(*name, "place", "width", "exact", "n_tokens", "h", *filled)
 
 
 def _occurrences(slotted: DataFrame) -> DataFrame:
@@ -159,9 +159,16 @@ def contaminated(
     items = checkpoint(items.select("h", "width", "exact", F.col("key").alias("item"), F.col("place").alias("item_place"), "n_tokens", F.col("slots").alias("item_slots")).distinct())
     widths = items.select("exact", "width").distinct().collect()  # sixteen rows at most
     widths = {exact: sorted(r["width"] for r in widths if r["exact"] == exact) for exact in (False, True)}
-    found = template_windows(docs, doc_key, stride=STRIDE, widths=widths[False] or [WINDOW], exact=widths[True]).where("key is not null")
+    sizes = {"widths": widths[False] or [WINDOW], "exact": widths[True]}
+    total, window = items.count(), ["h", "width", "exact"]
+    rows = docs.select(F.col(f"`{doc_key}`").alias("key"), "text").where("key is not null")
+    # Hashes alone first: slots are worked out for the documents that hold one of them.
+    sought = broadcast_if_small(items.select(*window).distinct(), total, BROADCAST_WINDOWS)
+    holding = checkpoint(template_windows(rows, "key", slots=False, **sizes).join(sought, window, "left_semi").select("key").distinct())
+    rows = rows.join(broadcast_if_small(holding, holding.count()), "key", "left_semi")
+    found = template_windows(rows, "key", **sizes)
     found = found.select("h", "width", "exact", F.col("key").alias("doc"), "version", F.col("place").alias("doc_place"), "slots")
-    hits = found.join(broadcast_if_small(items, items.count(), BROADCAST_WINDOWS), ["h", "width", "exact"])
+    hits = found.join(broadcast_if_small(items, total, BROADCAST_WINDOWS), window)
     pair = ["doc", "item", "n_tokens"]
     # Equal words fill the slots with themselves.
     put = F.when(F.col("exact"), F.col("item_slots")).otherwise(F.col("slots"))

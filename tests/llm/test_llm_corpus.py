@@ -180,6 +180,14 @@ def test_benchmark_short_items_inside_longer_texts(spark):
     assert {k: v for k, v in got.items() if k[1] != 8} == found | {(500, 20): (1.0, False), (502, 2): (1.0, True), (503, 7): (1.0, True)}
 
 
+def test_benchmark_items_at_every_place(spark):
+    """Items of eight words, and runs of eight equal words inside a longer one, at even and odd places."""
+    eight, long = " ".join(f"e{k}" for k in range(8)), [f"l{k}" for k in range(18)]
+    broken = " ".join([*long[:8], "put", "in", *long[9:17], "end"])
+    rows = [(10 * n + k, f"{'x ' * k}{text} {filler('after', 20)}") for n, text in ((1, eight), (2, broken)) for k in range(4)]
+    assert set(contaminated(spark, [(1, eight), (2, " ".join(long))], rows)) == {(10 * n + k, n) for n in (1, 2) for k in range(4)}
+
+
 def test_benchmark_empty_tables(messy, nothing):
     items = messy.selectExpr("doc_id as item_id", "text")
     assert decontaminate.contaminated(nothing, items).count() == 0
