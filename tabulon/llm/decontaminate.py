@@ -22,7 +22,7 @@ WINDOW = 8
 BROADCAST_WINDOWS = 500_000
 #: Share of an item's template tokens that must be found in a document.
 COVERED = 0.5
-#: Tokens of a window that must be words, not placeholders.
+#: Tokens of a window that must be words, not placeholders; windows with fewer are compared by their words.
 LITERALS = 4
 NUMBER, NAME, UNIT, START = "", "", "", ""
 
@@ -153,9 +153,9 @@ def contaminated(
     repeated rows count once; equal items are each reported; empty tables give no rows.
     """
     items = template_windows(benchmark, item_key).where("key is not null")
-    # Templates of placeholders say too little. Short items are looked for by their words as well.
+    # Templates of placeholders say too little, so their words are looked for. So are those of short items.
     literals = F.col("width") - F.coalesce(F.size("slots"), F.lit(0))
-    items = items.where(F.when(F.col("exact"), F.col("width") < WINDOW).otherwise(literals >= LITERALS))
+    items = items.where(F.when(F.col("exact"), (F.col("width") < WINDOW) | (literals < LITERALS)).otherwise(literals >= LITERALS))
     items = checkpoint(items.select("h", "width", "exact", F.col("key").alias("item"), F.col("place").alias("item_place"), "n_tokens", F.col("slots").alias("item_slots")).distinct())
     widths = items.select("exact", "width").distinct().collect()  # sixteen rows at most
     widths = {exact: sorted(r["width"] for r in widths if r["exact"] == exact) for exact in (False, True)}

@@ -188,6 +188,17 @@ def test_benchmark_items_at_every_place(spark):
     assert set(contaminated(spark, [(1, eight), (2, " ".join(long))], rows)) == {(10 * n + k, n) for n in (1, 2) for k in range(4)}
 
 
+def test_benchmark_items_of_numbers_and_names(spark):
+    """Items rich in placeholders are found word for word, in any case, and not with other numbers."""
+    units = "Order these by size: 3 km 20 cm 4 mm 9 m 11 km 6 cm 17 mm 5 m 8 km 2 cm 12 mm"
+    names = "please sort Anna Berta Carl Dora Emil Frieda Gustav Hanna Ida Jakob Karl by age"
+    before, after = filler("before", 31), filler("after", 20)
+    rows = [(1, f"{before} {units} {after}"), (2, f"{before} {names} {after}"), (3, f"{before}. {names.lower()} {after}"), (4, f"{before} {names.upper()}")]
+    rows += [(5, f"{before} {units.replace('20', '21').replace('11', '12').replace('5 m', '7 m')} {after}")]
+    got = contaminated(spark, [(1, units), (2, names)], rows)
+    assert {k: e for k, (_, e) in got.items()} == {(1, 1): True, (2, 2): True, (3, 2): True, (4, 2): True}
+
+
 def test_benchmark_empty_tables(messy, nothing):
     items = messy.selectExpr("doc_id as item_id", "text")
     assert decontaminate.contaminated(nothing, items).count() == 0
