@@ -101,7 +101,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
         "logistic": L.fit(L.logistic(10), train),
         "tree": L.fit(L.decision_tree(), train),
         "forest": L.fit(L.random_forest(10), train),
-        "boosted": L.fit(L.boosted_trees(5), train),
+        "boosted": L.fit(L.boosted_trees(10), train),
     }
     return L.compare_models(fitted, test)
 
@@ -149,7 +149,7 @@ def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = embedding_parts(spark, sf_dir)
     folded = N.fold_by_hash(train, "id", 2)
     estimator = L.random_forest()
-    params = N.tree_grid(estimator, max_depth=(2, 4), min_rows=(5, 20), min_gain=(0.0,))
+    params = N.tree_grid(estimator)
     return N.grid_results(spark, N.cross_validate(estimator, params, folded))
 
 
@@ -192,7 +192,7 @@ def slot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("o03_boosted_importances")
 def boosted_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, _ = census_parts(spark, sf_dir)
-    return O.importances(L.fit(L.boosted_trees(5), train), train)
+    return O.importances(L.fit(L.boosted_trees(10), train), train)
 
 
 @query("o03_forest_importances")
@@ -206,7 +206,7 @@ def tuned_forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances of the forest that won the grid search."""
     train, _, _ = census_parts(spark, sf_dir)
     estimator = L.random_forest()
-    params = N.tree_grid(estimator, max_depth=(2, 4), min_rows=(5, 20), min_gain=(0.0,))
+    params = N.tree_grid(estimator)
     found = N.cross_validate(estimator, params, N.fold_by_hash(train, "id", 2))
     return O.importances(found.bestModel, train)
 

@@ -75,3 +75,25 @@ def test_grid_sizes():
     lr, gbt, tree = L.logistic(), L.boosted_trees(), L.decision_tree()
     assert len(tuning.logistic_grid(lr)) == 18 and len(tuning.boosted_grid(gbt)) == 4
     assert len(tuning.tree_grid(tree)) == 60
+
+
+def test_forest_queries_search_the_whole_grid(spark, monkeypatch):
+    """Both forest searches try all combinations; boosting runs ten rounds in both of its queries."""
+    from tabulon.plans import models as P
+
+    grids, rounds = [], []
+    table = lambda *_: ("train", "test", None)
+    monkeypatch.setattr(P, "census_parts", table)
+    monkeypatch.setattr(P, "embedding_parts", lambda *_: ("train", "test"))
+    monkeypatch.setattr(P.N, "fold_by_hash", lambda *_: "folded")
+    found = type("Found", (), {"bestModel": None})
+    monkeypatch.setattr(P.N, "cross_validate", lambda estimator, params, folded: grids.append(len(params)) or found)
+    monkeypatch.setattr(P.N, "grid_results", lambda *_: None)
+    monkeypatch.setattr(P.O, "importances", lambda *_: None)
+    monkeypatch.setattr(P.L, "compare_models", lambda *_: None)
+    monkeypatch.setattr(P.L, "fit", lambda estimator, _: rounds.append(estimator.getMaxIter()) if estimator.hasParam("stepSize") else None)
+    P.forest_grid(None, "")
+    P.tuned_forest_importances(None, "")
+    P.boosted_importances(None, "")
+    P.model_comparison(None, "")
+    assert grids == [60, 60] and rounds == [10, 10]
