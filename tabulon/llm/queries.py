@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import bytebpe, chat, decontaminate, langid, pathjoin, quality, rules, secrets, substrings, wordcount
+from tabulon.llm import (
+    bytebpe, chat, decontaminate, langid, pathjoin, periods, quality, rules, secrets, substrings, wordcount
+)
 from tabulon.llm.shared import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -93,6 +95,44 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", hex_digest(F.col("kept")).alias("kept_sha256"))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where the texts that the contract of op11 names repeat a stretch of their words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    sized = chosen.where("h is null or size(words) <= 0 or h % 10 <> 0").select("doc_id", "text")
+    repeated = chosen.where("h % 10 = 0 and size(words) > 0").withColumn("a", (g % n).cast("int"))
+    repeated = repeated.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    a, p = F.col("a"), F.col("p")
+    source = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(F.col("words"), source(i)))
+    return sized.unionByName(repeated.select("doc_id", F.array_join(again, " ").alias("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(planted(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digests = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        hex_digest(F.array_join(lines, "")).alias("runs_sha256"),
+        hex_digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+    return digests.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.floor(F.expr("1000 * best.n / -best.p")).cast("long").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 SQL_CHAT = f"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -149,6 +189,7 @@ def queries():
     named = (
         op1_chat_format, op2_secret_scan, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id,
         op6_quality_rules, op7_token_counts, op8_ngram_jaccard_join, op9_quality_classifier, op10_substring_dedup,
+        op11_periodic_runs,
     )
     return {f.__name__: f for f in named}
 

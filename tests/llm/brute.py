@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,3 +74,35 @@ def without_repeats(rows, size=50):
         kept = [x for k, x in enumerate(w) if k not in gone]
         out[i] = (len(w), len(gone), " ".join(kept))
     return out
+
+
+def runs(w, least=12):
+    """(start, length, period) of all runs of the words, by start, then period."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            begin = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i + q - begin >= max(least, 2 * q):
+                found.setdefault((begin, i + q - begin), q)
+            i = max(i, begin + 1) if i == begin else i
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def with_repeats(doc_id, text):
+    """The words of a document as the contract of op11 plants them."""
+    w = words(text)
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not w:
+        return w
+    g = h // 10
+    a = g % len(w)
+    p = 1 + (len(w) - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+
+
+def without_runs(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
