@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.llm import (
-    bytebpe, chat, decontaminate, langid, pathjoin, periods, quality, rules, secrets, substrings, wordcount
+    bytebpe, chat, decontaminate, langid, pathjoin, periods, quality, repair, rules, secrets, substrings, wordcount
 )
 from tabulon.llm.shared import table
 
@@ -133,6 +133,38 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` with the damage that the contract of op13 names."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    drawn = F.crc32(F.concat_ws(":", *shown).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")], drawn.alias("h"))
+    rows = rows.where("h <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("h") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found, rows = repair.repair(damaged(turns))
+    digests = repair.joined_digests(rows)
+    every = turns.select(F.struct("conv_id").alias("k")).distinct()
+    out = every
+    for part in (found, digests):
+        out = out.join(part.select(F.struct("conv_id").alias("k"), *part.columns[1:]), "k", "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(
+        F.col("k.conv_id").alias("conv_id"),
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", hex_digest(F.lit(""))).alias("repaired_sha256"),
+    )
+
+
 SQL_CHAT = f"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -189,7 +221,7 @@ def queries():
     named = (
         op1_chat_format, op2_secret_scan, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id,
         op6_quality_rules, op7_token_counts, op8_ngram_jaccard_join, op9_quality_classifier, op10_substring_dedup,
-        op11_periodic_runs,
+        op11_periodic_runs, op13_conversation_repair,
     )
     return {f.__name__: f for f in named}
 

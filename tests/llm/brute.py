@@ -106,3 +106,72 @@ def with_repeats(doc_id, text):
 def without_runs(w, found):
     gone = {i for s, n, q in found for i in range(s + q, s + n)}
     return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def damaged(rows):
+    """Rows (conv_id, turn, role, text) with the damage that the contract of op13 names."""
+    out = []
+    for c, t, role, text in rows:
+        show = lambda x: " " if x is None else str(x)
+        h = zlib.crc32(f"{show(c)}:{show(t)}".encode()) % 20
+        role, text = show(role), show(text)
+        if h == 0:
+            continue
+        if h == 1:
+            text = ""
+        if h == 2:
+            text = re.sub("[.!?]", "", text)
+        if h == 4:
+            role = "user"
+        out += [(c, t, role, text)] * (2 if h == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, repaired rows) of one conversation, by search over all paths."""
+    digest = lambda text: hashlib.md5(text.encode()).digest()
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", digest(r[3] or "")))
+    rows = [(c, t, role or "", text or "") for c, t, role, text in rows]
+    turns = {t for _, t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    faults, seen = [], set()
+    for _, _, role, text in rows:
+        solid = text.rstrip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not solid else "duplicate" if (role, text) in seen else "" if solid[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        faults.append(fault)
+    letters = [role[:1] for _, _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(letters, letters[1:]))
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    best = {("", 0): (0, "", ())}
+    # Cheapest, then least audit, over states (last role, rows taken): audits only grow, by inserts at most twice in a row.
+    for i in range(len(rows) + 1):
+        for _ in range(3):
+            for (q, k), (cost, audit, out) in list(best.items()):
+                if k == i:
+                    for to in "ua":
+                        if (q, to) in step:
+                            name = "user" if to == "u" else "assistant"
+                            put = (cost + 3, audit + "I", (*out, (name, "")))
+                            if (to, i) not in best or put[:2] < best[to, i][:2]:
+                                best[to, i] = put
+        if i == len(rows):
+            break
+        _, _, role, text = rows[i]
+        for (q, k), (cost, audit, out) in list(best.items()):
+            if k != i:
+                continue
+            options = [(cost + 4, audit + "D", out, q)]
+            if faults[i] not in ("blank", "duplicate"):
+                more = 3 if faults[i] == "truncated" else 0
+                if (q, role[:1]) in step:
+                    options.append((cost + more, audit + "K", (*out, (role, text)), step[q, role[:1]]))
+                for to in "ua":
+                    if (q, to) in step:
+                        name = "user" if to == "u" else "assistant"
+                        options.append((cost + 3 + more, audit + "R", (*out, (name, text)), to))
+            for c, a, o, to in options:
+                if (to, i + 1) not in best or (c, a) < best[to, i + 1][:2]:
+                    best[to, i + 1] = (c, a, o)
+    cost, audit, out = min((best[q, len(rows)] for q in ("", "a") if (q, len(rows)) in best), key=lambda x: x[:2])
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, list(out))
