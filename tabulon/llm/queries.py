@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.llm import (
-    bytebpe, chat, decontaminate, langid, pathjoin, periods, quality, repair, rules, secrets, substrings, wordcount
+    bytebpe, chat, decontaminate, langid, metricjoin, pathjoin, periods, quality, repair, rules, secrets, substrings, wordcount
 )
 from tabulon.llm.shared import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: Cosine of linked embeddings.
+NEAR = 0.93
 PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -133,6 +135,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metricjoin.linked(table(spark, sf_dir, "embeddings"), NEAR)
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """The rows of ``conversations`` with the damage that the contract of op13 names."""
     shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
@@ -221,7 +227,7 @@ def queries():
     named = (
         op1_chat_format, op2_secret_scan, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id,
         op6_quality_rules, op7_token_counts, op8_ngram_jaccard_join, op9_quality_classifier, op10_substring_dedup,
-        op11_periodic_runs, op13_conversation_repair,
+        op11_periodic_runs, op12_embedding_near_dedup, op13_conversation_repair,
     )
     return {f.__name__: f for f in named}
 

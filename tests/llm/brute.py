@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -175,3 +176,34 @@ def repaired(rows):
                     best[to, i + 1] = (c, a, o)
     cost, audit, out = min((best[q, len(rows)] for q in ("", "a") if (q, len(rows)) in best), key=lambda x: x[:2])
     return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, list(out))
+
+
+def vector_links(rows, limit):
+    """Per row (key, n_links, component, kept) of (key, vector, group) rows; all pairs in plain Python floats."""
+
+    def unit(v):
+        if not v or any(x is None or x != x or abs(x) == float("inf") for x in v) or not any(v):
+            return None
+        size = math.sqrt(math.fsum(x * x for x in v))
+        return [x / size for x in v]
+
+    units = [unit(v) if g is not None and k is not None else None for k, v, g in rows]
+    links, parent = [0] * len(rows), list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(units):
+        for j in range(i):
+            b = units[j]
+            if a and b and rows[i][2] == rows[j][2] and len(a) == len(b) and math.fsum(x * y for x, y in zip(a, b)) >= limit:
+                links[i] += 1
+                links[j] += 1
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (k, _, _) in enumerate(rows):
+        r = root(i)
+        least[r] = k if r not in least or (k is not None and k < least[r]) else least[r]
+    return [(k, links[i], least[root(i)], k == least[root(i)]) for i, (k, _, _) in enumerate(rows)]
