@@ -6,19 +6,17 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel, PowerIterationClustering
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabulon.functions.expressions import squared_distance, vectors_literal
-from tabulon.operators.neighbours import mean_silhouettes, nearest
+from tabulon.operators import ward
+from tabulon.operators.neighbours import BLOCK_ROWS, mean_silhouettes, nearest
 from tabulon.operators.ordered import exact_quantiles
 from tabulon.session import settle, side_by_side
 
-MICRO_CLUSTERS = 1000
 LEAST_WEIGHT = 1e-300
 #: Rounds of messages between two writes.
 ROUNDS_PER_WRITE = 5
@@ -158,15 +156,32 @@ def similarity_edges(df: DataFrame, key: str, vector: str, neighbours: int, gamm
     )
 
 
-def spectral_clusters(edges: DataFrame, ks: Sequence[int], max_iter: int = 20) -> DataFrame:
-    """Power-iteration clustering of a similarity graph: ``(k, id, cluster)``."""
-    edges = settle(edges)
-    parts = None
-    for k in ks:
-        model = PowerIterationClustering(k=k, maxIter=max_iter, initMode="degree", srcCol="src", dstCol="dst", weightCol="weight")
-        part = model.assignClusters(edges).select(F.lit(k).alias("k"), "id", F.col("cluster").cast("int").alias("cluster"))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+def power_vector(edges: DataFrame, max_iter: int = 20) -> DataFrame:
+    """The vector of power iteration on a weighted graph: ``(id, x)``.
+
+    Each round takes the weighted mean over a row's neighbours, starting from its degree. It is stopped
+    early, while parts of the graph still have values of their own. Means need no scaling between rounds.
+    """
+    both = settle(edges.select("src", "dst", "weight").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")))
+    degree = settle(both.groupBy("src").agg(F.sum("weight").alias("d")))
+    steps = settle(both.join(degree, "src").select("src", "dst", (F.col("weight") / F.col("d")).alias("weight")))
+    x = degree.select(F.col("src").alias("id"), F.col("d").alias("x"))
+    for done in range(1, max_iter + 1):
+        x = steps.join(x.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id")).agg(F.sum(F.col("weight") * F.col("x")).alias("x"))
+        if done % ROUNDS_PER_WRITE == 0 or done == max_iter:
+            x = settle(x)
+    return x
+
+
+def spectral_clusters(edges: DataFrame, ks: Sequence[int], max_iter: int = 20, seed: int = 5) -> DataFrame:
+    """Power-iteration clustering of a similarity graph: ``(k, id, cluster)``; one iteration serves every k."""
+    found = power_vector(settle(edges), max_iter)
+    scale = found.agg(F.sum(F.abs("x")).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    scaled = F.col("x") * float((scale["n"] or 1) / (scale["s"] or 1.0))
+    points = settle(found.select("id", array_to_vector(F.array(scaled)).alias("features")))
+    models = side_by_side(lambda k: kmeans_model(points, k, seed), ks)
+    parts = [m.transform(points).select(F.lit(k).alias("k"), "id", "cluster") for k, m in zip(ks, models)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def spectral_columns(edges: DataFrame, ks: Sequence[int], max_iter: int = 20) -> DataFrame:
@@ -178,78 +193,9 @@ def spectral_columns(edges: DataFrame, ks: Sequence[int], max_iter: int = 20) ->
 # ------------------------------------------------------------------ agglomerative
 
 
-def ward_labels(weights: np.ndarray, centres: np.ndarray, ks: Sequence[int]) -> dict[int, np.ndarray]:
-    """Ward merges of weighted points; labels at each number of clusters asked for."""
-    n = len(weights)
-    w, c = weights.astype(float).copy(), centres.astype(float).copy()
-    alive = np.ones(n, dtype=bool)
-    label = np.arange(n)
-
-    def cost_to(i: int) -> np.ndarray:
-        gap = ((c - c[i]) ** 2).sum(axis=1) * w * w[i] / (w + w[i])
-        gap[i] = np.inf
-        gap[~alive] = np.inf
-        return gap
-
-    cost = np.stack([cost_to(i) for i in range(n)]) if n else np.zeros((0, 0))
-    wanted, out = set(ks), {}
-    for left in range(n, 0, -1):
-        if left in wanted:
-            _, out[left] = np.unique(label, return_inverse=True)
-        if left == 1:
-            break
-        i, j = divmod(int(np.argmin(cost)), n)
-        i, j = min(i, j), max(i, j)
-        c[i] = (w[i] * c[i] + w[j] * c[j]) / (w[i] + w[j])
-        w[i] += w[j]
-        alive[j] = False
-        label[label == j] = i
-        cost[j, :] = np.inf
-        cost[:, j] = np.inf
-        row = cost_to(i)
-        cost[i, :] = row
-        cost[:, i] = row
-    for k in wanted:
-        if k > n:
-            out[k] = label
-    return out
-
-
-def agglomerative(
-    df: DataFrame, key: str, vector: str, ks: Sequence[int], seed: int = 5, micro: int = MICRO_CLUSTERS
-) -> DataFrame:
-    """Ward's method: ``(key, clusters_k…)``.
-
-    Distinct vectors are merged one by one while there are at most ``micro``
-    of them. Beyond that k-means first forms ``micro`` weighted groups over
-    the whole table, and those are merged; every row keeps a label.
-    """
-    rows = settle(df.select(F.col(key), F.col(vector).cast("array<double>").alias("v")))
-    distinct = settle(rows.groupBy("v").agg(F.count(F.lit(1)).alias("w")))
-    if distinct.count() <= micro:
-        groups = distinct.select("v", "w", F.col("v").alias("centre"))
-    else:
-        vectors = distinct.select("v", "w", array_to_vector("v").alias("features"))
-        model = KMeans(k=micro, seed=seed, predictionCol="g", weightCol="w").fit(vectors)
-        groups = settle(model.transform(vectors).select("v", "w", "g"))
-        centres = df.sparkSession.createDataFrame(
-            [(i, c.tolist()) for i, c in enumerate(model.clusterCenters())], "g int, centre array<double>"
-        )
-        groups = groups.join(F.broadcast(centres), "g").select("v", "w", "centre")
-    summary = groups.groupBy("centre").agg(F.sum("w").alias("w"))
-    schema = T.StructType([T.StructField("centre", T.ArrayType(T.DoubleType())),
-                           *[T.StructField(f"clusters_{k}", T.IntegerType()) for k in ks]])
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        # One group of at most ``micro`` summary rows.
-        order = sorted(range(len(pdf)), key=lambda i: tuple(pdf["centre"].iloc[i]))
-        pdf = pdf.iloc[order].reset_index(drop=True)
-        found = ward_labels(pdf["w"].to_numpy(), np.stack(pdf["centre"].map(np.asarray)), ks)
-        return pd.DataFrame({"centre": pdf["centre"], **{f"clusters_{k}": found[k].astype("int32") for k in ks}})
-
-    merged = summary.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(merge, schema)
-    labels = groups.select("v", "centre").join(merged, "centre").drop("centre")
-    return rows.join(labels, "v").drop("v")
+def agglomerative(df: DataFrame, key: str, vector: str, ks: Sequence[int], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Ward's method over all distinct vectors: ``(key, clusters_k…)``; see :mod:`tabulon.operators.ward`."""
+    return ward.labels(df, key, vector, ks, block_rows=block_rows)
 
 
 # ------------------------------------------------------------------ affinity propagation

@@ -122,11 +122,19 @@ def earlier_matrix(chunks: DataFrame, by: Sequence[str], name: str = "_carry") -
 # ------------------------------------------------------------ autoregression
 
 
-def ar_design(p: int, value: str = "_z"):
+#: Rows whose running sums a chunk holds at a time.
+STEP_ROWS = 2048
+
+
+def ar_design(p: int, value: str = "_z", counted: bool = False):
+    """Columns: p lagged values and the value, and a one when ``counted``; only rows where all of them exist."""
+
     def build(pdf: pd.DataFrame) -> np.ndarray:
         z = pdf[value].to_numpy(dtype=float)
         rows = np.flatnonzero(pdf["_home"].to_numpy() & (pdf["pos"].to_numpy() >= p))
-        return np.column_stack([_lag_columns(z, rows, p), z[rows]]) if len(rows) else np.empty((0, p + 1))
+        x = np.column_stack([_lag_columns(z, rows, p), z[rows]]) if len(rows) else np.empty((0, p + 1))
+        x = x[np.isfinite(x).all(axis=1)]
+        return np.column_stack([x, np.ones(len(x))]) if counted else x
 
     return build
 
@@ -140,26 +148,25 @@ def ar_fit(
 ) -> DataFrame:
     """Least-squares autoregression of order p without constant, one row per series and term.
 
-    Give it the differenced series for an integrated model.
+    Give it the differenced series for an integrated model. A row enters where its value and all its lags exist.
     """
     cut = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows, with_pos=True)
-    grams = summed_matrix(chunk_sums(cut.df, cut.keys, ar_design(p)), by)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    grams = summed_matrix(chunk_sums(cut.df, cut.keys, ar_design(p, counted=True)), by)
 
     @F.pandas_udf("array<double>")
     def coefficients(gram: pd.Series) -> pd.Series:
         def one(flat):
-            g = np.asarray(flat, dtype=float).reshape(p + 1, p + 1)
+            g = np.asarray(flat, dtype=float).reshape(p + 2, p + 2)
             phi = _solve(g, p)
-            return [*phi.tolist(), float(g[p, p] - phi @ g[:p, p])]
+            return [*phi.tolist(), float(g[p, p] - phi @ g[:p, p]), float(g[p + 1, p + 1])]
 
         return gram.map(one)
 
-    solved = with_group_values(grams.withColumn("_fit", coefficients("_gram")), sizes, by)
+    solved = grams.withColumn("_fit", coefficients("_gram"))
     return solved.select(
         *by,
         F.posexplode(F.slice("_fit", 1, p)).alias("_i", "coefficient"),
-        F.try_divide(F.element_at("_fit", p + 1), F.col("_n") - p).alias("sigma2"),
+        F.try_divide(F.element_at("_fit", p + 1), F.element_at("_fit", p + 2)).alias("sigma2"),
     ).select(*by, (F.col("_i") + 1).alias("lag"), "coefficient", "sigma2")
 
 
@@ -175,7 +182,9 @@ def walk_forward(
     """One-step forecasts over the last part of each series, refitted at every step.
 
     Expanding sums of cross-products give the coefficients of every step from
-    one pass: each chunk starts from the sums of the chunks before it.
+    one pass: each chunk starts from the sums of the chunks before it, and holds the sums of ``STEP_ROWS``
+    rows at a time. A row enters the sums where its value and all its lags exist; a forecast is
+    null where a lag is missing, or where no row has entered yet.
     """
     cut = frames(df.select(*by, *order, F.col(value).alias("_z")), by, order, p, run_rows, with_pos=True)
     fields = [f for f in cut.df.schema.fields if f.name in (*by, *order)]
@@ -191,15 +200,22 @@ def walk_forward(
         z, pos, home = rows["_z"].to_numpy(dtype=float), rows["pos"].to_numpy(), rows["_home"].to_numpy()
         split = math.floor(n * share)
         usable = np.flatnonzero(home & (pos >= p))
-        x = np.column_stack([_lag_columns(z, usable, p), z[usable]]) if len(usable) else np.empty((0, width))
-        outer = np.einsum("ij,ik->ijk", x, x)
-        until = gram + np.cumsum(outer, axis=0) - outer  # sums over rows strictly before
         forecast = np.full(len(z), np.nan)
-        test = np.flatnonzero(pos[usable] >= split)
-        if len(test):
-            a, b = until[test][:, :p, :p], until[test][:, :p, p]
-            phi = np.einsum("ijk,ik->ij", np.linalg.pinv(a, hermitian=True), b)
-            forecast[usable[test]] = np.einsum("ij,ij->i", phi, x[test, :p])
+        for at in range(0, len(usable), STEP_ROWS):
+            part = usable[at : at + STEP_ROWS]
+            lags, own = _lag_columns(z, part, p), z[part]
+            known = np.isfinite(lags).all(axis=1)
+            x = np.where((known & np.isfinite(own))[:, None], np.column_stack([lags, own]), 0.0)
+            outer = np.einsum("ij,ik->ijk", x, x)
+            sums = gram + np.cumsum(outer, axis=0)
+            test = np.flatnonzero((pos[part] >= split) & known)
+            if len(test):
+                until = sums[test] - outer[test]  # sums over rows strictly before
+                a, b = until[:, :p, :p], until[:, :p, p]
+                phi = np.einsum("ijk,ik->ij", np.linalg.pinv(a, hermitian=True), b)
+                phi[np.einsum("ijj->i", until) == 0] = np.nan
+                forecast[part[test]] = np.einsum("ij,ij->i", phi, lags[test])
+            gram = sums[-1]
         out = rows.assign(actual=z, forecast=forecast)
         return out.loc[home & (pos >= split), columns]
 
@@ -278,19 +294,20 @@ def unit_root_test(
 ) -> DataFrame:
     """Augmented Dickey–Fuller with a constant; lags by AIC unless ``maxlag=0``.
 
-    The default lag limit follows the length of the longest series,
-    12·(n/100)^¼ rounded up; shorter series use the smaller limit of their
-    own length. Values are centred and scaled first, which leaves the
-    statistic unchanged and the sums well conditioned.
+    The default lag limit follows the number of values of each series,
+    12·(n/100)^¼ rounded up. Values are centred and scaled first, which leaves the
+    statistic unchanged and the sums well conditioned. With missing values a row enters only
+    where its own value and all its lags exist (up to the limit while lags are chosen, as many
+    as were chosen after that). A series' sums travel as the upper triangle of a matrix of its own width.
     """
     stats = df.groupBy(*by).agg(
-        F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"), F.count(F.lit(1)).alias("_n")
+        F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"), F.count(value).alias("_n")
     )
     longest = int(stats.agg(F.max("_n")).first()[0] or 0)
     limit = default_maxlag(longest) if maxlag is None else maxlag
     base = with_group_values(df.select(*by, *order, value), stats, by).select(
         *by, *order, "_n",
-        F.coalesce(F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")), F.lit(0.0)).alias("_z"),
+        F.when(F.col(value).isNotNull(), F.coalesce(F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")), F.lit(0.0))).alias("_z"),
     )
     cut = frames(base, by, order, limit + 1, run_rows, with_pos=True)
     keys = cut.keys
@@ -304,10 +321,12 @@ def unit_root_test(
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
         own = own_limit(int(pdf["_n"].iloc[0]))
-        x = np.nan_to_num(_adf_design(limit, own + 1)(pdf))
+        x = _adf_design(own, own + 1)(pdf)
+        x = x[np.isfinite(x).all(axis=1)]
         first = pdf.iloc[:1]
         early = pdf["_z"].to_numpy(dtype=float)[: own + 1] if int(first["pos"].iloc[0]) == 0 else None
-        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "_gram": [(x.T @ x).ravel()], "_early": [early]})
+        packed = (x.T @ x)[np.triu_indices(own + 3)]
+        return pd.DataFrame({**{k: first[k].to_numpy() for k in keys}, "_gram": [packed], "_early": [early]})
 
     def own_limit(n: int) -> int:
         return min(limit, default_maxlag(n)) if maxlag is None else limit
@@ -326,7 +345,7 @@ def unit_root_test(
 
     @F.pandas_udf(result)
     def solve(gram: pd.Series, early: pd.Series) -> pd.DataFrame:
-        found = [_unit_root(np.asarray(g, dtype=float), np.asarray(e, dtype=float), limit) for g, e in zip(gram, early)]
+        found = [_unit_root(np.asarray(g, dtype=float), np.asarray(e, dtype=float)) for g, e in zip(gram, early)]
         return pd.DataFrame(found, columns=result.names)
 
     return packed.select(*by, solve("_gram", "_early").alias("_r")).select(*by, "_r.*")
@@ -336,19 +355,23 @@ def default_maxlag(n: int) -> int:
     return max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
 
 
-def _unit_root(flat: np.ndarray, early: np.ndarray, limit: int) -> tuple:
+def _unit_root(packed: np.ndarray, early: np.ndarray) -> tuple:
     """``early`` holds the values before the common sample, one more than the lag limit of the series."""
-    width, own = limit + 3, len(early) - 1
-    gram = flat.reshape(width, width)
-    if gram[limit + 1, limit + 1] < own + 4:
+    width = (math.isqrt(8 * len(packed) + 1) - 1) // 2
+    limit = width - 3
+    gram = np.zeros((width, width))
+    gram[np.triu_indices(width)] = packed
+    gram = gram + np.triu(gram, 1).T
+    if gram[limit + 1, limit + 1] < limit + 4:
         return (None,) * 7
-    lag = best_lag_within(gram, limit, own)
+    lag = best_lag(gram, limit)
     dy = np.diff(early, prepend=np.nan)
-    for at in range(lag + 1, own + 1):
+    for at in range(lag + 1, len(early)):
         x = np.zeros(width)
         x[0], x[limit + 1], x[limit + 2] = early[at - 1], 1.0, dy[at]
         x[1 : lag + 1] = dy[at - 1 : at - lag - 1 : -1]
-        gram = gram + np.outer(x, x)
+        if np.isfinite(x).all():
+            gram = gram + np.outer(x, x)
     keep = [0, *range(1, lag + 1), limit + 1]
     beta, rss, inverse = _regress(gram, keep, limit + 2)
     n = int(round(gram[limit + 1, limit + 1]))
@@ -360,12 +383,6 @@ def _unit_root(flat: np.ndarray, early: np.ndarray, limit: int) -> tuple:
     return (tau, unit_root_p_value(tau), lag, n, *critical)
 
 
-def best_lag_within(gram: np.ndarray, limit: int, own: int) -> int:
-    """AIC over 0..own lags in a matrix laid out for ``limit`` lags."""
-    keep = [0, *range(1, own + 1), limit + 1, limit + 2]
-    return best_lag(gram[np.ix_(keep, keep)], own)
-
-
 # ------------------------------------------------------------ accuracy and alignment
 
 

@@ -19,43 +19,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabulon.functions.vectors import distances, matrix, measured, tiles, within  # noqa: F401
 from tabulon.operators.ordered import with_group_values
+from tabulon.operators.pivots import CELL_ROWS, PivotIndex
 from tabulon.session import settle, spread_groups
 
 #: Candidates measured again beyond those asked for, so that rounding cannot hide a tie.
 SPARE = 8
 BLOCK_ROWS = 10_000
-TILE_ROWS = 500
 TASK_ROWS = 40_000
 MOST_CLUSTERS = 10_000
-NARROW = 8
-
-
-def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Euclidean distances of every left row to every right row."""
-    if left.shape[1] <= NARROW:
-        squared = np.zeros((len(left), len(right)))
-        for i in range(left.shape[1]):
-            squared += (left[:, i, None] - right[None, :, i]) ** 2
-        return np.sqrt(squared)
-    centre = left.mean(axis=0)
-    a, b = left - centre, right - centre
-    squared = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(squared, 0.0))
-
-
-def within(left: np.ndarray, right: np.ndarray, reach: float) -> np.ndarray:
-    """Which pairs lie within reach; pairs close to the limit are measured again term by term."""
-    d = distances(left, right)
-    if left.shape[1] > NARROW:
-        slack = 1e-7 * (1.0 + reach + np.abs(left).max() + np.abs(right).max())
-        i, j = np.nonzero(np.abs(d - reach) <= slack)
-        d[i, j] = np.sqrt(((left[i] - right[j]) ** 2).sum(axis=1))
-    return d <= reach
-
-
-def matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=float) for v in vectors])
 
 
 def compare_blocks(
@@ -115,21 +88,6 @@ def in_one_cell(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked, marked
 
 
-def tiles(vectors: np.ndarray):
-    """Slices of the targets, so that a distance matrix stays small."""
-    for start in range(0, len(vectors), TILE_ROWS):
-        yield slice(start, start + TILE_ROWS)
-
-
-def measured(left: np.ndarray, right: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Distances of every row to its candidates, a few megabytes at a time."""
-    step = max(1, (1 << 19) // max(1, order.shape[1] * left.shape[1]))
-    parts = [
-        np.sqrt(((left[a : a + step, None, :] - right[order[a : a + step]]) ** 2).sum(-1)) for a in range(0, len(left), step)
-    ]
-    return np.concatenate(parts) if parts else np.zeros(order.shape)
-
-
 def silhouettes(
     df: DataFrame, key: str, vector: str, labelings: Sequence[str], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -240,11 +198,12 @@ def squared_silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> Da
 
 def nearest(
     df: DataFrame, key: str, vector: str, k: int, among: str | None = None, include_self: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS, cell_rows: int | None = None,
 ) -> DataFrame:
     """The k nearest rows of every row: ``(key, neighbour, distance)``; ties go to the smaller key.
 
-    ``among`` names a boolean column; only rows where it is true can be neighbours.
+    ``among`` names a boolean column; only rows where it is true can be neighbours. Exact: a row is compared
+    with its own cell of a pivot index, and then with the cells that the bounds of the index cannot leave out.
     """
     allowed = F.col(among) if among else F.lit(True)
     points = settle(
@@ -281,7 +240,14 @@ def nearest(
     key_type = points.schema["key"].dataType
     schema = T.StructType([T.StructField("key", key_type), T.StructField("neighbour", key_type),
                            T.StructField("distance", T.DoubleType())])
-    found = compare_blocks(*in_one_cell(points), "key", ["v", "ok"], best, schema, block_rows)
     order = Window.partitionBy("key").orderBy("distance", "neighbour")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select(F.col("key").alias(key), "neighbour", "distance", "rank")
+    ranked = lambda rows: rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    index = PivotIndex(points.where("ok"), cell_rows or CELL_ROWS)
+    references, targets = settle(index.placed), settle(index.place(points))
+    # The own cell first: its k-th distance bounds the search in the others.
+    near = settle(ranked(compare_blocks(targets, references, "key", ["v", "ok"], best, schema, block_rows)))
+    reach = near.where(F.col("rank") == k).select("key", F.col("distance").alias("reach"))
+    visits = settle(index.visits(targets.join(reach, "key", "left"), "reach").drop("reach"))
+    far = compare_blocks(visits, references, "key", ["v", "ok"], best, schema, block_rows)
+    found = ranked(near.drop("rank").unionByName(far))
+    return found.select(F.col("key").alias(key), "neighbour", "distance", "rank")

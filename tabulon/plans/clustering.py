@@ -170,6 +170,29 @@ def agglomerative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.agglomerative(responses(spark, sf_dir), "customer", "v", range(2, 11))
 
 
+_WARD = """pts AS (SELECT CAST(s_nationkey AS BIGINT) AS id, avg(s_acctbal) / 1000 AS x, count(*)::DOUBLE AS y FROM supplier GROUP BY 1),
+s AS (SELECT list({'w': 1.0::DOUBLE, 'x': x, 'y': y, 'm': [id]} ORDER BY id) AS cl FROM pts
+  UNION ALL
+  SELECT list_append(list_filter(cl, lambda c, i: i <> p.i AND i <> p.j), {'w': cl[p.i].w + cl[p.j].w,
+    'x': (cl[p.i].w * cl[p.i].x + cl[p.j].w * cl[p.j].x) / (cl[p.i].w + cl[p.j].w),
+    'y': (cl[p.i].w * cl[p.i].y + cl[p.j].w * cl[p.j].y) / (cl[p.i].w + cl[p.j].w), 'm': list_concat(cl[p.i].m, cl[p.j].m)})
+  FROM (SELECT cl, list_min(flatten(list_transform(range(1, len(cl)), lambda i: list_transform(range(i + 1, len(cl) + 1), lambda j:
+    {'c': cl[i].w * cl[j].w / (cl[i].w + cl[j].w) * ((cl[i].x - cl[j].x) ** 2 + (cl[i].y - cl[j].y) ** 2), 'i': i, 'j': j})))) AS p
+    FROM s WHERE len(cl) > 2)),
+c AS (SELECT len(cl) AS k, unnest(cl).m AS m FROM s WHERE len(cl) <= 4),
+n AS (SELECT k, m, row_number() OVER (PARTITION BY k ORDER BY list_min(m)) - 1 AS number FROM c),
+u AS (SELECT k, number, unnest(m) AS nation FROM n)"""
+
+
+@query("p05_ward_of_nations", f"WITH RECURSIVE {_WARD} " + "SELECT nation, " + ", ".join(
+    f"CAST(max(number) FILTER (k = {k}) AS INTEGER) AS clusters_{k}" for k in (2, 3, 4)) + " FROM u GROUP BY 1")
+def ward_of_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations by mean balance and number of suppliers."""
+    table = S.table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").cast("bigint").alias("nation"))
+    points = table.agg(F.array(F.avg("s_acctbal") / 1000, F.count(F.lit(1)).cast("double")).alias("v"))
+    return C.agglomerative(points, "nation", "v", [2, 3, 4])
+
+
 @query("p05_agglomerative_silhouettes")
 def agglomerative_silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = responses(spark, sf_dir)

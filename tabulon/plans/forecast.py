@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.expressions import tidy
 from tabulon.operators import forecast as A, models, series as O
+from tabulon.operators.ordered import RUN_ROWS
 from tabulon.plans import standins as S
 from tabulon.plans.registry import query, r4
-from tabulon.plans.series import KEYS, ORDER, daily, hourly
+from tabulon.plans.series import GAPS_SQL, KEYS, ORDER, SHORT_RUN, daily, gaps, hourly
 from tabulon.session import settle
 
 LAGS = 20
@@ -54,6 +55,14 @@ def unit_root_lag0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("series_id", tidy(F.col("statistic")).alias("statistic"), "lags", "n_obs")
 
 
+@query("r03_unit_root_lag0_gaps", S.with_sql(S.HOURLY_SQL, GAPS_SQL, _DF0.replace("hourly", "gaps").replace("x IS NOT NULL", "x IS NOT NULL AND y IS NOT NULL")) + f"""
+SELECT series_id, {r4('b / sqrt(rss / (n - 2) / sxx)')} AS statistic, 0 AS lags, n AS n_obs FROM g""")
+def unit_root_lag0_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose value or lag is missing stay out."""
+    found = A.unit_root_test(gaps(spark, sf_dir), KEYS, ORDER, "y", maxlag=0)
+    return found.select("series_id", tidy(F.col("statistic")).alias("statistic"), "lags", "n_obs")
+
+
 @query("r03_unit_root_test")
 def unit_root_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series and its first difference, lags chosen by AIC."""
@@ -88,6 +97,43 @@ def autoregression_1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.select("series_id", "lag", tidy(F.col("coefficient")).alias("coefficient"))
 
 
+_ZG = """zg AS (SELECT series_id, t, y - lag(y) OVER (PARTITION BY series_id ORDER BY t) AS z,
+  row_number() OVER (PARTITION BY series_id ORDER BY t) AS rn FROM gaps),
+w AS (SELECT *, lag(z) OVER (PARTITION BY series_id ORDER BY t) AS z1,
+  row_number() OVER (PARTITION BY series_id ORDER BY t) AS pos, count(*) OVER (PARTITION BY series_id) AS n FROM zg WHERE rn > 1)"""
+_GAPPY = S.with_sql(S.HOURLY_SQL, GAPS_SQL, _ZG)
+
+
+@query("r04_autoregression_1_gaps", _GAPPY + f"""
+SELECT series_id, 1 AS lag, {r4('sum(z * z1) / sum(z1 * z1)')} AS coefficient FROM w WHERE z1 IS NOT NULL AND z IS NOT NULL GROUP BY 1""")
+def autoregression_1_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = A.ar_fit(O.difference(gaps(spark, sf_dir), KEYS, ORDER, "y"), KEYS, ORDER, "diff", 1)
+    return fit.select("series_id", "lag", tidy(F.col("coefficient")).alias("coefficient"))
+
+
+_FORECAST_GAPS = """s AS (SELECT *, sum(z * z1) OVER e / sum(CASE WHEN z IS NOT NULL THEN z1 * z1 END) OVER e * z1 AS forecast FROM w
+  WINDOW e AS (PARTITION BY series_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT series_id, t, z AS actual, forecast FROM s WHERE pos > floor(n * 0.8::DOUBLE))"""
+_WALK_GAPS = S.with_sql(S.HOURLY_SQL, GAPS_SQL, _ZG, _FORECAST_GAPS) + f"""
+SELECT series_id, t, {r4('actual')} AS actual, {r4('forecast')} AS forecast FROM f"""
+
+
+def _walked(df: DataFrame, run_rows: int) -> DataFrame:
+    out = A.walk_forward(O.difference(df, KEYS, ORDER, "y"), KEYS, ORDER, "diff", 1, run_rows=run_rows)
+    return out.select("series_id", "t", tidy(F.col("actual")).alias("actual"), tidy(F.col("forecast")).alias("forecast"))
+
+
+@query("r05_walk_forward_1_gaps", _WALK_GAPS)
+def walk_forward_1_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing values stay out of the sums; a row without its lag has no forecast."""
+    return _walked(gaps(spark, sf_dir), RUN_ROWS)
+
+
+@query("r05_walk_forward_1_gaps_short_runs", _WALK_GAPS)
+def walk_forward_1_gaps_short_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _walked(gaps(spark, sf_dir), SHORT_RUN)
+
+
 @query("r04_autoregression_5")
 def autoregression_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.ar_fit(differenced(spark, sf_dir, hours=False), KEYS, ORDER, "diff", 5)

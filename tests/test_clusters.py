@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 
-from tabulon.operators import clustering as C, density as D, evaluate as M, neighbours as B
+from tabulon.operators import clustering as C, density as D, evaluate as M, neighbours as B, pivots, ward
 
 BLOBS = [(x + dx, y + dy) for x, y in ((0, 0), (10, 0), (0, 10)) for dx, dy in ((0, 0), (0.5, 0), (0, 0.5), (0.5, 0.5), (0.25, 0.25))]
 
@@ -99,13 +99,61 @@ def test_nearest_matches_brute_force(spark):
         assert np.argsort(d[r["id"]])[r["rank"] - 1] == r["neighbour"]
 
 
-def test_ward_beyond_the_limit_keeps_every_row(spark):
-    rng = random.Random(5)
-    values = [(cx + rng.gauss(0, 0.3), cy + rng.gauss(0, 0.3)) for cx, cy in ((0, 0), (9, 0), (0, 9)) for _ in range(60)]
-    df = spark.createDataFrame([(i, list(v), i // 60) for i, v in enumerate(values)], "id bigint, v array<double>, truth int")
-    found = C.agglomerative(df, "id", "v", [3], micro=30).join(df, "id")
-    assert found.count() == 180
-    assert M.labeling_agreement(found, "truth", "clusters_3").first()["adjusted_rand"] == 1.0
+def brute_ward(x, w, ks):
+    """One cheapest merge at a time."""
+    n, w, c, label, out = len(x), w.astype(float).copy(), x.astype(float).copy(), np.arange(len(x)), {}
+    alive = np.ones(n, bool)
+
+    def cost_to(i):
+        gap = ((c - c[i]) ** 2).sum(1) * w * w[i] / (w + w[i])
+        gap[i] = np.inf
+        gap[~alive] = np.inf
+        return gap
+
+    cost = np.stack([cost_to(i) for i in range(n)])
+    for left in range(n, 0, -1):
+        if left in ks:
+            out[left] = label.copy()
+        if left == 1:
+            return out
+        i, j = sorted(divmod(int(np.argmin(cost)), n))
+        c[i] = (w[i] * c[i] + w[j] * c[j]) / (w[i] + w[j])
+        w[i] += w[j]
+        alive[j] = False
+        label[label == j] = i
+        cost[j, :] = cost[:, j] = np.inf
+        cost[i, :] = cost[:, i] = cost_to(i)
+
+
+@pytest.mark.parametrize("size,finish,block_rows", [(260, 110, 40), (900, None, 10_000), (1100, None, 10_000)])
+def test_ward_matches_one_by_one_merging(spark, size, finish, block_rows):
+    """Rounds of mutual nearest pairs in Spark, then in one table; copies are one weighted point."""
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(size, 5)) + rng.integers(0, 4, size=(size, 1)) * 2
+    copies = [0, 0, 0, 7, 9]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*x.tolist(), *x[copies].tolist()])], "id bigint, v array<double>")
+    ks = [2, 3, 7, 10]
+    weights = np.ones(size) + np.bincount(copies, minlength=size)
+    expected = brute_ward(x, weights, ks)
+    found = ward.labels(df, "id", "v", ks, finish=finish, block_rows=block_rows).orderBy("id").collect()
+    assert len(found) == size + len(copies)
+    for k in ks:
+        pairs = {(a, r[f"clusters_{k}"]) for a, r in zip([*expected[k], *expected[k][copies]], found)}
+        assert len(pairs) == k
+        firsts = [min(r["id"] for r in found if r[f"clusters_{k}"] == n) for n in range(k)]
+        assert firsts == sorted(firsts)
+
+
+def test_ward_with_ties_and_few_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 2, size=(200, 9)).astype(float)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id bigint, v array<double>")
+    found = ward.labels(df, "id", "v", [2, 5], finish=60, block_rows=50).collect()
+    assert len(found) == 200 and {r["clusters_5"] for r in found} == set(range(5))
+    few = C.agglomerative(points(spark, [(0, 0), (0, 0), (5, 5)]), "id", "v", [2, 4]).orderBy("id").collect()
+    assert [r["clusters_2"] for r in few] == [0, 0, 1] and [r["clusters_4"] for r in few] == [0, 0, 1]
+    none = points(spark, [(0, 0)]).where("false")
+    assert C.agglomerative(none, "id", "v", [2]).count() == 0
 
 
 def dense_affinity(s, damping, rounds):
@@ -188,3 +236,29 @@ def test_connected_labels(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (1, 0)], "a bigint, b bigint")
     labels = {r["node"]: r["label"] for r in D.connected_labels(nodes, edges).collect()}
     assert labels == {0: 0, 1: 0, 2: 2, 3: 3, 4: 3, 5: 3}
+
+
+@pytest.mark.parametrize("width", [2, 12])
+def test_nearest_by_pivots(spark, monkeypatch, width):
+    """Exact over many cells, also with a filter and ties; clustered rows visit few cells."""
+    rng = np.random.default_rng(width)
+    x = np.round(rng.normal(size=(30, width)) * 20, 0)[rng.integers(0, 30, 600)] + np.round(rng.normal(size=(600, width)) * 0.3, 2)
+    rows = [(i, v, i % 3 > 0) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, ok boolean")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for among in (None, "ok"):
+        found = B.nearest(df, "id", "v", 4, among=among, cell_rows=25).collect()
+        got = {(r["id"], r["rank"]): (r["neighbour"], r["distance"]) for r in found}
+        assert len(got) == 2400
+        for i in range(600):
+            order = [j for j in np.lexsort((np.arange(600), d[i])) if j != i and (among is None or j % 3 > 0)][:4]
+            assert [got[i, k + 1][0] for k in range(4)] == order
+            assert np.allclose([got[i, k + 1][1] for k in range(4)], d[i, order])
+    base = df.select(df["id"].alias("key"), "v")
+    index = pivots.PivotIndex(base, 25)
+    cells = index.placed.select("cell").distinct().count()
+    assert cells > 15
+    reach = index.place(base).selectExpr("*", "2.0D AS reach")
+    assert index.visits(reach, "reach").count() < 600 * cells / 10
+    empty = df.where("false")
+    assert B.nearest(empty, "id", "v", 2).count() == 0

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,62 @@ def test_nulls_do_not_depend_on_runs(gappy, run):
 def test_rows_beside_a_gap_stay(gappy):
     assert O.difference(gappy, ["s"], ["t"], "y").count() == gappy.count() - 4
     assert O.lag_pairs(gappy, ["s"], ["t"], "y", 5).count() == gappy.count() - 20
+
+
+def brute_unit_root(y):
+    """Least squares on explicit rows, one for each place whose value and lags exist."""
+    n = int(np.isfinite(y).sum())
+    limit = A.default_maxlag(n)
+    dy = np.diff(y, prepend=np.nan)
+
+    def rows(lag, start):
+        out = [[y[t - 1], *[dy[t - k] for k in range(1, lag + 1)], 1.0, dy[t]] for t in range(start, len(y))]
+        return np.array([r for r in out if np.isfinite(r).all()])
+
+    def fit(x):
+        beta, *_ = np.linalg.lstsq(x[:, :-1], x[:, -1], rcond=None)
+        rest = x[:, -1] - x[:, :-1] @ beta
+        return beta, float(rest @ rest)
+
+    scores = []
+    for lag in range(limit + 1):
+        x = rows(limit, limit + 1)
+        x = np.column_stack([x[:, : lag + 1], x[:, limit + 1 :]])
+        scores.append(len(x) * np.log(fit(x)[1] / len(x)) + 2 * (lag + 2))
+    lag = int(np.argmin(scores))
+    common, early = rows(limit, limit + 1), rows(lag, lag + 1)[:0]
+    early = [[y[t - 1], *[dy[t - k] for k in range(1, lag + 1)], 1.0, dy[t]] for t in range(lag + 1, limit + 1)]
+    early = np.array([r for r in early if np.isfinite(r).all()]).reshape(-1, lag + 3)
+    x = np.concatenate([early, np.column_stack([common[:, : lag + 1], common[:, limit + 1 :]])])
+    beta, rss = fit(x)
+    inverse = np.linalg.inv(x[:, :-1].T @ x[:, :-1])
+    return lag, len(x), beta[0] / np.sqrt(rss / (len(x) - lag - 2) * inverse[0, 0])
+
+
+@pytest.mark.parametrize("run_rows", [ordered.RUN_ROWS, 40])
+def test_gaps_and_lengths_of_series(spark, run_rows):
+    """Series of different length, with missing values, against explicit least squares."""
+    rng = np.random.default_rng(8)
+    series = {f"s{k}": np.cumsum(rng.normal(size=n)) for k, n in enumerate((60, 300, 25))}
+    for y, gone in zip(series.values(), ([30], [0, 5, 6, 150, 299], [])):
+        y[gone] = np.nan
+    rows = [(s, t, None if np.isnan(v) else float(v)) for s, y in series.items() for t, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "s string, t int, y double")
+    found = {r["s"]: r for r in A.unit_root_test(df, ["s"], ["t"], "y", run_rows=run_rows).collect()}
+    forecasts = {(r["s"], r["t"]): r["forecast"] for r in A.walk_forward(df, ["s"], ["t"], "y", 2, run_rows=run_rows).collect()}
+    fits = {(r["s"], r["lag"]): r for r in A.ar_fit(df, ["s"], ["t"], "y", 2, run_rows).collect()}
+    for s, y in series.items():
+        lag, n, tau = brute_unit_root(y)
+        assert (found[s]["lags"], found[s]["n_obs"]) == (lag, n)
+        assert found[s]["statistic"] == pytest.approx(tau, rel=1e-6)
+        x = np.array([[y[t - 1], y[t - 2], y[t]] for t in range(2, len(y))])
+        whole = x[np.isfinite(x).all(axis=1)]
+        beta, rss, *_ = np.linalg.lstsq(whole[:, :2], whole[:, 2], rcond=None)
+        assert [fits[s, k]["coefficient"] for k in (1, 2)] == pytest.approx(beta.tolist())
+        assert fits[s, 1]["sigma2"] == pytest.approx(float(rss[0]) / len(whole))
+        for t in range(int(len(y) * 0.8), len(y)):
+            before = x[: t - 2]
+            before = before[np.isfinite(before).all(axis=1)]
+            want = float(np.linalg.lstsq(before[:, :2], before[:, 2], rcond=None)[0] @ x[t - 2, :2])
+            got = forecasts[s, t]
+            assert got is None if np.isnan(want) else got == pytest.approx(want)
