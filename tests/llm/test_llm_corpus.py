@@ -1,6 +1,7 @@
 """Near duplicates, repeated passages, benchmark windows, secrets and the pipeline."""
 
 import random
+import re
 
 import brute
 import pytest
@@ -263,3 +264,77 @@ def test_pipeline_stages(spark):
     masked = stages[3](spark, clean, sf)
     assert masked.columns == docs.columns and masked.count() == clean.count()
     assert corpus_pipeline.run(spark, sf).count() == clean.count()
+
+
+def test_benchmark_words_do_not_hang_on_their_surroundings(spark):
+    """Verbatim in any case and place; other names and numbers also where a sentence begins or a case changes."""
+    boil, gave = "What is the boiling point of sea water", "Alice gave 3 red apples to Bob yesterday"
+    german = "Der Zug nach Berlin verlässt den Bahnhof um 9 Uhr und der Bus nach Hamburg fährt 20 min später"
+    before, after = filler("before", 31), filler("after", 20)
+    texts = [f"5) {boil} and so on", f"so then {boil}", f"It is so. {boil}?", f"{before} {boil.lower()} {after}", f"{before} {boil.upper()} {after}"]
+    rows = [(10 + k, t) for k, t in enumerate(texts)]
+    rows += [(20, f"we saw that {gave} {after}"), (21, f"{before} {gave.lower()}"), (22, "Well. Zoe gave 7 red apples to Yan yesterday"), (23, f"{before} Zoe gave 7 red apples to Yan yesterday {after}")]
+    rows += [(30, f"{before} {german.lower()} {after}"), (31, german.upper()), (32, f"{before} {german}"), (40, f"{before} {after} what is the boiling")]
+    got = contaminated(spark, [(1, boil), (2, gave), (3, german)], rows)
+    want = {(10 + k, 1): True for k in range(5)} | {(20, 2): True, (21, 2): True, (22, 2): False, (23, 2): False}
+    assert {k: e for k, (_, e) in got.items()} == want | {(30, 3): True, (31, 3): True, (32, 3): True}
+
+
+def test_benchmark_halves_apart_are_no_item(spark):
+    """Parts of an item far from each other do not add up, and a changed copy is not exact."""
+    words = [f"h{k}" for k in range(24)]
+    far = filler("far", 200)
+    rows = [(1, f"{' '.join(words[:9])} {far} {' '.join(words[12:21])}"), (2, f"{' '.join(words[:9])} x {' '.join(words[10:20])}")]
+    got = contaminated(spark, [(1, " ".join(words))], rows)
+    assert set(got) == {(2, 1)} and got[2, 1][1] is False and got[2, 1][0] == pytest.approx(19 / 24)
+
+
+def brute_contaminated(items, rows):
+    """Pairs where the item's words occur one after the other, in any case, stripped of punctuation at their ends."""
+    bare = lambda t: [w for w in (re.sub(r"^[^\w%]+|[^\w%]+$", "", x).lower() for x in t.split()) if w]
+    out = set()
+    for d, t in rows:
+        have = bare(t)
+        for i, q in items:
+            want = bare(q)
+            if want and any(have[k : k + len(want)] == want for k in range(len(have) - len(want) + 1)):
+                out.add((d, i))
+    return out
+
+
+def test_benchmark_verbatim_copies_match_brute_force(spark):
+    """Random items of mixed case, numbers and names in four languages, copied in any case, place and punctuation."""
+    draw = random.Random(12)
+    pool = "the a of which train leaves station der Zug Haus und Äpfel où est la gare Élan señor cuánto Madrid Anna Bob 12 3,5 km 40 min price".split()
+    word = lambda: draw.choice(pool) if draw.random() < 0.6 else f"w{draw.randrange(500)}"
+    items = [(k, " ".join([word().capitalize() if j == 0 and draw.random() < 0.7 else word() for j in range(draw.randint(2, 30))]) + draw.choice(["", "?", "."])) for k in range(60)]
+    rows = []
+    for d in range(150):
+        _, q = items[d % 60]
+        q = draw.choice([str, str.lower, str.upper, str.title])(q)
+        front, back = (" ".join(word() for _ in range(draw.randrange(12))) for _ in range(2))
+        rows.append((d, f"{front}{draw.choice(['', '.', ':', ' 5)', ','])} {draw.choice(['', '(', '-- '])}{q} {back}"))
+    got = contaminated(spark, items, rows)
+    want = brute_contaminated(items, rows)
+    assert len(want) >= 150 and want <= set(got)
+    assert all(got[k][1] for k in want)
+    # Nothing else is called a whole, word-for-word copy.
+    assert {k for k, (_, e) in got.items() if e} == want
+
+
+def test_benchmark_changed_values_are_found(spark):
+    """Other names and numbers, one for each, at sentence starts and inside."""
+    draw = random.Random(5)
+    names = ["Anna", "Berta", "Carl", "Dora", "Emil", "Frieda", "Gustav", "Hanna"]
+    items, rows = [], []
+    for k in range(80):
+        a, b = draw.sample(names, 2)
+        x, y = draw.sample(range(2, 99), 2)
+        text = lambda a, b, x, y, s: f"{a} has {x} s{k}a{s} and walks {y} km to the s{k}b shop where {b} sells s{k}c fruit for {x} dollars and how much is left over"
+        items.append((k, text(a, b, x, y, "")))
+        c, d = draw.sample([n for n in names if n not in (a, b)], 2)
+        v, w = draw.sample(range(100, 999), 2)
+        rows.append((k, f"{filler(f'f{k}', 20)}{draw.choice(['. ', ' ', ': ', ' 7) '])}{text(c, d, v, w, '')} {filler(f'g{k}', 9)}"))
+    got = contaminated(spark, items, rows)
+    assert sum((k, k) in got and not got[k, k][1] for k in range(80)) >= 76
+    assert all(d == i for d, i in got)
