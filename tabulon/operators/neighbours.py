@@ -93,10 +93,11 @@ def silhouettes(
 ) -> DataFrame:
     """Silhouette of every row under each labeling: ``(key, labeling, cluster, silhouette)``.
 
-    By Euclidean distance to all rows; a row alone in its cluster scores 0.
-    All labelings share one round of distances. Exact and therefore quadratic
-    in work; see :func:`squared_silhouette` for the linear measure on squared
-    distances.
+    By Euclidean distance to all rows; a row alone in its cluster scores 0. Exact. Means and mean squares of
+    the clusters bound the mean distance of a row to each of them, ‖x − mean‖ from below and the root of the mean
+    square from above; only the own cluster and those that can be the nearest are measured. Where clusters
+    lie so close that this saves nothing, all labelings share one round of all distances. See
+    :func:`squared_silhouette` for the linear measure on squared distances.
     """
     slots = [f"c{i}" for i in range(len(labelings))]
     points = settle(
@@ -132,9 +133,24 @@ def silhouettes(
         [points.schema["key"], T.StructField("which", T.IntegerType()), T.StructField("c", T.LongType()),
          T.StructField("other", T.LongType()), T.StructField("s", T.DoubleType())]
     )
-    partial = compare_blocks(*in_one_cell(points), "key", ["v", *slots], sums, schema, block_rows)
     named = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(s).alias("other")) for i, s in enumerate(slots)]))
     sizes = points.select(named.alias("x")).select("x.*").groupBy("which", "other").agg(F.count(F.lit(1)).alias("n"))
+    visits = _possible_clusters(points, slots)
+    if visits is None:
+        partial = compare_blocks(*in_one_cell(points), "key", ["v", *slots], sums, schema, block_rows)
+    else:
+        cell = F.concat_ws("|", "which", F.coalesce("other", F.lit("")))
+        rows = points.select("key", "v", named.alias("x")).select("key", "v", "x.*")
+        targets = settle(visits.withColumn("cell", cell))
+
+        def to_cluster(t: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+            left, right = matrix(t["v"]), matrix(r["v"])
+            found = [distances(left[part], right).sum(axis=1) for part in tiles(left)]
+            return t[["key", "which", "c", "other"]].assign(s=np.concatenate(found))
+
+        payload = ["v", "which", "c", "other"]
+        references = settle(rows.withColumn("c", F.lit(None).cast("bigint")).withColumn("cell", cell))
+        partial = compare_blocks(targets, references, "key", payload, to_cluster, schema, block_rows)
     own = F.col("c") == F.col("other")
     per_cluster = partial.groupBy("key", "which", "c", "other").agg(F.sum("s").alias("s")).join(sizes, ["which", "other"])
     ab = per_cluster.groupBy("key", "which", "c").agg(
@@ -149,6 +165,57 @@ def silhouettes(
     )
 
 
+def _possible_clusters(points: DataFrame, slots: Sequence[str]) -> DataFrame | None:
+    """Each row with its own cluster and those that may be the nearest other one: key, v, which, c, other.
+
+    None where that would be as many comparisons as all pairs, or the clusters are more than can be sent around.
+    """
+    power = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x)
+    stats = []
+    for i, slot in enumerate(slots):
+        mean = vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("m")
+        own = points.groupBy(F.col(slot).alias("c")).agg(mean, F.avg(power).alias("p"), F.count(F.lit(1)).alias("n"))
+        # One more than may be sent tells that there are too many.
+        stats.append(own.limit(MOST_CLUSTERS + 1).toPandas())
+        if sum(map(len, stats)) > MOST_CLUSTERS or any(t["c"].isna().any() for t in stats):
+            return None
+    if any(len(t) == 0 for t in stats):
+        return None
+    sent = [(t["c"].to_numpy(dtype="int64"), matrix(t["m"]), t["p"].to_numpy(dtype=float)) for t in stats]
+
+    def bounded(parts):
+        for part in parts:
+            if not len(part):
+                continue
+            v = matrix(part["v"])
+            square = (v * v).sum(axis=1)
+            for i, (names, means, powers) in enumerate(sent):
+                own = np.searchsorted(order_of[i], part[slots[i]].to_numpy(dtype="int64"))
+                own = rank_of[i][own]
+                low = distances(v, means)
+                high = np.sqrt(np.maximum(square[:, None] - 2.0 * (v @ means.T) + powers[None, :], 0.0))
+                give = 1e-6 * (1.0 + np.sqrt(square) + np.sqrt(powers.max()))
+                at = np.arange(len(v))
+                high[at, own] = np.inf
+                keep = low <= (high.min(axis=1) + give)[:, None]
+                keep[at, own] = True
+                row, cluster = np.nonzero(keep)
+                yield pd.DataFrame(
+                    {"key": part["key"].to_numpy()[row], "v": part["v"].to_numpy()[row], "which": np.int32(i),
+                     "c": names[own[row]], "other": names[cluster]}
+                )
+
+    rank_of = [np.argsort(names, kind="stable") for names, _, _ in sent]
+    order_of = [names[order] for (names, _, _), order in zip(sent, rank_of)]
+    kind = points.schema["key"].dataType.simpleString()
+    visits = points.mapInPandas(bounded, f"key {kind}, v array<double>, which int, c bigint, other bigint")
+    counts = visits.groupBy("which", "other").agg(F.count(F.lit(1)).alias("rows")).collect()  # as many rows as clusters
+    size = {(i, int(c)): int(n) for i, t in enumerate(stats) for c, n in zip(t["c"], t["n"])}
+    pairs = sum(r["rows"] * size[r["which"], r["other"]] for r in counts)
+    whole = max(sum(int(n) for n in t["n"]) for t in stats) ** 2
+    return visits if pairs < whole else None
+
+
 def silhouette(df: DataFrame, key: str, vector: str, cluster: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Silhouette of every row under one labeling."""
     out = silhouettes(df, key, vector, [cluster], block_rows)

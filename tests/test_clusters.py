@@ -262,3 +262,22 @@ def test_nearest_by_pivots(spark, monkeypatch, width):
     assert index.visits(reach, "reach").count() < 600 * cells / 10
     empty = df.where("false")
     assert B.nearest(empty, "id", "v", 2).count() == 0
+
+
+def test_silhouette_measures_only_clusters_that_can_be_nearest(spark):
+    """Exact with clusters left out: own and nearest ones are a small part of all pairs."""
+    rng = np.random.default_rng(6)
+    c = rng.integers(0, 20, 400)
+    x = rng.normal(size=(20, 3))[c] * 40 + rng.normal(size=(400, 3))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    df = spark.createDataFrame([(i, v, int(k)) for i, (v, k) in enumerate(zip(x.tolist(), c))], "id bigint, v array<double>, c int")
+    base = df.selectExpr("id AS key", "v", "CAST(c AS BIGINT) AS c0")
+    visits = B._possible_clusters(base, ["c0"])
+    sizes = np.bincount(c)
+    assert sum(sizes[r["other"]] for r in visits.collect()) < 400 * 400 / 5
+    found = {r["id"]: r["silhouette"] for r in B.silhouette(df, "id", "v", "c", 30).collect()}
+    for i in range(400):
+        means = np.array([d[i, c == k].sum() / (sizes[k] - (k == c[i])) for k in range(20)])
+        a, b = means[c[i]], np.delete(means, c[i]).min()
+        assert found[i] == pytest.approx((b - a) / max(a, b), abs=1e-9)
+    assert B._possible_clusters(base.selectExpr("key", "v", "key % 2 AS c0"), ["c0"]) is None
