@@ -167,6 +167,41 @@ def with_group_values(df: DataFrame, values: DataFrame, by: Sequence[str]) -> Da
     return df.select("*", *[row[c].alias(c) for c in values.columns])
 
 
+#: Bins that a histogram pass cuts the values of a group into.
+BINS = 1024
+
+
+def _bin(value: Column, low: Column, high: Column) -> Column:
+    """The bin of a value, rising with it; infinite values and NaN have bins of their own at the ends."""
+    share = (value / 2 - low / 2) / (high / 2 - low / 2)
+    inside = F.least(F.lit(BINS - 1), F.floor(share * BINS).cast("int"))
+    infinite = F.when(value == F.lit(float("inf")), BINS).when(value == F.lit(float("-inf")), -1)
+    return F.when(F.isnan(value), BINS + 1).otherwise(F.coalesce(infinite, F.when(high > low, inside).otherwise(0)))
+
+
+def _narrowed(rows: DataFrame, keys: Sequence[str], ranks: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
+    """The rows of the bins that hold a rank asked for, those bins' ranks, and the most rows of such a bin.
+
+    ``ranks`` has for each group the ranks asked for as ``_ranks``. The bins become one more key, and
+    ranks count from the begin of their bin.
+    """
+    x = F.col("_value")
+    finite = F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
+    limits = rows.groupBy(*keys).agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
+    placed = with_group_values(rows, settle(limits), keys)
+    placed = placed.withColumn(name, _bin(x, F.col("_low"), F.col("_high"))).drop("_low", "_high")
+    counts = placed.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_n"))
+    # At most as many rows as bins in each group.
+    upto = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = with_group_values(counts.withColumn("_upto", F.sum("_n").over(upto)), ranks, keys)
+    before = F.col("_upto") - F.col("_n")
+    held = F.filter("_ranks", lambda r: (r["at"] >= before) & (r["at"] < F.col("_upto")))
+    local = F.transform(held, lambda r: F.struct(r["id"].alias("id"), (r["at"] - before).alias("at")))
+    wanted = settle(counts.where(F.size(held) > 0).select(*keys, name, "_n", local.alias("_ranks")))
+    most = wanted.agg(F.max("_n")).first()[0] or 0
+    return null_safe_join(placed, wanted.select(*keys, name), [*keys, name], "left_semi"), wanted.drop("_n"), most
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -177,29 +212,28 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles, one row per group.
 
-    Works on (value, count) pairs, so repeated values cost nothing and no task
-    holds more than one run of distinct values.
+    Selection by histograms: a pass finds the bins that hold the ranks asked for, and only rows of those bins
+    go on; a second pass divides them again where one is still long. What is left is ordered, as (value, count)
+    pairs. The table is read once for the sizes, twice for each pass and once to the end, but not sorted.
     """
     by = list(by)
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probabilities])
-    counts = settle(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = running_totals(counts, by, ["_value"], {"_upto": "_n"}, run_rows)
-    totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    ranked = with_group_values(ranked, totals, by)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_value")))
-
-    picks, outputs = [], []
-    for i, p in enumerate(probabilities):
-        spot = (F.col("_total") - 1) * F.lit(float(p))
-        picks += [at(F.floor(spot)).alias(f"_lo{i}"), at(F.ceil(spot)).alias(f"_hi{i}"),
-                  F.max(spot - F.floor(spot)).alias(f"_f{i}")]
-        outputs.append(
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(names[i])
-        )
-    return ranked.groupBy(*by).agg(*picks).select(*by, *outputs)
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_value"))
+    totals = settle(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_total")))
+    spots = [(F.col("_total") - 1) * F.lit(float(p)) for p in probabilities]
+    asked = [F.struct(F.lit(2 * i + k).alias("id"), end(spot).cast("bigint").alias("at"))
+             for i, spot in enumerate(spots) for k, end in enumerate((F.floor, F.ceil))]
+    rest, ranks, most = _narrowed(rows, by, totals.select(*by, F.array(*asked).alias("_ranks")), "_bin1")
+    keys = [*by, "_bin1"]
+    if most > run_rows:
+        rest, ranks, _ = _narrowed(rest, keys, ranks, "_bin2")
+        keys.append("_bin2")
+    counts = settle(rest.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n")))
+    placed = null_safe_join(running_totals(counts, keys, ["_value"], {"_upto": "_n"}, run_rows), ranks, keys)
+    here = F.filter("_ranks", lambda r: (r["at"] >= F.col("_upto") - F.col("_n")) & (r["at"] < F.col("_upto")))
+    found = placed.select(*by, "_value", F.explode(F.transform(here, lambda r: r["id"])).alias("_id"))
+    at = [F.max(F.when(F.col("_id") == i, F.col("_value"))).alias(f"_v{i}") for i in range(2 * len(names))]
+    found = with_group_values(totals, found.groupBy(*by).agg(*at), by)
+    low = lambda i: F.col(f"_v{2 * i}")
+    outputs = [(low(i) + (F.col(f"_v{2 * i + 1}") - low(i)) * (s - F.floor(s))).alias(n) for i, (s, n) in enumerate(zip(spots, names))]
+    return found.select(*by, *outputs)

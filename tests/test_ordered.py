@@ -180,3 +180,42 @@ def test_gaps_and_lengths_of_series(spark, run_rows):
             want = float(np.linalg.lstsq(before[:, :2], before[:, 2], rcond=None)[0] @ x[t - 2, :2])
             got = forecasts[s, t]
             assert got is None if np.isnan(want) else got == pytest.approx(want)
+
+
+def test_quantiles_by_selection(spark, monkeypatch):
+    """Skewed, tied, infinite and few values, null groups and empty tables, with one pass and with two."""
+    rng = np.random.default_rng(3)
+    groups = {
+        "skew": np.exp(rng.normal(size=3000) * 6), "ties": rng.integers(0, 3, 2000).astype(float), "one": np.array([5.0]), "same": np.full(50, -2.0),
+        "far": np.concatenate([rng.normal(size=1500), [1e308, -1e308]]), None: rng.normal(size=700), "ends": np.array([float("-inf"), 1.0, 2.0, 3.0, float("inf")]),
+    }
+    rows = [(g, float(v)) for g, x in groups.items() for v in x] + [("skew", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, y double")
+    shares = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    for run_rows in (ordered.RUN_ROWS, 60):
+        found = {r["g"]: list(r)[1:] for r in ordered.exact_quantiles(df, "y", shares, ["g"], list("abcdef"), run_rows).collect()}
+        assert set(found) == set(groups)
+        for g, x in groups.items():
+            if g == "ends":
+                assert found[g][3] == 2.0
+                continue
+            low = np.sort(x)
+            for got, p in zip(found[g], shares):
+                spot = (len(x) - 1) * p
+                a, b = low[int(np.floor(spot))], low[int(np.ceil(spot))]
+                assert got == pytest.approx(a + (b - a) * (spot - np.floor(spot)), rel=1e-12)
+        whole = ordered.exact_quantiles(df.where("g <> 'ends'"), "y", [0.5], names=["m"], run_rows=run_rows).first()["m"]
+        assert whole == pytest.approx(np.median(np.concatenate([x for g, x in groups.items() if g not in ("ends", None)])))
+    assert ordered.exact_quantiles(df.where("false"), "y", [0.5], ["g"]).count() == 0
+
+
+def test_selection_sorts_no_table(spark):
+    df = spark.range(100_000).selectExpr("id", "(id * 7919 % 100003) * 1.0D AS y")
+    plans, plain = [], ordered.running_totals
+    ordered.running_totals = lambda counts, *a, **k: plans.append(counts.count()) or plain(counts, *a, **k)
+    try:
+        row = ordered.exact_quantiles(df, "y", [0.25, 0.5, 0.75]).first()
+    finally:
+        ordered.running_totals = plain
+    assert plans[0] < 100_000 * 6 / ordered.BINS
+    assert row["q50"] == pytest.approx(np.median([i * 7919 % 100003 for i in range(100_000)]))
