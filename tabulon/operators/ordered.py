@@ -179,17 +179,22 @@ def _bin(value: Column, low: Column, high: Column) -> Column:
     return F.when(F.isnan(value), BINS + 1).otherwise(F.coalesce(infinite, F.when(high > low, inside).otherwise(0)))
 
 
-def _narrowed(rows: DataFrame, keys: Sequence[str], ranks: DataFrame, name: str) -> tuple[DataFrame, DataFrame, int]:
+def _limits() -> list[Column]:
+    x = F.col("_value")
+    finite = F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
+    return [F.min(finite).alias("_low"), F.max(finite).alias("_high")]
+
+
+def _narrowed(
+    rows: DataFrame, keys: Sequence[str], limits: DataFrame, ranks: DataFrame, name: str
+) -> tuple[DataFrame, DataFrame, int]:
     """The rows of the bins that hold a rank asked for, those bins' ranks, and the most rows of such a bin.
 
     ``ranks`` has for each group the ranks asked for as ``_ranks``. The bins become one more key, and
     ranks count from the begin of their bin.
     """
-    x = F.col("_value")
-    finite = F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
-    limits = rows.groupBy(*keys).agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
-    placed = with_group_values(rows, settle(limits), keys)
-    placed = placed.withColumn(name, _bin(x, F.col("_low"), F.col("_high"))).drop("_low", "_high")
+    placed = with_group_values(rows, limits.select(*keys, "_low", "_high"), keys)
+    placed = placed.withColumn(name, _bin(F.col("_value"), F.col("_low"), F.col("_high"))).drop("_low", "_high")
     counts = placed.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_n"))
     # At most as many rows as bins in each group.
     upto = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -219,14 +224,14 @@ def exact_quantiles(
     by = list(by)
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probabilities])
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_value"))
-    totals = settle(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_total")))
+    totals = settle(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"), *_limits()))
     spots = [(F.col("_total") - 1) * F.lit(float(p)) for p in probabilities]
     asked = [F.struct(F.lit(2 * i + k).alias("id"), end(spot).cast("bigint").alias("at"))
              for i, spot in enumerate(spots) for k, end in enumerate((F.floor, F.ceil))]
-    rest, ranks, most = _narrowed(rows, by, totals.select(*by, F.array(*asked).alias("_ranks")), "_bin1")
+    rest, ranks, most = _narrowed(rows, by, totals, totals.select(*by, F.array(*asked).alias("_ranks")), "_bin1")
     keys = [*by, "_bin1"]
     if most > run_rows:
-        rest, ranks, _ = _narrowed(rest, keys, ranks, "_bin2")
+        rest, ranks, _ = _narrowed(rest, keys, settle(rest.groupBy(*keys).agg(*_limits())), ranks, "_bin2")
         keys.append("_bin2")
     counts = settle(rest.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n")))
     placed = null_safe_join(running_totals(counts, keys, ["_value"], {"_upto": "_n"}, run_rows), ranks, keys)

@@ -127,3 +127,18 @@ def test_shared_folder_comes_from_the_session():
     with pytest.raises(RuntimeError):
         session.shared_root(FakeSession("yarn"))
     assert session.shared_root(FakeSession("local[2]")).startswith("/")
+
+
+@pytest.mark.parametrize("grids", [{"hours_per_week": [10.0, 37.5, 40.0, 60.0]}, {"hours_per_week": [20.0, 45.0], "age": [25.0, 40.0, 61.5]}])
+def test_partial_dependence_by_leaves_equals_scoring_every_row(spark, sf_dir, grids):
+    from tabulon.plans.models import census_parts
+
+    train, test, fitted = census_parts(spark, sf_dir)
+    raw = test.drop("features", "label")
+    for estimator in (L.random_forest(5), L.decision_tree()):
+        model = L.fit(estimator, train)
+        fast = {tuple(r[c] for c in grids): (r["mean_probability"], r["rows"]) for r in O.partial_dependence(fitted, model, raw, grids).collect()}
+        slow = {tuple(r[c] for c in grids): (r["mean_probability"], r["rows"]) for r in O.dependence_by_rows(fitted, model, raw, grids).collect()}
+        assert set(fast) == set(slow)
+        for k, (p, n) in slow.items():
+            assert fast[k][0] == pytest.approx(p, abs=1e-9) and fast[k][1] == n
