@@ -21,6 +21,9 @@ def grid(estimator, **values: Sequence) -> list[dict]:
     return builder.build()
 
 
+# The settings that the searches try.
+
+
 def logistic_grid(estimator) -> list[dict]:
     return grid(estimator, regParam=[0.01, 0.5, 2.0], elasticNetParam=[0.0, 0.5, 1.0], maxIter=[2, 5])
 

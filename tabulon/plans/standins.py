@@ -120,6 +120,7 @@ BOOKINGS_SQL = """bookings AS (
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
+    # The level names that the questions ask about.
     single = F.element_at(F.array(F.lit("Divorced"), F.lit("Separated"), F.lit("Widowed")), (key % 3 + 1).cast("int"))
     married = F.when(F.col("o_orderstatus") == "F", "Married-civ-spouse").when(
         F.col("o_orderstatus") == "O", "Never-married"
