@@ -26,6 +26,11 @@ def census_parts(spark: SparkSession, sf_dir: str):
     return K.apply_pipeline(fitted, train, keep), K.apply_pipeline(fitted, test, keep), fitted
 
 
+def census_encoder(spark: SparkSession, sf_dir: str) -> K.FrequencyEncoder:
+    """The same features from tables of values, fitted on the train part."""
+    return K.FrequencyEncoder(K.hash_split(S.census(spark, sf_dir), "id")[0], CATEGORICAL, NUMERIC, "income")
+
+
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), "label"
@@ -61,8 +66,7 @@ _SLOTS = "slots AS (" + " UNION ALL ".join(
     f"ON column_name = '{c}' AND value = {c}" for c in CATEGORICAL))
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slot that is set in each one-hot vector, and the sum of the vector."""
-    _, _, fitted = census_parts(spark, sf_dir)
-    encoded = fitted.transform(S.census(spark, sf_dir))
+    encoded = census_encoder(spark, sf_dir).transform(S.census(spark, sf_dir), "id")
     cells = [
         F.struct(F.lit(c).alias("column_name"), vector_to_array(f"{c}_vec").alias("v")) for c in CATEGORICAL
     ]
@@ -78,9 +82,9 @@ SELECT id, label::DOUBLE AS label, (SELECT count(*) + 2 FROM slots)::INTEGER AS
 FROM train JOIN y USING (income)""")
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label, vector width, and the two numbers that stand at its end."""
-    train, _, _ = census_parts(spark, sf_dir)
+    train, _ = K.hash_split(S.census(spark, sf_dir), "id")
     v = vector_to_array("features")
-    return train.select(
+    return census_encoder(spark, sf_dir).transform(train, "id").select(
         "id", "label", F.size(v).alias("width"), F.element_at(v, -2).alias("age"), F.element_at(v, -1).alias("hours_per_week")
     )
 
@@ -89,8 +93,10 @@ def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT id, education, marital_status, occupation, age, hours_per_week, income FROM census""")
 def pipeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original columns come through the fitted pipeline for train and test rows alike."""
-    train, test, _ = census_parts(spark, sf_dir)
-    return train.unionByName(test).drop("features", "label")
+    encoder, added = census_encoder(spark, sf_dir), [f"{c}_{kind}" for c in CATEGORICAL for kind in ("index", "vec")]
+    train, test = K.hash_split(S.census(spark, sf_dir), "id")
+    both = encoder.transform(train, "id").unionByName(encoder.transform(test, "id"))
+    return both.drop("features", "label", *added)
 
 
 @query("k05_hash_split", _C + """

@@ -103,6 +103,39 @@ def test_param_docs(spark):
     assert rows["maxIter"]["value"] == "10" and rows["maxIter"]["doc"]
 
 
+def test_encoder_with_many_values_equals_the_pipeline(spark):
+    rng = np.random.default_rng(5)
+    kinds = [f"w{v}" for v in (rng.zipf(1.3, 4000) % 900)]
+    rows = [(i, k, "xy"[i % 2], float(i % 13), "no" if i % 3 else "yes") for i, k in enumerate(kinds)]
+    df = spark.createDataFrame(rows, "id bigint, many string, few string, x double, answer string").repartition(4)
+    plain = K.feature_pipeline(["many", "few"], ["x"], "answer").fit(df)
+    expected = {r["id"]: (r["label"], r["features"].toArray()) for r in plain.transform(df).collect()}
+    for hot in (20, 10_000):
+        encoder = K.FrequencyEncoder(df, ["many", "few"], ["x"], "answer", hot_values=hot)
+        got = encoder.transform(df, "id").collect()
+        assert len(got) == len(rows)
+        for r in got:
+            label, features = expected[r["id"]]
+            assert r["label"] == label and np.array_equal(r["features"].toArray(), features)
+        names = [r["feature"] for r in encoder.slots().orderBy("slot").collect()]
+        assert names == O.slot_names(plain.transform(df))
+        odd = spark.createDataFrame([(1, "never", None, 2.0, "no"), (2, None, "x", 3.0, "other"), (3, "w1", "y", None, None)], df.schema)
+        a, b, c = encoder.transform(odd, "id").orderBy("id").collect()
+        assert a["features"].indices.tolist() == [encoder.width - 1] and a["label"] == 0.0 and a["many_vec"].numNonzeros() == 0
+        assert len(b["features"].indices) == 2 and b["label"] is None and b["many_index"] == encoder.sizes["many"]
+        assert c["features"] is None and c["label"] is None
+        assert encoder.transform(df.limit(0), "id").count() == 0
+
+
+def test_encoder_learns_like_the_pipeline(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, f"v{i % 7}", float(rng.normal()), "yes" if i % 7 < 2 else "no") for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, kind string, x double, answer string")
+    train = K.FrequencyEncoder(df, ["kind"], ["x"], "answer", hot_values=3).transform(df, "id")
+    scored = L.score(L.fit(L.logistic(20), train), train, ["id"])
+    assert scored.where("label = prediction").count() == 400
+
+
 class FakeContext:
     def __init__(self, master, active=None):
         self.master, self.active = master, active
