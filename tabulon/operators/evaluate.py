@@ -103,6 +103,14 @@ def binary_report(df: DataFrame, label: str = "label", prediction: str = "predic
     )
 
 
+def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row: true and false positives and negatives of class 1. Rows without a label are not counted."""
+    y, p = F.col(label) == 1, F.col(prediction) == 1
+    return df.agg(
+        F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn")
+    )
+
+
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, F1 and support per class, with accuracy, macro and weighted averages."""
     cells = confusion(df, label, prediction)

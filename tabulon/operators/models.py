@@ -60,6 +60,19 @@ def score(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
 
 
+def linear_scores(df: DataFrame, weights: dict[str, float], intercept: float = 0.0, threshold: float = 0.5) -> DataFrame:
+    """Probability and prediction of a logistic model given by its coefficients, as one expression over raw columns.
+
+    A row with a null in a weighted column has neither.
+    """
+    margin = F.lit(float(intercept))
+    for name, weight in weights.items():
+        margin = margin + F.lit(float(weight)) * F.col(name)
+    probability = 1.0 / (1.0 + F.exp(-margin))
+    scored = df.withColumn("probability", probability)
+    return scored.withColumn("prediction", (F.col("probability") > threshold).cast("double"))
+
+
 def compare_models(models: dict, test: DataFrame) -> DataFrame:
     """Accuracy of every model on the same rows, best first."""
     parts = None

@@ -147,6 +147,50 @@ def scored_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.withColumn("outside", F.col("score") > cut.scalar())
 
 
+_NODES = [
+    (0, 0, 0, 250.0, 0, 256), (0, 1, 1, 100.0, 1, 150), (0, 2, -1, 0.0, 1, 106), (0, 3, -1, 0.0, 2, 149), (0, 4, -1, 0.0, 2, 1),
+    (1, 0, 1, -50.0, 0, 256), (1, 1, -1, 0.0, 1, 2), (1, 2, 0, 900.0, 1, 254), (1, 5, -1, 0.0, 2, 200), (1, 6, -1, 0.0, 2, 54),
+]
+_PATHS = """f AS (SELECT n, 2 * (ln(n - 1) + 0.5772156649015329::DOUBLE) - 2.0::DOUBLE * (n - 1) / n AS c
+  FROM (VALUES (256), (149), (106), (200), (54)) t(n)),
+p AS (SELECT id, (CASE WHEN sales >= 250 THEN 1 + (SELECT c FROM f WHERE n = 106) WHEN profit < 100 THEN 2 + (SELECT c FROM f WHERE n = 149) ELSE 2 END
+  + CASE WHEN profit < -50 THEN 1 + 1 WHEN sales < 900 THEN 2 + (SELECT c FROM f WHERE n = 200) ELSE 2 + (SELECT c FROM f WHERE n = 54) END) / 2 AS path
+  FROM store),
+scored AS (SELECT id, pow(2, -path / (SELECT c FROM f WHERE n = 256)) AS score FROM p)"""
+
+
+@query("q06_given_forest", S.with_sql(S.STORE_SQL, _PATHS) + f"SELECT id, {r4('score')} AS score FROM scored")
+def given_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path lengths and scores of every row under a given table of nodes."""
+    nodes = spark.createDataFrame(_NODES, Q.NODE_SCHEMA)
+    rows = S.store(spark, sf_dir).select("id", "sales", "profit")
+    return Q.ForestScorer(nodes, ["sales", "profit"]).score(rows).select("id", tidy(F.col("score")).alias("score"))
+
+
+@query("q03_given_forest_outliers", S.with_sql(S.STORE_SQL, """scored AS (SELECT id, pow(2, -CASE WHEN sales < 250 THEN 2.0::DOUBLE WHEN sales < 900 THEN 2.5::DOUBLE
+  ELSE 2.0::DOUBLE END / (2 * (ln(255) + 0.5772156649015329::DOUBLE) - 2.0::DOUBLE * 255 / 256)) AS score FROM store)""") + f"""
+SELECT id, {r4('score')} AS score FROM scored WHERE round(score, 9) > (SELECT quantile_cont(round(score, 9), 0.5) FROM scored)""")
+def given_forest_outliers_of_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose sales a given table of nodes isolates soonest: above the median score."""
+    nodes = [(0, 0, 0, 250.0, 0, 256), (0, 1, -1, 0.0, 1, 1), (0, 2, 0, 900.0, 1, 3), (0, 5, -1, 0.0, 2, 1), (0, 6, -1, 0.0, 2, 1),
+             (1, 0, 0, 250.0, 0, 256), (1, 1, 0, -1e9, 1, 255), (1, 3, -1, 0.0, 2, 1), (1, 4, -1, 0.0, 3, 1), (1, 2, 0, 900.0, 1, 1),
+             (1, 5, -1, 0.0, 3, 1), (1, 6, -1, 0.0, 2, 1)]
+    rows = S.store(spark, sf_dir).select("id", "sales")
+    scored = Q.ForestScorer(spark.createDataFrame(nodes, Q.NODE_SCHEMA), ["sales"]).score(rows)
+    scored = settle(scored.select("id", F.round("score", 9).alias("score")))
+    return Q.above_share(scored, "score", 0.5).where("outlier").select("id", tidy(F.col("score")).alias("score"))
+
+
+@query("q04_given_forest_outliers", S.with_sql(S.STORE_SQL, _PATHS) + f"""
+SELECT id, {r4('score')} AS score FROM scored WHERE round(score, 9) > (SELECT quantile_cont(round(score, 9), 0.9) FROM scored)""")
+def given_forest_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tenth of the rows that a given table of nodes isolates soonest; only keys and scores are written."""
+    nodes = spark.createDataFrame(_NODES, Q.NODE_SCHEMA)
+    rows = S.store(spark, sf_dir).select("id", "sales", "profit")
+    scored = Q.ForestScorer(nodes, ["sales", "profit"]).score(rows).select("id", F.round("score", 9).alias("score"))
+    return Q.above_share(settle(scored), "score", 0.1).where("outlier").select("id", tidy(F.col("score")).alias("score"))
+
+
 _PC1 = """l AS (SELECT min(discount) AS d0, max(discount) - min(discount) AS dw, min(profit) AS p0,
   max(profit) - min(profit) AS pw FROM store),
 s AS (SELECT id, (discount - d0) / dw AS x, (profit - p0) / pw AS y FROM store, l),

@@ -157,6 +157,13 @@ def plain_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.members(spark, sf_dir).limit(3)
 
 
+@query("f02_limit_count", S.with_sql(S.MEMBERS_SQL) + "SELECT count(*) AS n, count(DISTINCT memid) AS members FROM (SELECT * FROM members LIMIT 3)")
+def limit_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows, all of them members, a limit leaves."""
+    some = S.members(spark, sf_dir).limit(3)
+    return some.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("memid").alias("members"))
+
+
 @query("f04_sort_by_ordinal", _F + "SELECT name, count(*) AS n FROM facilities GROUP BY 1 ORDER BY 2 DESC, 1")
 def sort_by_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT name, count(*) AS n FROM {f} GROUP BY 1 ORDER BY 2 DESC, 1", f=S.facilities(spark, sf_dir))

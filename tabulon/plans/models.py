@@ -27,15 +27,16 @@ def embedding_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 def _report(model, test: DataFrame) -> DataFrame:
     """All measures of one model on new rows."""
-    scored = settle(L.score(model, test, ["id"]))
-    by_class = M.binary_report(scored)
-    wide = by_class.select(
+    return _measures(settle(L.score(model, test, ["id"])))
+
+
+def _measures(scored: DataFrame) -> DataFrame:
+    return M.binary_report(scored).select(
         "*",
         M.area_under_roc(scored, score="probability").scalar().alias("auc"),
         M.area_under_pr(scored, score="probability").scalar().alias("aupr"),
         M.accuracy(scored).scalar().alias("accuracy"),
     )
-    return wide
 
 
 def logistic_model(train: DataFrame, **params):
@@ -106,9 +107,126 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.compare_models(fitted, test)
 
 
+_LINEAR = """scored AS (SELECT id, label, 1 / (1 + exp(-(-3.25::DOUBLE + age * 0.05::DOUBLE + hours_per_week * 0.04::DOUBLE))) AS probability
+  FROM (SELECT *, CASE WHEN income = (SELECT income FROM census GROUP BY 1 ORDER BY count(*) DESC, income LIMIT 1) THEN 0 ELSE 1 END
+    AS label FROM census))"""
+
+
+def _given_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census rows under given coefficients; class 1 is the rarer income."""
+    census = S.census(spark, sf_dir)
+    common = K.frequency_index(census, "income").where("index = 0").select("income")
+    labelled = census.withColumn("label", (F.col("income") != common.scalar()).cast("int"))
+    return L.linear_scores(labelled, {"age": 0.05, "hours_per_week": 0.04}, -3.25)
+
+
+@query("l07_given_coefficients", S.with_sql(S.CENSUS_SQL, _LINEAR) + f"""
+SELECT id, label, {r4('probability')} AS probability, CASE WHEN probability > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM scored""")
+def given_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _given_scores(spark, sf_dir)
+    return scored.select("id", "label", tidy(F.col("probability")).alias("probability"), "prediction")
+
+
+@query("l01_given_coefficients_report", S.with_sql(S.CENSUS_SQL, _LINEAR) + f"""
+, c AS (SELECT count(*) FILTER (label = 1 AND probability > 0.5) AS tp, count(*) FILTER (label = 0 AND probability > 0.5) AS fp,
+  count(*) FILTER (label = 1 AND probability <= 0.5) AS fn, count(*) FILTER (label = 0 AND probability <= 0.5) AS tn FROM scored),
+r AS (SELECT label, rank() OVER (ORDER BY probability) + (count(*) OVER (PARTITION BY probability) - 1) / 2.0 AS place FROM scored)
+SELECT tp, fp, fn, tn, {r4('(tp + tn) / (tp + fp + fn + tn)')} AS accuracy, {r4('tp / (tp + fp)')} AS precision, {r4('tp / (tp + fn)')} AS recall,
+  {r4('(SELECT sum(place) FROM r WHERE label = 1) / ((tp + fn) * (fp + tn)) - (tp + fn + 1) / (2.0 * (fp + tn))')} AS auc FROM c""")
+def given_coefficients_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion, accuracy, precision, recall and ROC area of given coefficients."""
+    scored = settle(_given_scores(spark, sf_dir).select("id", "label", "probability", "prediction"))
+    report = M.binary_report(scored)
+    wide = M.confusion_counts(scored).select(
+        "*", M.accuracy(scored).scalar().alias("accuracy"), report.select("precision").scalar().alias("precision"),
+        report.select("recall").scalar().alias("recall"), M.area_under_roc(scored, score="probability").scalar().alias("auc"),
+    )
+    return wide.select("tp", "fp", "fn", "tn", *[tidy(F.col(c)).alias(c) for c in ("accuracy", "precision", "recall", "auc")])
+
+
+_STUMP = """rows_ AS (SELECT id, CAST(hours_per_week AS INTEGER) AS x, label FROM (SELECT *, CASE WHEN income =
+    (SELECT income FROM census GROUP BY 1 ORDER BY count(*) DESC, income LIMIT 1) THEN 0 ELSE 1 END AS label FROM census)),
+v AS (SELECT x, count(*) AS n, sum(label) AS y FROM rows_ GROUP BY x),
+t AS (SELECT (x + lead(x) OVER w) / 2.0 AS cut, sum(n) OVER w AS n0, sum(y) OVER w AS y0, sum(n) OVER () AS n, sum(y) OVER () AS y
+  FROM v WINDOW w AS (ORDER BY x ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT *, 2.0::DOUBLE * y0 / n0 * (n0 - y0) AS i0, 2.0::DOUBLE * (y - y0) / (n - n0) * ((n - n0) - (y - y0)) AS i1,
+  2.0::DOUBLE * y / n * (n - y) AS i FROM t WHERE cut IS NOT NULL AND n0 < n),
+best AS (SELECT * FROM g ORDER BY (i - i0 - i1) DESC, cut LIMIT 1)"""
+
+
+def _stump(spark: SparkSession, sf_dir: str):
+    """A tree of one split on the hours, with a bin for every value, and the rows it was fitted on."""
+    census = S.census(spark, sf_dir)
+    common = K.frequency_index(census, "income").where("index = 0").select("income")
+    rows = census.select("id", F.array("hours_per_week").alias("v"), (F.col("income") != common.scalar()).cast("double").alias("label"))
+    rows = K.as_vector(rows, "v").drop("v")
+    return L.fit(L.decision_tree(maxDepth=1, maxBins=128), rows), rows
+
+
+@query("l06_stump_scores", S.with_sql(S.CENSUS_SQL, _STUMP) + f"""
+SELECT id, label::DOUBLE AS label, {r4('CASE WHEN x <= cut THEN y0 / n0 ELSE (y - y0) / (n - n0) END')} AS probability FROM rows_, best""")
+def stump_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row scored by a tree of one split."""
+    model, rows = _stump(spark, sf_dir)
+    return L.score(model, rows, ["id"]).select("id", "label", tidy(F.col("probability")).alias("probability"))
+
+
+@query("o06_stump_nodes", S.with_sql(S.CENSUS_SQL, _STUMP) + f"""
+SELECT side, CAST(rows AS BIGINT) AS rows, CAST(positives AS DOUBLE) AS positives, {r4('2 * positives / rows * (1 - positives / rows)')} AS impurity,
+  cut::DOUBLE AS threshold FROM (SELECT 'all' AS side, n AS rows, y AS positives, cut FROM best UNION ALL
+  SELECT 'left', n0, y0, NULL FROM best UNION ALL SELECT 'right', n - n0, y - y0, NULL FROM best)""")
+def stump_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three nodes of a tree of one split."""
+    model, _ = _stump(spark, sf_dir)
+    nodes = O.tree_nodes(model, spark)
+    side = F.element_at(F.array(F.lit("all"), F.lit("left"), F.lit("right")), F.col("id") + 1)
+    inner = F.when(F.col("left").isNotNull(), F.col("threshold"))
+    return nodes.select(
+        side.alias("side"), F.col("rows").cast("bigint").alias("rows"), F.col("class_counts")[1].cast("double").alias("positives"),
+        tidy(F.col("impurity")).alias("impurity"), inner.alias("threshold"),
+    )
+
+
 # ------------------------------------------------------------------ tuning
 
 
+def _search(spark: SparkSession, sf_dir: str, kind: str):
+    """A two-fold search over the whole grid on the census rows, and the rows kept back."""
+    train, test, _ = census_parts(spark, sf_dir)
+    estimator = L.logistic() if kind == "logistic" else L.boosted_trees()
+    params = N.logistic_grid(estimator) if kind == "logistic" else N.boosted_grid(estimator)
+    return N.cross_validate(estimator, params, N.fold_by_hash(train, "id", 2)), test
+
+
+def winner_report(model, test: DataFrame) -> DataFrame:
+    """All measures and the confusion counts of the model that won, on rows it has not seen; its scores are written once."""
+    scored = settle(L.score(model.bestModel, test, ["id"]))
+    counts = M.confusion_counts(scored)
+    return _measures(scored).select("*", *[counts.select(c).scalar().alias(c) for c in ("tp", "fp", "fn", "tn")])
+
+
+@query("l07_tuned_logistic_report")
+def tuned_logistic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winner_report(*_search(spark, sf_dir, "logistic"))
+
+
+@query("l07_tuned_boosted_report")
+def tuned_boosted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winner_report(*_search(spark, sf_dir, "boosted"))
+
+
+@query("l07_tuned_scored_rows")
+def tuned_scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label, prediction and probability of the logistic model that won, for every row kept back."""
+    found, test = _search(spark, sf_dir, "logistic")
+    return L.score(found.bestModel, test, ["id"])
+
+
+@query("n03_boosted_best_params")
+def boosted_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.best_params(spark, _search(spark, sf_dir, "boosted")[0])
+
+
 @query("n01_logistic_grid")
 def logistic_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 18 combinations with their two-fold score on the census rows."""

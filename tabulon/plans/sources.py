@@ -52,6 +52,15 @@ def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.first_lines(spark, files.write_csv(clean, scratch_path(spark, "logs")), 5)
 
 
+@query("a04_lowest_lines", """
+SELECT value FROM (SELECT CAST(s_suppkey AS VARCHAR) || ',' || s_name || ',' || CAST(s_nationkey AS VARCHAR) AS value FROM supplier
+UNION ALL SELECT 's_suppkey,s_name,s_nationkey') ORDER BY value LIMIT 5""")
+def lowest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest lines of a CSV file with a header, as text."""
+    rows = S.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return files.lowest_lines(spark, files.write_csv(rows, scratch_path(spark, "suppliers")), 5)
+
+
 _CLEAN_SQL = S.with_sql(S.LINES_SQL, S.PARSED_SQL, S.LOGS_SQL) + 'SELECT * FROM logs'
 _CLEAN_SCHEMA = (
     "host STRING, method STRING, endpoint STRING, protocol STRING, status INT, content_size BIGINT, time TIMESTAMP_NTZ"

@@ -48,10 +48,16 @@ def write_json(df: DataFrame, path: str) -> str:
 
 
 def first_lines(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    """A look at the raw lines of what was written."""
+    """A look at the raw lines of what was written, in no stated order."""
     return read_lines(spark, path).limit(n)
 
 
+def lowest_lines(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
+    """The raw lines that come first by their text: the same ones however the files are laid out."""
+    lines = read_lines(spark, path)
+    return lines.orderBy(lines.columns[0]).limit(n)
+
+
 def rename_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rename every column by position."""
     if len(names) != len(df.columns):

@@ -98,6 +98,37 @@ def test_cross_validation_picks_the_best_average(spark, parts):
     assert {r["param"]: r["value"] for r in N.best_params(spark, model).collect()}["regParam"] == "0.01"
 
 
+def test_winner_report_against_sql_over_the_scores(spark, parts):
+    import duckdb
+
+    from tabulon.plans.models import winner_report
+
+    train, test, _ = parts
+    estimator = L.boosted_trees()
+    found = N.cross_validate(estimator, N.grid(estimator, maxDepth=[1, 3], maxIter=[2]), N.fold_by_hash(train, "id", 2))
+    rows = L.score(found.bestModel, test, ["id"]).toPandas()  # noqa: F841
+    tp, fp, fn, tn, auc = duckdb.sql("""SELECT count(*) FILTER (label = 1 AND prediction = 1), count(*) FILTER (label = 0 AND prediction = 1),
+      count(*) FILTER (label = 1 AND prediction = 0), count(*) FILTER (label = 0 AND prediction = 0),
+      (SELECT avg(CASE WHEN a.probability > b.probability THEN 1 WHEN a.probability = b.probability THEN 0.5 ELSE 0 END)
+       FROM rows a, rows b WHERE a.label = 1 AND b.label = 0) FROM rows""").fetchall()[0]
+    got = winner_report(found, test).first()
+    assert (got["tp"], got["fp"], got["fn"], got["tn"]) == (tp, fp, fn, tn) and tp + fp + fn + tn == test.count()
+    assert got["auc"] == pytest.approx(auc) and got["accuracy"] == pytest.approx((tp + tn) / test.count())
+    assert got["precision"] == pytest.approx(tp / (tp + fp)) and got["recall"] == pytest.approx(tp / (tp + fn))
+
+
+def test_given_coefficients_equal_the_model(spark, parts):
+    train, test, _ = parts
+    model = L.fit(L.logistic(20, 0.4), train.select("label", "a", "b").transform(lambda d: K.as_vector(d.withColumn("v", F.array("a", "b")), "v")))
+    a, b = model.coefficients.toArray()
+    own = K.as_vector(test.withColumn("v", F.array("a", "b")).drop("features"), "v")
+    expected = {r["id"]: (r["probability"], r["prediction"]) for r in L.score(model, own, ["id"]).collect()}
+    for r in L.linear_scores(test, {"a": a, "b": b}, model.intercept, 0.4).collect():
+        assert r["probability"] == pytest.approx(expected[r["id"]][0]) and r["prediction"] == expected[r["id"]][1]
+    empty = spark.createDataFrame([(None,)], "a double")
+    assert L.linear_scores(empty, {"a": 1.0}).first()["prediction"] is None
+
+
 def test_param_docs(spark):
     rows = {r["param"]: r for r in O.param_docs(L.boosted_trees(10), spark).collect()}
     assert rows["maxIter"]["value"] == "10" and rows["maxIter"]["doc"]
