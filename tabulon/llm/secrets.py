@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -40,10 +41,12 @@ VALUE = re.compile(r"[=>]?[ \t]{0,8}(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|([^\s\"'
 #: Words beside a credential, and words beside other long values.
 CREDENTIAL = re.compile(r"token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|credential|bearer|client.?key|signing", re.I)
 HARMLESS = re.compile(r"commit|revision|sha\d*|md5|checksum|digest|uuid|guid|\bid\b|number|serial|version|hash|build|etag|order|phone|card|iban", re.I)
+#: Published prefixes of credentials.
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "AIza", "npm_", "pypi-", "eyJ")
 LETTERS = re.compile(r"[a-z]+")
 FEATURES = (
     "length", "digits", "capitals", "different", "entropy", "transitions", "turns", "coverage", "longest_word",
-    "hex", "path", "file", "credential", "harmless", "assigned", "quoted", "bearer", "signs", "distance", "user", "block", "spaces",
+    "hex", "path", "file", "credential", "harmless", "assigned", "quoted", "bearer", "signs", "distance", "user", "block", "spaces", "prefix",
 )
 
 
@@ -95,9 +98,11 @@ def lexicon(docs: DataFrame, text: str = "text", one_in: int = ONE_IN) -> Lexico
 
 
 def spans(text: str) -> list[tuple[int, int]]:
-    """Where the candidates of a text are, in order; those that overlap are joined."""
-    found = [m.span() for m in RUN.finditer(text)]
-    found += [m.span() for m in KEY_BLOCK.finditer(text)]
+    """Where the candidates of a text are, in order; those that overlap are joined.
+
+    A run that takes in the name before an assigned value begins with the value.
+    """
+    found = [m.span() for m in KEY_BLOCK.finditer(text)]
     found += [m.span(1) for m in USER_PART.finditer(text)]
     for m in ASSIGN.finditer(text):
         if NAMED.search(text[max(0, m.start() - 40) : m.start()]):
@@ -105,6 +110,12 @@ def spans(text: str) -> list[tuple[int, int]]:
             if value:
                 found.append(value.span(value.lastindex))
     found.sort()
+    starts = [a for a, _ in found]
+    for m in RUN.finditer(text):
+        after = bisect_right(starts, m.start())
+        inside = after < len(starts) and starts[after] < m.end()
+        found.append((starts[after] if inside else m.start(), m.end()))
+    found.sort()
     out: list[tuple[int, int]] = []
     for start, end in found:
         if out and start < out[-1][1]:
@@ -150,6 +161,7 @@ def features(words: Lexicon, text: str, start: int, end: int) -> list[float]:
         float(back[:1] == "@" and re.search(r"://[^\s/@]*:$", near) is not None),
         float(value.startswith("-----BEGIN")),
         sum(c.isspace() for c in value) / n,
+        float(value.startswith(PREFIXES)),
     ]
 
 
@@ -180,9 +192,9 @@ def candidates(docs: DataFrame, words: Lexicon, key: str = "doc_id", text: str =
 
 #: How credentials and harmless values are written, for the findings made here.
 SECRET_FORMS = (
-    'secret: "{b40}"', "password = '{b24}'", 'api_key="{hex32}"', "aws_access_key_id = AKIA{cap16}", "Authorization: Bearer {b48}",
+    'secret: "{b40}"', "password = '{b24}'", 'api_key="{hex32}"', "aws_access_key_id = AKIA{cap16}", "AKIA{cap16}", "{word} ghp_{b36}", "Authorization: Bearer {b48}",
     'client_secret = "{b32}"', "auth_token={hex40}", 'access_key: {b40}', "export API_TOKEN=ghp_{b36}", 'private_key = "{hex64}"',
-    "password = '{pass12}'", 'passwd: "{pass9}"', "pwd={pass10}", "DB_PASSWORD={word}{pass6}", "mysql://{word}:{pass11}@{word}.example:3306/{word}",
+    "password = '{pass12}'", 'passwd: "{pass9}"', "pwd={pass10}", "DB_SECRET={hex24}", "passphrase={b20}", "DB_PASSWORD={word}{pass6}", "mysql://{word}:{pass11}@{word}.example:3306/{word}",
     "https://{word}:{b20}@host.example/{word}", "Authorization: Bearer eyJ{b33}.eyJ{b60}.{b43}",
     "-----BEGIN RSA PRIVATE KEY-----\n{b64}\n{b64}\n{b40}\n-----END RSA PRIVATE KEY-----",
 )
