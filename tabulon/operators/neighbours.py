@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.vectors import distances, matrix, measured, tiles, within  # noqa: F401
-from tabulon.operators.ordered import with_group_values
+from tabulon.operators.ordered import positions, with_group_values
 from tabulon.operators.pivots import CELL_ROWS, PivotIndex
 from tabulon.session import settle, spread_groups
 
@@ -230,37 +230,41 @@ def mean_silhouettes(df: DataFrame, key: str, vector: str, labelings: Sequence[s
     )
 
 
-def squared_silhouette(df: DataFrame, key: str, vector: str, cluster: str) -> DataFrame:
+def squared_silhouette(df: DataFrame, key: str, vector: str, cluster: str, at_once: int = MOST_CLUSTERS) -> DataFrame:
     """Silhouette by squared distance, from cluster sums alone: one aggregate and one pass.
 
-    The mean squared distance of x to a cluster is |x|² − 2·x·mean + mean|y|².
+    The mean squared distance of x to a cluster is |x|² − 2·x·mean + mean|y|². Rows meet ``at_once`` clusters in a
+    pass; with more clusters there are more passes, which carry the least distance so far.
     """
     base = df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"),
                      F.col(cluster).cast("bigint").alias("c"))
     power = F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda s, x: s + x)
-    clusters = settle(
-        base.groupBy("c").agg(
-            vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("m"),
-            F.avg(power).alias("p"),
-            F.count(F.lit(1)).alias("n"),
-        )
+    sums = base.groupBy("c").agg(
+        vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("m"),
+        F.avg(power).alias("p"),
+        F.count(F.lit(1)).alias("n"),
     )
-    if clusters.count() > MOST_CLUSTERS:
-        raise ValueError(f"more than {MOST_CLUSTERS} clusters; use silhouette()")
-    summary = clusters.agg(F.collect_list(F.struct("c", "m", "p", "n")).alias("clusters"))
-    wide = with_group_values(base.withColumn("xx", power), summary, [])
+    clusters = settle(positions(settle(sums), [], ["c"], "place"))
+    passes = -(-clusters.count() // at_once)
+    none = F.lit(None).cast("double")
+    measured = base.withColumns({"xx": power, "a": none, "b": none})
 
     def mean_distance(s):
         dot = F.aggregate(F.zip_with("v", s["m"], lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
         return F.struct(s["c"].alias("c"), s["n"].alias("n"), (F.col("xx") - 2 * dot + s["p"]).alias("d"))
 
-    measured = wide.withColumn("ds", F.transform("clusters", mean_distance))
-    own = F.element_at(F.filter("ds", lambda s: s["c"] == F.col("c")), 1)
-    a = F.try_divide(own["d"] * own["n"], own["n"] - 1)
-    b = F.array_min(F.transform(F.filter("ds", lambda s: s["c"] != F.col("c")), lambda s: s["d"]))
-    scored = measured.select("key", "c", a.alias("a"), b.alias("b"))
+    for k in range(passes):
+        some = clusters.where((F.col("place") >= k * at_once) & (F.col("place") < (k + 1) * at_once))
+        summary = some.agg(F.collect_list(F.struct("c", "m", "p", "n")).alias("clusters"))
+        wide = with_group_values(measured, summary, []).withColumn("ds", F.transform("clusters", mean_distance))
+        own = F.get(F.filter("ds", lambda s: s["c"] == F.col("c")), F.lit(0))
+        other = F.array_min(F.transform(F.filter("ds", lambda s: s["c"] != F.col("c")), lambda s: s["d"]))
+        a = F.try_divide(own["d"] * own["n"], own["n"] - 1)
+        measured = wide.select("key", "c", "v", "xx", F.coalesce("a", a).alias("a"), F.least("b", other).alias("b"))
+        if passes > 1:
+            measured = settle(measured)
     value = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return scored.select(F.col("key").alias(key), F.col("c").alias(cluster), value.alias("silhouette"))
+    return measured.select(F.col("key").alias(key), F.col("c").alias(cluster), value.alias("silhouette"))
 
 
 def nearest(

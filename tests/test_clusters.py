@@ -281,3 +281,21 @@ def test_silhouette_measures_only_clusters_that_can_be_nearest(spark):
         a, b = means[c[i]], np.delete(means, c[i]).min()
         assert found[i] == pytest.approx((b - a) / max(a, b), abs=1e-9)
     assert B._possible_clusters(base.selectExpr("key", "v", "key % 2 AS c0"), ["c0"]) is None
+
+
+def test_squared_silhouettes_in_several_passes(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=3) + 4 * (i % 11)).tolist(), i % 11) for i in range(300)] + [(300, [99.0, 0.0, 0.0], 50)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, c int")
+    x, c = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    expected = []
+    for i in range(len(x)):
+        own = c == c[i]
+        a = d[i, own].sum() / max(own.sum() - 1, 1)
+        b = min(d[i, c == k].mean() for k in set(c) - {c[i]})
+        expected.append((b - a) / max(a, b) if own.sum() > 1 else 0.0)
+    for at_once in (4, 5, 10_000):
+        got = [r["silhouette"] for r in B.squared_silhouette(df, "id", "v", "c", at_once).orderBy("id").collect()]
+        assert got == pytest.approx(expected)
+    assert B.squared_silhouette(df.limit(0), "id", "v", "c").count() == 0
