@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -207,3 +209,60 @@ def vector_links(rows, limit):
         r = root(i)
         least[r] = k if r not in least or (k is not None and k < least[r]) else least[r]
     return [(k, links[i], least[root(i)], k == least[root(i)]) for i, (k, _, _) in enumerate(rows)]
+
+
+BYTE_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def quality_statistics(text):
+    """What ``quality.statistics`` counts, from plain lists of words."""
+    data = (text or "").encode()
+    words = BYTE_WORD.findall(data)
+    sizes = [len(w.decode()) for w in words]
+    count, chars = len(words), sum(sizes)
+    mean = chars / max(count, 1)
+    spread = math.sqrt(max(sum(s * s for s in sizes) / max(count, 1) - mean**2, 0))
+    of = lambda signs: sum(chr(b) in signs for b in data if b < 128)
+    share = lambda part, whole: math.log((part + 0.5) / (max(whole - part, 0) + 0.5))
+    triples = list(zip(words, words[1:], words[2:]))
+    lines = [tuple(found) for found in map(BYTE_WORD.findall, data.split(b"\n")) if found]
+    return [
+        math.log1p(count), math.log1p(mean), math.log1p(spread),
+        share(of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), chars), share(of("0123456789"), chars), share(of("#*$%&|<>@^~{}[]\\=+_`"), chars),
+        share(of("!?"), chars), share(of(".,;:"), chars), share(len(set(words)), count), share(len(set(triples)), len(triples)),
+        share(sum(a == b for a, b in zip(words, words[1:])), count), math.log1p(count / max(len(lines), 1)),
+        share(len(set(lines)), len(lines)), share(max(Counter(words).values(), default=0), count),
+    ]
+
+
+def discriminant_scores(labelled, rows, shrinkage, least, most):
+    """Scores of ``rows`` by class densities: determinants and solved systems instead of factors."""
+    x = np.array(rows)
+    logs = []
+    for label in (0, 1):
+        part = np.array([s for s, y in labelled if y == label])
+        covariance = np.cov(part.T, bias=True)
+        shrunk = (1 - shrinkage) * covariance + shrinkage * np.diag(np.maximum(np.diag(covariance), least)) + least * np.eye(x.shape[1])
+        centred = x - part.mean(0)
+        squared = (centred * np.linalg.solve(shrunk, centred.T).T).sum(1)
+        logs.append(-0.5 * squared - 0.5 * np.linalg.slogdet(shrunk)[1] + math.log(len(part) / len(labelled)))
+    return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -most, most)))
+
+
+def language_grams(text):
+    """Every run of four folded bytes that does not end in three spaces."""
+    fold = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in (text or "").encode())
+    return [g for g in (fold[i : i + 4] for i in range(len(fold) - 3)) if g[1:] != b"   "]
+
+
+def language_sets(rows, least, share):
+    """The n-grams that each language keeps: met often, and not far below its rate in another language."""
+    counts = {}
+    for text, lang in rows:
+        counts.setdefault(lang, Counter()).update(language_grams(text))
+    rates = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    top = {}
+    for found in rates.values():
+        for g, r in found.items():
+            top[g] = max(r, top.get(g, 0))
+    return {lang: {g for g, n in c.items() if n >= least and rates[lang][g] >= share * top[g]} for lang, c in counts.items()}

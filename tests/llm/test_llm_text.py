@@ -5,6 +5,7 @@ import random
 
 import brute
 import public_tokenizers
+import numpy as np
 import pytest
 import tiktoken
 from corpora import documents, filler
@@ -157,3 +158,41 @@ def test_quality_without_labels(spark, messy):
     both = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (12, 0), (10, 0)], "doc_id bigint, quality int")
     scores = [r["score"] for r in quality.scored(messy, quality.learn(messy, both)).collect()]
     assert all(0 <= s <= 1 for s in scores)
+
+
+def test_quality_scores_match_plain_statistics_and_densities(spark, messy, messy_rows):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    given = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r["quality"] in (0, 1)}
+    plain = [(r["doc_id"], brute.quality_statistics(r["text"])) for r in docs.collect()]
+    model = quality.learn(docs, spark.createDataFrame(list(given.items()), "doc_id bigint, quality int"))
+    labelled = [(s, given[k]) for k, s in plain if k in given]
+    rows = [*plain, *[(r[0], brute.quality_statistics(r[1])) for r in messy_rows]]
+    expected = brute.discriminant_scores(labelled, [s for _, s in rows], quality.SHRINKAGE, quality.LEAST_VARIANCE, quality.MOST_LOG_ODDS)
+    found = [(r["doc_id"], r["score"]) for d in (docs, messy) for r in quality.scored(d.select("doc_id", "text"), model).collect()]
+    order = lambda pairs: np.array(sorted((-1 if k is None else k, s) for k, s in pairs))
+    got, wanted = order(found), order((k, s) for (k, _), s in zip(rows, expected))
+    assert got.shape == wanted.shape and np.abs(got - wanted).max() < 1e-6
+
+
+def test_language_counts_match_plain_sets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    profile = langid.learn(docs)
+    sets = brute.language_sets([(r["text"], r["lang"]) for r in rows if r["text"] and r["lang"]], langid.LEAST_COUNT, langid.RATE_SHARE)
+    assert profile.languages == sorted(sets)
+    found, close = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, profile).collect()}, 0
+    for r in rows:
+        data = np.frombuffer((r["text"] or "").encode(), np.uint8)
+        grams = brute.language_grams(r["text"])
+        exact = np.array([sum(g in sets[lang] for g in grams) for lang in profile.languages])
+        corrected = profile.counts(data, np.array([0, len(data)]))[0]
+        # A filter never misses an n-gram; what it adds lies within its false positives, corrected by their mean.
+        raw = corrected * (1 - profile.false) + len(grams) * profile.false
+        slack = 6 * np.sqrt(len(grams) * profile.false + 1) + 2
+        assert (raw >= exact - 1e-6).all() and (np.abs(corrected - exact) <= slack).all()
+        order = np.sort(exact)
+        if len(order) > 1 and order[-1] - order[-2] > 2 * slack.max():
+            close += 1
+            assert found[r["doc_id"]] == profile.languages[int(exact.argmax())]
+    assert close > 0.8 * len(rows)
