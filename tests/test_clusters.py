@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -299,3 +300,15 @@ def test_squared_silhouettes_in_several_passes(spark):
         got = [r["silhouette"] for r in B.squared_silhouette(df, "id", "v", "c", at_once).orderBy("id").collect()]
         assert got == pytest.approx(expected)
     assert B.squared_silhouette(df.limit(0), "id", "v", "c").count() == 0
+
+
+def test_rounds_of_ward_keep_tables_small(spark, capsys):
+    """Neither the partitions nor the estimated size may multiply from round to round."""
+    rng = np.random.default_rng(3)
+    rows = [(i, 1.0, v, None, None, None) for i, v in enumerate(rng.normal(size=(150, 4)).tolist())]
+    live = spark.createDataFrame(rows, "id bigint, w double, c array<double>, cost double, drawn bigint, other bigint")
+    for _ in range(3):
+        live, _ = ward._round(live, 10_000)
+    live.explain("cost")
+    units = re.findall(r"sizeInBytes=\S+ (\w+)", capsys.readouterr().out)
+    assert set(units) <= {"B", "KiB"} and live.rdd.getNumPartitions() <= 16
