@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 
+from tabulon.functions import vectors
 from tabulon.operators import clustering as C, density as D, evaluate as M, neighbours as B, pivots, ward
 
 BLOBS = [(x + dx, y + dy) for x, y in ((0, 0), (10, 0), (0, 10)) for dx, dy in ((0, 0), (0.5, 0), (0, 0.5), (0.5, 0.5), (0.25, 0.25))]
@@ -312,3 +314,55 @@ def test_rounds_of_ward_keep_tables_small(spark, capsys):
     live.explain("cost")
     units = re.findall(r"sizeInBytes=\S+ (\w+)", capsys.readouterr().out)
     assert set(units) <= {"B", "KiB"} and live.rdd.getNumPartitions() <= 16
+
+
+@pytest.mark.parametrize("reach", [2.0, 3.0, 5.0**0.5])
+def test_whole_numbers_within_reach(reach):
+    """Exact at the limit, without measuring again: whole numbers, and others that are."""
+    rng = np.random.default_rng(4)
+    for x in (rng.integers(0, 2, size=(90, 31)).astype(float), rng.integers(0, 2, size=(90, 31)) * 0.1, rng.normal(size=(90, 2))):
+        d = np.sqrt(((x[:40, None] - x[None]) ** 2).sum(-1))
+        got = np.concatenate([close for _, close in vectors.within_tiles(x[:40], x, reach)])
+        assert (got == (d <= reach)).all()
+        assert np.allclose(np.concatenate([m for _, m in vectors.distance_tiles(x[:40], x)]), d, atol=1e-7)
+
+
+def test_core_links_of_dense_blocks_span_every_cluster(spark):
+    """Binary vectors with many pairs at the limit, copies and noise, against brute force."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 2, size=(220, 12)) * (rng.random((220, 1)) < 0.8) + np.eye(12)[rng.integers(0, 12, 220)] * 4
+    core, label = brute_density(x, 1.0, 4)
+    assert 1 < len(set(label[core]))
+    found = {r["id"]: (r["core"], r["label"]) for r in D.density_clusters(points(spark, x.tolist()), "id", "v", 1.0, 4, block_rows=50).collect()}
+    assert [found[i] for i in range(220)] == list(zip(core.tolist(), label.tolist()))
+
+
+def test_many_ties_go_to_the_smaller_keys(spark):
+    """More rows at the same distance than any fixed number of spare candidates, told apart only by rounding."""
+    x = [[0.0] * 12, *[v for v in (np.array(list(itertools.permutations([0.1, 0.3, 0.7])))[:, [0, 1, 2] * 4] * 1.1).tolist() for _ in range(12)]]
+    x += [list(np.roll(v, 1)) for v in x[1:]]
+    found = B.nearest(points(spark, x), "id", "v", 3).where("id = 0").orderBy("rank").collect()
+    d = np.sqrt((np.array(x) ** 2).sum(1))
+    order = [i for i in np.lexsort((np.arange(len(x)), d)) if i][:3]
+    assert [r["neighbour"] for r in found] == order
+
+
+def test_silhouettes_of_several_labelings_with_copies_and_nulls(spark):
+    """One round of distances for all labelings; copies are one weighted point; rows without a cluster are in none."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(30, 10))
+    x = base[rng.integers(0, 30, 120)]
+    a, b = rng.integers(0, 3, 120), rng.integers(0, 4, 120)
+    rows = [(i, x[i].tolist(), int(a[i]), int(b[i]) if b[i] < 3 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, a int, b int")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    found = {(r["id"], r["labeling"]): r["silhouette"] for r in B.silhouettes(df, "id", "v", ["a", "b"], 25).collect()}
+    assert len(found) == 240
+    for name, c in (("a", a), ("b", b)):
+        for i in range(120):
+            if name == "b" and c[i] == 3:
+                assert found[i, name] == 0.0
+                continue
+            own = d[i, c == c[i]].sum() / ((c == c[i]).sum() - 1)
+            other = min(d[i, c == k].mean() for k in range(3) if k != c[i])
+            assert found[i, name] == pytest.approx((other - own) / max(own, other), abs=1e-6)
