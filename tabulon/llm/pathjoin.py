@@ -32,6 +32,8 @@ RECALL = 0.999
 BUCKET, BLOCK = 64, 256
 #: Text of a block of an exact comparison, on average.
 BLOCK_TEXT = 4 << 20
+#: Text that is embedded at a time: a worker holds about 60 bytes of arrays for each of them.
+EMBED_TEXT = 1 << 19
 #: Four standard errors of the embedded similarity below the threshold.
 NEAR = SIMILARITY - 4 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / EMBEDDED)
 
@@ -73,7 +75,7 @@ def _embed(batches):
     """For each text: two sums over its set that name it, and the min-hashes."""
     factors = mix(np.arange(1, EMBEDDED + 1, dtype=U64)).astype(np.uint32) | np.uint32(1)
     for batch in batches:
-        for part, data, offsets in text_blocks(batch):
+        for part, data, offsets in text_blocks(batch, limit=EMBED_TEXT):
             rows, grams = shingle_sets(data, offsets)
             present, first = np.unique(rows, return_index=True)
             name1, name2 = np.zeros(len(part), U64), np.zeros(len(part), U64)

@@ -404,3 +404,22 @@ def test_benchmark_changed_values_are_found(spark):
     got = contaminated(spark, items, rows)
     assert sum((k, k) in got and not got[k, k][1] for k in range(80)) >= 76
     assert all(d == i for d, i in got)
+
+
+def test_embedding_holds_few_arrays_at_a_time():
+    """The same rows in small blocks of text, with less memory at the peak than a block of 2 MB takes."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tabulon.llm import pathjoin
+
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map(str, rng.integers(0, 9999, 400))) for _ in range(1500)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(1500), pa.int64()), "text": texts})
+    tracemalloc.start()
+    found = list(pathjoin._embed([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in found) == 1500 and peak < 60 << 20
