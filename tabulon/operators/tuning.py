@@ -47,6 +47,14 @@ def fold_by_hash(df: DataFrame, key: str, folds: int, name: str = "fold") -> Dat
     return df.withColumn(name, F.pmod(F.xxhash64(F.lit("fold"), F.col(key).cast("string")), F.lit(folds)).cast("int"))
 
 
+def pooled(df: DataFrame, columns: Sequence[str], weight: str = "weight") -> DataFrame:
+    """Equal rows over the given columns as one row with their number as its weight.
+
+    For estimators that draw no rows and set no least number of rows in a node, to which a weight is as good as copies.
+    """
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(weight))
+
+
 def cross_validate(
     estimator,
     params: list[dict],
@@ -55,17 +63,23 @@ def cross_validate(
     fold_column: str = "fold",
     evaluator: Evaluator | None = None,
     parallelism: int = 4,
+    weight: str | None = None,
 ) -> CrossValidatorModel:
-    """Fit every combination on every fold; keep the one with the best average."""
+    """Fit every combination on every fold; keep the one with the best average.
+
+    Only the label, the features, the fold and the weight are kept, since every fold is cached.
+    """
+    measure = {"weightCol": weight} if weight else {}
+    columns = [estimator.getLabelCol(), estimator.getFeaturesCol(), fold_column, *([weight] if weight else [])]
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=params,
-        evaluator=evaluator or BinaryClassificationEvaluator(rawPredictionCol="rawPrediction"),
+        evaluator=evaluator or BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", **measure),
         numFolds=folds,
         foldCol=fold_column,
         parallelism=parallelism,
     )
-    return fit(validator, df)
+    return fit(validator, df.select(*columns))
 
 
 def grid_results(spark, model: CrossValidatorModel) -> DataFrame:

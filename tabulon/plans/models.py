@@ -193,9 +193,17 @@ def stump_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _search(spark: SparkSession, sf_dir: str, kind: str):
     """A two-fold search over the whole grid on the census rows, and the rows kept back."""
     train, test, _ = census_parts(spark, sf_dir)
-    estimator = L.logistic() if kind == "logistic" else L.boosted_trees()
-    params = N.logistic_grid(estimator) if kind == "logistic" else N.boosted_grid(estimator)
-    return N.cross_validate(estimator, params, N.fold_by_hash(train, "id", 2)), test
+    if kind == "boosted":
+        return _boosted_search(train), test
+    estimator = L.logistic()
+    return N.cross_validate(estimator, N.logistic_grid(estimator), N.fold_by_hash(train, "id", 2)), test
+
+
+def _boosted_search(train: DataFrame):
+    """A two-fold search over the boosted trees; equal rows of a fold are one weighted row, which all trees read."""
+    rows = N.pooled(N.fold_by_hash(train, "id", 2), ["fold", "label", "features"])
+    estimator = L.boosted_trees(weightCol="weight")
+    return N.cross_validate(estimator, N.boosted_grid(estimator), rows, weight="weight")
 
 
 def winner_report(model, test: DataFrame) -> DataFrame:
@@ -240,9 +248,7 @@ def logistic_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def boosted_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two depths by two lengths of boosting, 10 and 100 rounds."""
     train, _, _ = census_parts(spark, sf_dir)
-    folded = N.fold_by_hash(train, "id", 2)
-    estimator = L.boosted_trees()
-    return N.grid_results(spark, N.cross_validate(estimator, N.boosted_grid(estimator), folded))
+    return N.grid_results(spark, _boosted_search(train))
 
 
 @query("n03_best_params")

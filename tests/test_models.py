@@ -206,3 +206,22 @@ def test_partial_dependence_by_leaves_equals_scoring_every_row(spark, sf_dir, gr
         assert set(fast) == set(slow)
         for k, (p, n) in slow.items():
             assert fast[k][0] == pytest.approx(p, abs=1e-9) and fast[k][1] == n
+
+
+def test_boosted_search_on_pooled_rows_is_that_on_all_rows(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from tabulon.operators import models as L, tuning as N
+
+    x = F.pmod(F.xxhash64("id"), F.lit(9)).cast("double")
+    y = F.pmod(F.xxhash64(F.col("id") + 1000), F.lit(5)).cast("double")
+    noisy = (x + y + F.pmod(F.xxhash64(F.col("id") + 5000), F.lit(7)) > 9).cast("double")
+    rows = spark.range(900).select("id", array_to_vector(F.array(x, y)).alias("features"), noisy.alias("label"))
+    folded = N.fold_by_hash(rows, "id", 2)
+    pooled = N.pooled(folded, ["fold", "label", "features"])
+    assert pooled.count() <= 2 * 2 * 45 and pooled.agg(F.sum("weight")).first()[0] == 900
+    plain, weighted = L.boosted_trees(), L.boosted_trees(weightCol="weight")
+    a = N.cross_validate(plain, N.grid(plain, maxDepth=[2, 3], maxIter=[3]), folded).avgMetrics
+    b = N.cross_validate(weighted, N.grid(weighted, maxDepth=[2, 3], maxIter=[3]), pooled, weight="weight").avgMetrics
+    assert [round(m, 6) for m in a] == [round(m, 6) for m in b]
