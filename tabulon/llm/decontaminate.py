@@ -52,14 +52,15 @@ def _split(text: Column) -> Column:
 def _token(word: Column, low: Column, before: Column, starts: bool) -> Column:
     """The template token of a word, given it in lower case and the word before it (null for the first)."""
     first, second = F.substring(word, 1, 1), F.substring(word, 2, 1)
-    digit = lambda c: c.between("0", "9")
-    number, unmarked = digit(first), lambda c: c
+    digit = lambda c: (c >= "0") & (c < ":")  # noqa: E731  # of what begins with one
+    number, unmarked = digit(word), lambda c: c
     if starts:
         number, unmarked = number | ((first == START) & digit(second)), lambda c: F.ltrim(c, F.lit(START))
-    kind = F.when(number, NUMBER).when(low.isin(UNITS) & digit(F.substring(unmarked(before), 1, 1)), UNIT)
+    kind = F.when(number, NUMBER).when(low.isin(UNITS) & digit(unmarked(before)), UNIT)
     if starts:
         kind = kind.when(first == START, F.substring(low, 2, 1 << 30))
-    return kind.when((first != F.substring(low, 1, 1)) & (second != "") & (second != F.upper(second)), NAME).otherwise(low)
+    # Most words are in lower case: comparing them whole leaves the rest of the test out.
+    return kind.when((word != low) & (first != F.substring(low, 1, 1)) & (second != "") & (second != F.upper(second)), NAME).otherwise(low)
 
 
 def _tokens(table: DataFrame, key: str, text: str, starts: bool) -> DataFrame:
@@ -73,10 +74,6 @@ def _tokens(table: DataFrame, key: str, text: str, starts: bool) -> DataFrame:
     return once(step, name, tokens=tokens, low=low)
 
 
-def _window_hashes(values: str, width: int, exact: bool) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.size(values) - width), lambda p: _window_hash(values, p, width, exact))
-
-
 def _window_hash(values: str, place: Column, width: int | Column, exact: bool) -> Column:
     part = F.slice(values, place + 1, width)
     return F.xxhash64(F.lit("words"), part) if exact else F.xxhash64(part)
@@ -86,12 +83,17 @@ def window_hashes(table: DataFrame, key: str, widths: dict[bool, Sequence[int]],
     """``key`` and the hash of every window of the given widths: of words (True), and of template tokens (False)."""
     step = _tokens(table, key, text, False)
     step = once(step, ["key"], words=F.transform("low", lambda w: F.xxhash64(w)), hashes=F.transform("tokens", lambda t: F.xxhash64(t)))
-    size = F.size("words")
-    parts = []
-    for exact, values in ((True, "words"), (False, "hashes")):
-        for width in widths[exact]:
-            parts.append(F.when(size >= width, _window_hashes(values, width, exact)).otherwise(F.array().cast("array<bigint>")))
-    return step.select("key", F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("h"))
+    sought = [(exact, values, w) for exact, values in ((True, "words"), (False, "hashes")) for w in widths[exact]]
+    least, p = min(w for _, _, w in sought), F.col("p")
+    places = F.when(F.size("words") >= least, F.sequence(F.lit(0), F.size("words") - least))
+    step = step.select("key", "words", "hashes", F.explode(places).alias("p"))
+
+    def window(exact: bool, values: str, width: int) -> Column:
+        # The hash of a slice, written out: so it runs as generated code, which a lambda does not.
+        h = F.xxhash64(*[F.lit("words")] * exact, *[F.get(values, p + k) for k in range(width)])
+        return h if width == least else F.when(p + width <= F.size(values), h)
+
+    return step.select("key", F.explode(F.array(*[window(*w) for w in sought])).alias("h")).where("h is not null")
 
 
 def template_windows(

@@ -213,6 +213,16 @@ def test_windows_run_without_python(messy):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_window_hashes_are_generated_code_and_the_same(spark, messy):
+    rows = [(100, "Ann paid 5 kg of Ünder ßtone by 12 May. ÉTÉ bob 7 days"), (101, "one two three"), (102, None), (103, "one two"), (None, "a b c d")]
+    docs = messy.unionByName(documents(spark, rows))
+    for widths in ({True: [8], False: [8]}, {True: [2, 8], False: [3]}, {True: [], False: [3]}):
+        found = decontaminate.window_hashes(docs, "doc_id", widths)
+        whole = decontaminate.template_windows(docs, "doc_id", widths=widths).select("key", "h")
+        assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
+        assert "slice(" not in found._jdf.queryExecution().optimizedPlan().toString()  # a lambda over windows
+
+
 @pytest.fixture(scope="module")
 def forest(spark):
     return secrets.fitted(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
