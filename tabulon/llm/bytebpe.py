@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.shared import text_blocks
 
-#: Distinct pre-tokens whose ids a worker remembers; beyond it starts anew, which changes no result.
-REMEMBERED = 500_000
+#: Distinct pre-tokens whose ids a task remembers, and of those the ones learned first, which are the frequent ones,
+#: that a worker takes to its next task: an idle worker keeps its memory while other stages run. Neither changes a result.
+REMEMBERED, TAKEN_ON = 250_000, 50_000
 
 #: Bytes of pre-tokens that share a queue, one pre-token at least.
 MERGED_TOGETHER = 1 << 18
@@ -181,11 +183,17 @@ class Codec:
         known = self.known
         new = set().union(*split).difference(known)
         if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set().union(*split)
+            known = self.forget()
+            new = set().union(*split).difference(known)
         self._learn(new)
         return [b"".join(map(known.__getitem__, tokens)) for tokens in split]
 
+    def forget(self) -> dict[str, bytes]:
+        """Keep the pre-tokens learned first; what is left."""
+        if len(self.known) > TAKEN_ON:
+            self.known = dict(islice(self.known.items(), TAKEN_ON))
+        return self.known
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -196,6 +204,14 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
     return Codec(rank_file, pattern)
 
 
+def remembering(coder: Codec, parts, done):
+    """``done`` of each part of a task, which at its end keeps only what a worker may take on."""
+    try:
+        yield from map(done, parts)
+    finally:
+        coder.forget()
+
+
 def _mapped(docs: DataFrame, key: str, text: str, rank_path: str, pattern: str, row, schema: str) -> DataFrame:
     """``row(ids, decoded bytes)`` for each row; ``schema`` names and types what it returns."""
     with open(rank_path, "rb") as file:  # under a megabyte, read once by the driver
@@ -205,11 +221,13 @@ def _mapped(docs: DataFrame, key: str, text: str, rank_path: str, pattern: str,
 
     def work(batches):
         coder = codec(ranks.value, pattern)
-        for batch in batches:
-            for part, _, _ in text_blocks(batch):
-                texts = [body or "" for body in part.column(1).to_pylist()]
-                rows = [row(ids, coder.decode(ids)) for ids in coder.encode(texts)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, zip(*rows))], names=names)
+
+        def done(part):
+            texts = [body or "" for body in part.column(1).to_pylist()]
+            rows = [row(ids, coder.decode(ids)) for ids in coder.encode(texts)]
+            return pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, zip(*rows))], names=names)
+
+        yield from remembering(coder, (part for batch in batches for part, _, _ in text_blocks(batch)), done)
 
     return kept.mapInArrow(work, f"key {kept.dtypes[0][1]}, {schema}").withColumnRenamed("key", key)
 

@@ -32,7 +32,7 @@ RECALL = 0.999
 BUCKET, BLOCK = 64, 256
 #: Text of a block of an exact comparison, on average.
 BLOCK_TEXT = 4 << 20
-#: Text that is embedded at a time: a worker holds about 60 bytes of arrays for each of them.
+#: Text whose shingles are hashed at a time: a worker holds about 60 bytes of arrays for each of them.
 EMBED_TEXT = 1 << 19
 #: Four standard errors of the embedded similarity below the threshold.
 NEAR = SIMILARITY - 4 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / EMBEDDED)
@@ -295,7 +295,7 @@ def _exact(similarity: float):
                 ids, own = group.column(3).to_numpy(), group.column(4).to_numpy()
                 weight = group.column(5).to_numpy()
                 rows, grams, base = [], [], 0
-                for part, data, offsets in text_blocks(group.to_batches()[0]):
+                for part, data, offsets in text_blocks(group.to_batches()[0], limit=EMBED_TEXT):
                     r, g = shingle_sets(data, offsets)
                     rows.append(r + base)
                     grams.append(g)

@@ -98,6 +98,29 @@ def test_byte_bpe_with_ranks_out_of_order():
         assert [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)] == library.encode_ordinary(text)
 
 
+def test_a_worker_takes_few_pre_tokens_on(monkeypatch):
+    monkeypatch.setattr(bytebpe, "REMEMBERED", 60)
+    monkeypatch.setattr(bytebpe, "TAKEN_ON", 20)
+    with open(queries.RANKS, "rb") as file:
+        ranks = file.read()
+    small, fresh = (bytebpe.Codec(ranks, public_tokenizers.PATTERN) for _ in range(2))
+    for k in range(6):
+        texts = [filler(k, 30), filler(k + 50, 15)]
+        ids = small.encode(texts)
+        fresh.known.clear()
+        assert ids == fresh.encode(texts) and [small.decode(i).decode() for i in ids] == texts
+    first = list(small.known)[:20]
+    assert list(small.forget()) == list(small.known) == first
+    # A task leaves no more than that behind, also when it is stopped half way.
+    coder = bytebpe.codec(ranks, public_tokenizers.PATTERN)
+    work = bytebpe.remembering(coder, iter([filler(k, 60) for k in range(9)]), lambda t: coder.encode([t]))
+    next(work)
+    assert len(coder.known) > 20
+    work.close()
+    assert len(coder.known) == 20
+
+
+
 def test_token_counts_equal_the_library(spark, messy_rows, odd_texts):
     texts = [t for _, t in messy_rows] + odd_texts
     docs = documents(spark, list(enumerate(texts)))
