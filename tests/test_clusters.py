@@ -5,9 +5,11 @@ import re
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from tabulon.functions import vectors
-from tabulon.operators import clustering as C, density as D, evaluate as M, neighbours as B, pivots, ward
+from tabulon.operators import affinity, clustering as C, density as D, evaluate as M, neighbours as B, pivots, ward
+from tabulon.session import scratch_path
 
 BLOBS = [(x + dx, y + dy) for x, y in ((0, 0), (10, 0), (0, 10)) for dx, dy in ((0, 0), (0.5, 0), (0, 0.5), (0.5, 0.5), (0.25, 0.25))]
 
@@ -197,6 +199,48 @@ def test_affinity_matches_the_dense_algorithm(spark):
         assert near == r["exemplar"]
 
 
+def test_affinity_keeps_few_pairs(spark, monkeypatch):
+    """Rows in many strips, two dampings at once: as the dense algorithm, without a list of all pairs."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(c, 0.6, size=(20, 2)) for c in ((0, 0), (4, 0), (0, 4))])
+    s = -((x[:, None] - x[None]) ** 2).sum(-1)
+    np.fill_diagonal(s, np.median(s[~np.eye(len(x), dtype=bool)]))
+    asked, paths = [], []
+    monkeypatch.setattr(affinity, "STRIP_ROWS", 7)
+    monkeypatch.setattr(C, "nearest", lambda *a, **k: asked.append(a[3]) or B.nearest(*a, **k))
+    monkeypatch.setattr(affinity, "scratch_path", lambda spark, name: paths.append(scratch_path(spark, name)) or paths[-1])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<double>")
+    found = C.affinity_sweep(df, "id", "v", [0.5, 0.7], max_iter=30).collect()
+    assert len(found) == 2 * len(x) and set(asked) == {1}
+    for damping in (0.5, 0.7):
+        assert sorted({r["exemplar"] for r in found if r["damping"] == damping}) == dense_affinity(s, damping, 30).tolist()
+    kept = spark.read.schema(affinity.STEP).parquet(paths[0]).where("row is not null").selectExpr("sum(length(row)) / 8 n").first()["n"]
+    assert 0 < kept < len(x) * len(x)
+
+
+def test_affinity_median_and_shift(spark):
+    """Whole numbers and others; the shift of a pair is that of Spark's hash, a null key keeps the hash of the row."""
+    rng = np.random.default_rng(5)
+    for x in (rng.integers(0, 4, (33, 10)).astype(float), rng.normal(size=(34, 11)) + 50):
+        seeds = np.zeros(len(x), np.int64)
+        left = {"chunk": 0, "code": seeds.tobytes(), "seed": seeds.tobytes(), "named": (seeds == 0).tobytes(), "v": x.tobytes()}
+        fixed = spark.createDataFrame([left], affinity.PACKED).withColumn("block", F.lit(0).cast("bigint"))
+        off = -((x[:, None] - x[None]) ** 2).sum(-1)[~np.eye(len(x), dtype=bool)]
+        assert np.isclose(affinity._median(fixed, len(x), len(off)), np.median(off), rtol=1e-12)
+    keys = [0, 1, -5, 1 << 40, None]
+    pairs = spark.createDataFrame([(a, b) for a in keys for b in keys], "i bigint, k bigint")
+    rows = pairs.selectExpr("xxhash64(i) seed", "coalesce(k, 0) code", "k is not null named", "1.0D + pmod(xxhash64(i, k), 1000) * 1e-12D f").toPandas()
+    got = affinity.shift(*[rows[c].to_numpy() for c in ("seed", "code", "named")])
+    assert got.tolist() == rows["f"].tolist()
+
+
+def test_affinity_with_a_row_without_key(spark):
+    rows = [(i, v) for i, (_, v) in enumerate(points(spark, BLOBS).select("id", "v").collect())] + [(None, [0.0] * 2)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    found = C.affinity_propagation(df, "id", "v", 0.5, max_iter=10).collect()
+    assert len(found) == len(rows) and [r["id"] for r in found if r["exemplar"] is None] == [None]
+
+
 def test_spectral_splits_two_groups(spark):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(c, 0.2, size=(15, 2)) for c in ((0, 0), (4, 4))])
