@@ -1,3 +1,4 @@
+import glob
 import itertools
 import random
 import re
@@ -218,6 +219,36 @@ def test_affinity_keeps_few_pairs(spark, monkeypatch):
     assert 0 < kept < len(x) * len(x)
 
 
+def test_affinity_rounds_leave_no_shuffles(spark):
+    """What the rounds shuffle goes with each round, whenever the driver collects garbage; settings stay as they were."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for d in disks.localDirs() for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+    rows = spark.createDataFrame([(i, [float(i % 7), float(i)]) for i in range(30)], "i bigint, v array<double>").checkpoint()
+    made, before, setting = [], files(), spark.conf.get(name)
+    for rounds in (5, 20):
+        affinity.exemplars(rows, [0.5, 0.9], -4.0, rounds, 100)
+        made.append(len(files() - before))
+        before = files()
+    assert made[1] <= made[0] + 3 and spark.conf.get(name) == setting
+
+
+def test_affinity_ends_one_damping_before_another(spark, monkeypatch):
+    """A damping that has ended keeps no pairs; groups of columns and the few that fill none are read alike."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 0.4, size=(25, 2)) for c in ((0, 0), (5, 0), (0, 5))])
+    s = -((x[:, None] - x[None]) ** 2).sum(-1)
+    np.fill_diagonal(s, np.median(s[~np.eye(len(x), dtype=bool)]))
+    kept, run = [], affinity._step
+    monkeypatch.setattr(affinity, "STRIP_ROWS", 40)
+    monkeypatch.setattr(affinity, "_step", lambda dampings, live, *rest: kept.append(list(live)) or run(dampings, live, *rest))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<double>")
+    found = C.affinity_sweep(df, "id", "v", [0.5, 0.9], max_iter=200).collect()
+    assert [0, 1] in kept and kept[-1] in ([0], [1]) and all(r["converged"] for r in found)
+    for damping in (0.5, 0.9):
+        assert sorted({r["exemplar"] for r in found if r["damping"] == damping}) == dense_affinity(s, damping, 200).tolist()
+
+
 def test_affinity_median_and_shift(spark):
     """Whole numbers and others; the shift of a pair is that of Spark's hash, a null key keeps the hash of the row."""
     rng = np.random.default_rng(5)
