@@ -225,3 +225,51 @@ def test_boosted_search_on_pooled_rows_is_that_on_all_rows(spark):
     a = N.cross_validate(plain, N.grid(plain, maxDepth=[2, 3], maxIter=[3]), folded).avgMetrics
     b = N.cross_validate(weighted, N.grid(weighted, maxDepth=[2, 3], maxIter=[3]), pooled, weight="weight").avgMetrics
     assert [round(m, 6) for m in a] == [round(m, 6) for m in b]
+
+
+def test_search_at_once_equals_the_one_by_one_search(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from tabulon.operators import models as L, tuning as N
+
+    x = F.pmod(F.xxhash64("id"), F.lit(9)).cast("double")
+    noisy = (x + F.pmod(F.xxhash64(F.col("id") + 5000), F.lit(7)) > 7).cast("double")
+    rows = N.fold_by_hash(spark.range(600).select("id", array_to_vector(F.array(x)).alias("features"), noisy.alias("label")), "id", 2)
+    pooled = N.pooled(rows.repartition(16), ["fold", "label", "features"])
+    trees = L.boosted_trees(weightCol="weight")
+    grid = N.grid(trees, maxDepth=[1, 3], maxIter=[2, 4])
+    a = N.cross_validate(trees, grid, pooled, weight="weight")
+    b = N.cross_validate_at_once(trees, grid, pooled, weight="weight")
+    assert [round(m, 9) for m in a.avgMetrics] == [round(m, 9) for m in b.avgMetrics]
+    assert N.best_params(spark, a).collect() == N.best_params(spark, b).collect()
+    assert [r["params"] for r in N.grid_results(spark, a).collect()] == [r["params"] for r in N.grid_results(spark, b).collect()]
+    scores = [{r["id"]: round(r["probability"], 9) for r in L.score(m.bestModel, rows, ["id"]).collect()} for m in (a, b)]
+    assert scores[0] == scores[1]
+    # A job has a task for each partition: small tables have one.
+    assert N._packed(pooled, pooled.count()).rdd.getNumPartitions() == 1
+    with pytest.raises(ValueError, match="empty"):
+        N.cross_validate_at_once(trees, grid, pooled.where("fold = 0"), weight="weight")
+
+
+def test_boosted_search_counts_rows_before_their_features(spark, sf_dir):
+    from tabulon.operators import tuning as N
+    from tabulon.plans import models as P
+    from tabulon.plans.features import census_parts
+
+    seen = []
+
+    def fits(estimator, params, df, **options):
+        seen.append((df, len(params)))
+
+    train, _, fitted = census_parts(spark, sf_dir)
+    before, N.cross_validate_at_once = N.cross_validate_at_once, fits
+    try:
+        P._boosted_search(train, fitted)
+    finally:
+        N.cross_validate_at_once = before
+    rows, params = seen[0]
+    assert params == 4 and rows.agg({"weight": "sum"}).first()[0] == train.count()
+    counts = lambda df: sorted((r["label"], r["fold"], str(r["features"]), r["n"]) for r in df.collect())
+    expected = N.fold_by_hash(train, "id", 2).groupBy("fold", "label", "features").count().withColumnRenamed("count", "n")
+    assert counts(rows.groupBy("fold", "label", "features").agg({"weight": "sum"}).withColumnRenamed("sum(weight)", "n")) == counts(expected)
