@@ -441,3 +441,41 @@ def test_silhouettes_of_several_labelings_with_copies_and_nulls(spark):
             own = d[i, c == c[i]].sum() / ((c == c[i]).sum() - 1)
             other = min(d[i, c == k].mean() for k in range(3) if k != c[i])
             assert found[i, name] == pytest.approx((other - own) / max(own, other), abs=1e-6)
+
+
+def test_ward_compares_blocks_in_small_tables():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    left, right = (rng.integers(0, 2, (n, 31)).astype(float) for n in (1000, 10_000))
+    weights = rng.integers(1, 4, 11_000).astype(float)
+    tracemalloc.start()
+    cost, _, other = ward._nearest(np.arange(1000), weights[:1000], left, np.arange(1000, 11_000), weights[1000:], right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6
+    for i in range(0, 1000, 97):
+        exact = weights[i] * weights[1000:] / (weights[i] + weights[1000:]) * ((left[i] - right) ** 2).sum(axis=1)
+        assert cost[i] == pytest.approx(exact.min()) and exact[other[i] - 1000] == pytest.approx(exact.min())
+
+
+def test_comparisons_in_passes_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    wide = spark.createDataFrame([(i, [float(v) for v in rng.integers(0, 4, 6)]) for i in range(260)], "id bigint, v array<double>")
+    labels = wide.withColumns({"a": F.col("id") % 3, "b": F.col("id") % 7})
+
+    def answers():
+        ended = [
+            B.nearest(wide, "id", "v", 4, block_rows=60, cell_rows=40),
+            ward.labels(wide, "id", "v", [2, 5], finish=20, block_rows=60),
+            D.density_clusters(wide, "id", "v", 1.6, 3, block_rows=60),
+            B.silhouettes(labels, "id", "v", ["a", "b"], block_rows=60),
+        ]
+        return [sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()) for df in ended]
+
+    expected, kept = answers(), []
+    write = B.written
+    monkeypatch.setattr(B, "written", lambda df: kept.append(1) or write(df))
+    monkeypatch.setattr(B, "PASS_ROWS", 500)
+    assert answers() == expected
+    assert len(kept) > 12
