@@ -479,3 +479,24 @@ def test_comparisons_in_passes_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(B, "PASS_ROWS", 500)
     assert answers() == expected
     assert len(kept) > 12
+
+
+def test_visits_of_nearest_rows_go_in_passes(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    far = spark.createDataFrame([(i, [float(v) for v in rng.normal(size=12)]) for i in range(200)], "id bigint, v array<double>")
+    whole = pivots.PivotIndex.visits
+    sizes = []
+
+    def visited(self, targets, reach, columns=None):
+        found = whole(self, targets, reach, columns)
+        sizes.append((len(found.columns), found.count()))
+        return found
+
+    monkeypatch.setattr(pivots.PivotIndex, "visits", visited)
+    expected = sorted(tuple(r) for r in B.nearest(far, "id", "v", 3, cell_rows=25).collect())
+    once = max(n for _, n in sizes)
+    sizes.clear()
+    monkeypatch.setattr(B, "PASS_ROWS", 300)
+    assert sorted(tuple(r) for r in B.nearest(far, "id", "v", 3, cell_rows=25).collect()) == expected
+    written = [n for width, n in sizes if width > 1]
+    assert sum(written) == once and max(written) < 2 * 300
